@@ -4,6 +4,10 @@
 task or another cluster size can move a row to the other side of a split. Hashing a stable row
 id gives every row the same draw everywhere. ``xxhash64`` is the fast default; ``md5`` costs
 about six times as much and is there when another SQL engine has to draw the same rows.
+
+Every use hashes its ``purpose`` along with the seed. Without that, sampling a test split under
+the same seed would look at the same draws twice: a split keeps the draws of 0.8 and above as
+test rows, and a sample of those that are below 0.1 would be empty.
 """
 
 from __future__ import annotations
@@ -37,11 +41,15 @@ def digest(seed: int | str, *parts: Column) -> Column:
 
 
 def uniform(
-    id_cols: str | Sequence[str], seed: int = 42, method: str = "xxhash64", extra: Sequence[Column] = ()
+    id_cols: str | Sequence[str],
+    seed: int = 42,
+    method: str = "xxhash64",
+    purpose: str = "uniform",
+    extra: Sequence[Column] = (),
 ) -> Column:
-    """A double in [0, 1) that is a function of the seed and the row id (and ``extra`` columns)."""
+    """A double in [0, 1): a function of seed, purpose and row id (and ``extra`` columns)."""
     _check(method)
-    parts = [*_ids(id_cols), *extra]
+    parts = [F.lit(purpose), *_ids(id_cols), *extra]
     if method == "md5":
         digits = F.substring(digest(seed, *parts), 1, MD5_DIGITS)
         return F.conv(digits, 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
@@ -50,7 +58,11 @@ def uniform(
 
 
 def drawn(
-    id_cols: str | Sequence[str], fraction: float, seed: int = 42, method: str = "xxhash64"
+    id_cols: str | Sequence[str],
+    fraction: float,
+    seed: int = 42,
+    method: str = "xxhash64",
+    purpose: str = "sample",
 ) -> Column:
     """True for the rows whose uniform draw is below ``fraction``; never null.
 
@@ -61,11 +73,12 @@ def drawn(
         return F.lit(True)
     if fraction <= 0.0:
         return F.lit(False)
+    parts = [F.lit(purpose), *_ids(id_cols)]
     if method == "md5":
         limit = format(math.ceil(fraction * (1 << 52)), f"0{MD5_DIGITS}x")
-        return F.substring(digest(seed, *_ids(id_cols)), 1, MD5_DIGITS) < F.lit(limit)
+        return F.substring(digest(seed, *parts), 1, MD5_DIGITS) < F.lit(limit)
     limit = math.ceil(fraction * (1 << 53))
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *_ids(id_cols)), 11) < F.lit(limit)
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *parts), 11) < F.lit(limit)
 
 
 def poisson_cuts() -> list[int]:
@@ -92,28 +105,28 @@ def lanes_per_hash(method: str) -> int:
 def hash_word(id_cols: str | Sequence[str], seed: int, block: Column, method: str) -> Column:
     """The hash from which ``poisson_weight`` reads its lanes."""
     _check(method)
-    if method == "md5":
-        return digest(seed, block, *_ids(id_cols))
-    return F.xxhash64(F.lit(seed), block, *_ids(id_cols))
+    parts = [F.lit("bootstrap"), block, *_ids(id_cols)]
+    return digest(seed, *parts) if method == "md5" else F.xxhash64(F.lit(seed), *parts)
 
 
 def poisson_weight(word: Column, lane: int, method: str) -> Column:
     """A Poisson(1) count from one 16-bit lane of a hash word."""
     if method == "md5":
         draw = F.substring(word, 4 * lane + 1, 4)
-        hits = [draw >= F.lit(format(cut, "04x")) for cut in poisson_cuts()]
+        cuts = [F.lit(format(cut, "04x")) for cut in poisson_cuts()]
     else:
         draw = F.shiftrightunsigned(word, 16 * lane).bitwiseAND(F.lit(LANE_RANGE - 1))
-        hits = [draw >= F.lit(cut) for cut in poisson_cuts()]
-    weight = hits[0].cast("int")
-    for hit in hits[1:]:
-        weight = weight + hit.cast("int")
-    return weight
+        cuts = [F.lit(cut) for cut in poisson_cuts()]
+    # nearly all draws are settled by the first two or three comparisons
+    count = F.when(draw < cuts[0], 0)
+    for k, cut in enumerate(cuts[1:], start=1):
+        count = count.when(draw < cut, k)
+    return count.otherwise(len(cuts))
 
 
 def gaussian(id_cols: str | Sequence[str], slot: Column, seed: int = 42) -> Column:
     """A standard normal draw per row id and slot (Box-Muller on two hashed uniforms)."""
-    u1 = uniform(id_cols, seed, extra=(slot, F.lit(1)))
-    u2 = uniform(id_cols, seed, extra=(slot, F.lit(2)))
+    u1 = uniform(id_cols, seed, purpose="radius", extra=(slot,))
+    u2 = uniform(id_cols, seed, purpose="angle", extra=(slot,))
     radius = F.sqrt(F.lit(-2.0) * F.ln(F.lit(1.0) - u1))
     return radius * F.cos(F.lit(2.0 * math.pi) * u2)

@@ -27,7 +27,7 @@ def with_split(
     method: str = "xxhash64",
 ) -> DataFrame:
     """Label every row 'train' or 'test'."""
-    is_train = drawn(id_col, ratio, seed, method)
+    is_train = drawn(id_col, ratio, seed, method, "split")
     return df.withColumn(out, F.when(is_train, "train").otherwise("test"))
 
 
@@ -35,14 +35,17 @@ def hash_split(
     df: DataFrame, id_col: str | Sequence[str], ratio: float = 0.8, seed: int = 42, method: str = "xxhash64"
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test): disjoint, together the whole input, and the same rows on every cluster."""
-    is_train = drawn(id_col, ratio, seed, method)
+    is_train = drawn(id_col, ratio, seed, method, "split")
     return df.filter(is_train), df.filter(~is_train)
 
 
 def hash_sample(
     df: DataFrame, id_col: str | Sequence[str], fraction: float, seed: int = 42, method: str = "xxhash64"
 ) -> DataFrame:
-    """Bernoulli sample; with the same seed a smaller fraction is a subset of a larger one."""
+    """Bernoulli sample; with the same seed a smaller fraction is a subset of a larger one.
+
+    To sample a sample again, use another seed.
+    """
     return df.filter(drawn(id_col, fraction, seed, method))
 
 
@@ -55,7 +58,7 @@ def with_fold(
     method: str = "xxhash64",
 ) -> DataFrame:
     """Add a fold number 0..k-1."""
-    return df.withColumn(out, F.floor(uniform(id_col, seed, method) * F.lit(float(k))).cast("int"))
+    return df.withColumn(out, F.floor(uniform(id_col, seed, method, "fold") * F.lit(float(k))).cast("int"))
 
 
 def _level(draw: Column) -> Column:
@@ -74,7 +77,7 @@ def sample_n(
     levels can hold the n smallest draws, so the final ordering sees little more than n rows.
     """
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
-    draw = uniform(ids, seed, method)
+    draw = uniform(ids, seed, method, "sample")
     counts = (
         df.groupBy(_level(draw).alias("level")).agg(F.count(F.lit(1)).alias("rows"))
         .orderBy(F.col("level").desc()).collect()

@@ -5,35 +5,50 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_COUNT_SCHEMA = pa.schema([("pid", pa.int32()), ("rows", pa.int64())])
 
-def partition_profile(df: DataFrame) -> DataFrame:
-    """One row: partitions, rows, and average, least, most and spread of rows per partition.
 
-    Only non-empty partitions produce a group, so the empty ones are added from the plan's
-    partition count: they contribute zeros to the minimum and the spread.
+def spread(df: DataFrame, *cols: str, at_least: int | None = None) -> DataFrame:
+    """Repartition a table that is read in fewer partitions than there are cores.
+
+    Put it in front of work that costs far more CPU than its rows cost bytes (resampling, tree
+    fits). A large table already has more partitions than cores and is returned as it is.
+    ``cols`` hash the rows, otherwise they are dealt out evenly. The partition count is taken
+    from the plan, so use it right after a scan, not behind joins or aggregations.
     """
-    partitions = F.lit(df.rdd.getNumPartitions()).cast("bigint")
-    sizes = df.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).cast("double").alias("rows"))
-    sums = sizes.agg(
-        F.count("rows").alias("filled"),
-        F.sum("rows").alias("rows"),
-        F.sum(F.col("rows") * F.col("rows")).alias("squares"),
-        F.min("rows").alias("least"),
-        F.max("rows").alias("most"),
-    )
-    average = F.coalesce(F.col("rows"), F.lit(0.0)) / partitions
-    variance = F.try_divide(F.col("squares") - F.col("rows") * F.col("rows") / partitions, partitions - 1)
-    return sums.select(
-        partitions.alias("partitions"),
-        F.coalesce("rows", F.lit(0.0)).cast("bigint").alias("records"),
-        average.alias("avg_size"),
-        F.when(F.col("filled") < partitions, 0).otherwise(F.col("least")).cast("bigint").alias("min_size"),
-        F.coalesce("most", F.lit(0.0)).cast("bigint").alias("max_size"),
-        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("stddev_size"),
+    wanted = at_least or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *cols)
+
+
+def _count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = sum(batch.num_rows for batch in batches)
+    pid = TaskContext.get().partitionId()
+    yield pa.RecordBatch.from_pydict({"pid": [pid], "rows": [rows]}, schema=_COUNT_SCHEMA)
+
+
+def partition_sizes(df: DataFrame) -> DataFrame:
+    """One row per partition, empty ones included: pid, rows.
+
+    Grouping by ``spark_partition_id`` cannot see empty partitions, so each task counts its
+    own Arrow batches of a one-byte column.
+    """
+    return df.select(F.lit(True).alias("_")).mapInArrow(_count_partition, "pid int, rows bigint")
+
+
+def partition_profile(df: DataFrame) -> DataFrame:
+    """One row: partitions, rows, and average, least, most and spread of rows per partition."""
+    return partition_sizes(df).agg(
+        F.count("rows").alias("partitions"),
+        F.sum("rows").alias("records"),
+        F.avg("rows").alias("avg_size"),
+        F.min("rows").alias("min_size"),
+        F.max("rows").alias("max_size"),
+        F.stddev("rows").alias("stddev_size"),
     )
 
 

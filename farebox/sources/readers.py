@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.schema import trip_schema
+from farebox.operators.columns import widen_integers
+from farebox.schema import ID_COLS, trip_schema
 
 
 def read_trips(
@@ -128,16 +129,21 @@ def read_trip_files(
 ) -> DataFrame:
     """Monthly Parquet files whose column types differ, as one aligned DataFrame.
 
+    With a ``schema`` the result has exactly its columns. Without one every column of every
+    file is kept: id columns and integers become long, and a column that a month lacks is null.
     Paths that share a physical schema share one scan, so the plan grows with the number of
     distinct schemas (a handful), not with the number of files.
     """
-    schema = schema or trip_schema(widen=True)
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for path in paths:
         physical = spark.read.parquet(path).schema
         groups.setdefault(physical.json(), (physical, []))[1].append(path)
-    scans = [
-        align_types(spark.read.schema(physical).parquet(*members), schema)
-        for physical, members in groups.values()
-    ]
-    return union_aligned(*scans)
+    scans = [spark.read.schema(physical).parquet(*members) for physical, members in groups.values()]
+    if schema is not None:
+        return union_aligned(*[align_types(scan, schema) for scan in scans])
+    return union_aligned(*[_with_long_ids(scan) for scan in scans], allow_missing=True)
+
+
+def _with_long_ids(df: DataFrame) -> DataFrame:
+    ids = {c: F.col(c).try_cast("bigint") for c in ID_COLS if c in df.columns}
+    return widen_integers(df.withColumns(ids) if ids else df)
