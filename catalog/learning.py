@@ -20,17 +20,24 @@ from farebox.sources.scratch import scratch_path
 _SMALL_TREES = {"numTrees": 10, "maxDepth": 5}
 
 
+def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The featured trips as a written table, which is what fits read again and again."""
+    path = scratch_path(spark, "featured")
+    rows = featured_trips(spark, sf_dir).select("trip_id", "label", *FEATURES_13)
+    scaling.spread(rows, "trip_id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Train and test trips with ``features`` scaled on the training side."""
-    rows = scaling.spread(featured_trips(spark, sf_dir), "trip_id")
-    train, test = hash_split(rows, "trip_id", method="md5")
+    train, test = hash_split(_featured(spark, sf_dir), "trip_id", method="md5")
     fitted = prep.feature_pipeline().fit(train)
     return fitted.transform(train), fitted.transform(test)
 
 
 def scaler_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean and standard deviation of the 13 inputs, fitted on the training side."""
-    train, _ = hash_split(featured_trips(spark, sf_dir), "trip_id", method="md5")
+    train, _ = hash_split(_featured(spark, sf_dir), "trip_id", method="md5")
     fitted = prep.feature_pipeline().fit(train)
     table = prep.scaler_statistics(fitted, train, FEATURES_13)
     return table.select("slot", "feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
@@ -192,7 +199,7 @@ def partition_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partition_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows trained on per partition count; the times are left to the bench."""
-    df = scaling.spread(featured_trips(spark, sf_dir), "trip_id")
+    df = _featured(spark, sf_dir)
     ready = prep.feature_pipeline().fit(df).transform(df)
     swept = experiments.partition_sweep(ready, "trip_id", (4, 8, 16), numTrees=5, maxDepth=5)
     return swept.select("partitions", "records")
@@ -251,8 +258,7 @@ def forest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row scored, with the split it belongs to, and the error per split."""
-    df = featured_trips(spark, sf_dir)
-    labelled = with_split(df, "trip_id", method="md5")
+    labelled = with_split(_featured(spark, sf_dir), "trip_id", method="md5")
     train = labelled.filter(F.col("split") == "train")
     features = prep.feature_pipeline().fit(train)
     model = models.fit("lr", features.transform(train)).model

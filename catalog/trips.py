@@ -21,7 +21,7 @@ _SHARED = """
   ts AS tpep_pickup_datetime,
   {dropoff} AS tpep_dropoff_datetime,
   CASE WHEN event_id % 23 = 0 THEN NULL ELSE CAST(event_id % 8 AS INT) END AS passenger_count,
-  CAST(CAST(round(value * 100e0) AS BIGINT) + (event_id * 7919) % 4000 - 1000 AS DOUBLE) / 350e0
+  CAST(CAST(floor(value * 100e0 + 0.5e0) AS BIGINT) + (event_id * 7919) % 4000 - 1000 AS DOUBLE) / 350e0
     AS trip_distance,
   CAST(1 + event_id % 6 AS INT) AS RatecodeID,
   CASE WHEN event_id % 50 = 0 THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
@@ -34,7 +34,7 @@ _SHARED = """
   CAST({fare_c} + {tip_c} + 350 AS DOUBLE) / 100e0 AS total_amount
 """
 _FARE_C = (
-    "(CAST(round(value * 100e0) AS BIGINT) + (event_id % 40) * 300 - 500"
+    "(CAST(floor(value * 100e0 + 0.5e0) AS BIGINT) + (event_id % 40) * 300 - 500"
     " + CASE WHEN event_id % 211 = 0 THEN 60000 ELSE 0 END)"
 )
 _TIP_C = "(CASE WHEN event_type = 'purchase' THEN (event_id % 13) * 50 - 50 ELSE 0 END)"
