@@ -221,7 +221,8 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _base(spark, sf_dir)
     specs = {"DOLocationID": [F.count(F.lit(1)).alias("zone_trips"), F.max("fare_amount").alias("zone_top_fare")]}
     table: GroupTable = fit_group_stats(df, specs)["DOLocationID"]
-    return lookup_join(df, table, broadcast_rows=0, hot_share=0.004).select("trip_id", "zone_trips", "zone_top_fare")
+    joined = lookup_join(df, table, broadcast_rows=0, hot_share=0.004, salt_cols=["trip_id"])
+    return joined.select("trip_id", "zone_trips", "zone_top_fare")
 
 
 ZONE_SQL = f"""WITH {BASE_SQL}, z AS (SELECT DOLocationID, count(*) AS zone_trips, max(fare_amount) AS zone_top_fare

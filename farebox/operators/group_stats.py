@@ -92,15 +92,24 @@ def fit_group_stats(
     return tables
 
 
+def _salt(*cols: str) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(HOT_SALTS))
+
+
 def lookup_join(
-    df: DataFrame, table: GroupTable, broadcast_rows: int = BROADCAST_ROWS, hot_share: float = HOT_SHARE
+    df: DataFrame,
+    table: GroupTable,
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_share: float = HOT_SHARE,
+    salt_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join of a statistics table onto ``df``; a null or unseen key gets null statistics.
 
     A table of at most ``broadcast_rows`` groups is broadcast. A larger one is joined by
     shuffle, except for the keys that held more than ``hot_share`` of the training rows: there
     are fewer than 1/hot_share of them, so those few are broadcast, and the rows that carry
-    them (or a null) are spread over salts instead of meeting in one task.
+    them (or a null) are spread over salts instead of meeting in one task. The salt hashes
+    ``salt_cols`` (a row id is enough; by default every column, which then are all read).
     """
     key = table.key
     names = [c for c in table.stats.columns if c not in (key, ROWS)]
@@ -113,13 +122,14 @@ def lookup_join(
     )
     cold = table.stats.filter(~is_hot & F.col(key).isNotNull()).select(
         F.col(key).alias("_key"),
-        F.lit(0).cast("bigint").alias("_key_salt"),
+        _salt(key).alias("_key_salt"),
         *[F.col(n).alias(f"_cold_{n}") for n in names],
     )
     columns = df.columns
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(HOT_SALTS)) + 1
+    # a cold row's salt follows from its key, so it meets its statistics; a constant would not
+    # do, because the optimizer takes a constant out of the shuffle keys
     salted = df.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0).cast("bigint"))
+        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), _salt(*(salt_cols or columns))).otherwise(_salt(key))
     )
     match = (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_key_salt"))
     merged = [F.coalesce(F.col(f"_hot_{n}"), F.col(f"_cold_{n}")).alias(n) for n in names]

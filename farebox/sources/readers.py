@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from farebox.operators.columns import widen_integers
 from farebox.schema import ID_COLS, trip_schema
 
+MALFORMED = "_malformed"
+
 
 def read_trips(
     spark: SparkSession,
@@ -50,32 +52,25 @@ def parse_trip_lines(
     """Split a ``value`` column of text lines into typed fields plus ``reject_reason``.
 
     A line is rejected when its field count is wrong (``field_count``), when a required field
-    is empty (``empty_required``) or when a non-empty field does not cast to its declared type
+    is empty (``empty_required``) or when a non-empty field does not parse as its declared type
     (``bad_value``). Quoting is not interpreted. Lines equal to ``header`` are left out.
     """
     body = lines if header is None else lines.filter(F.col("value") != F.lit(header))
-    body = body.select("value", F.split("value", _literal_pattern(sep), -1).alias("_parts"))
-    raw = [F.get("_parts", F.lit(i)) for i in range(len(schema.fields))]
-    typed = [
-        F.when(text != "", text.try_cast(field.dataType)).alias(field.name)
-        for text, field in zip(raw, schema.fields)
-    ]
-    empty = reduce(Column.__or__, [raw[i] == "" for i in required], F.lit(False))
-    bad = reduce(
-        Column.__or__,
-        [
-            (text != "") & text.try_cast(field.dataType).isNull()
-            for text, field in zip(raw, schema.fields)
-            if not isinstance(field.dataType, T.StringType)
-        ],
-        F.lit(False),
-    )
-    reason = (
-        F.when(F.size("_parts") != len(schema.fields), "field_count")
-        .when(empty, "empty_required")
-        .when(bad, "bad_value")
+    names = [f.name for f in schema.fields]
+    target = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType(), True)])
+    options = {"sep": sep, "quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    fields = F.from_csv("value", target.toDDL(), options)
+    # inline is a barrier for filters on its output: each line is parsed once, not once more
+    # inside every predicate on the parsed columns
+    parsed = body.select("value", F.inline(F.array(fields)))
+    missing = reduce(Column.__or__, [F.col(names[i]).isNull() for i in required], F.lit(False))
+    parts = F.split("value", _literal_pattern(sep), -1)
+    empty = reduce(Column.__or__, [F.get(parts, F.lit(i)) == "" for i in required], F.lit(False))
+    reason = F.when(
+        F.col(MALFORMED).isNotNull() | missing,
+        F.when(F.size(parts) != len(names), "field_count").when(empty, "empty_required").otherwise("bad_value"),
     )
-    return body.select("value", *typed, reason.alias("reject_reason"))
+    return parsed.select("value", *names, reason.alias("reject_reason"))
 
 
 def read_trip_lines(
