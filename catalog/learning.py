@@ -12,7 +12,7 @@ from farebox.ml import experiments, models, prep, stability, tuning
 from farebox.operators import evaluate, scaling
 from farebox.operators.columns import slot_names
 from farebox.operators.sampling import hash_split, with_split
-from farebox.plans.layers import bronze, gold, silver
+from farebox.plans.layers import run_layers
 from farebox.schema import FEATURES_13
 from farebox.sources.model_store import load_first_model, load_model, save_model
 from farebox.sources.scratch import scratch_path
@@ -234,13 +234,13 @@ FROM featured WHERE {uniform_sql('trip_id')} >= 0.8e0"""
 
 
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips through bronze, silver and gold: the gold rows with their first vector slot."""
-    raw = trips(spark, sf_dir)
-    at = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
-    built = gold(silver(bronze(raw, at, "unit"), cleaned_at=at), "trip_id")
-    spread = vector_to_array("features")
-    return built.rows.select(
-        "trip_id", "label", "pickup_hour", "is_rush_hour", "data_year", "data_month", F.size(spread).alias("slots")
+    """Raw files through written bronze, silver and gold layers: the stored gold rows."""
+    root = scratch_path(spark, "layers")
+    trips(spark, sf_dir).write.parquet(f"{root}/raw")
+    stored = run_layers(spark, [f"{root}/raw"], root, "trip_id", "unit").rows
+    return stored.select(
+        "trip_id", "label", "pickup_hour", "is_rush_hour", "data_year", "data_month",
+        F.size(vector_to_array("features")).alias("slots"),
     )
 
 

@@ -9,6 +9,9 @@ from catalog.trips import SECONDS_SQL, SILVER_SQL, TIMED_SQL, silver_trips, trip
 from farebox.operators import quality
 from farebox.operators.features import trip_features, with_duration
 from farebox.operators.profile import median_of, null_profile, totals
+from farebox.sources.readers import read_trips
+from farebox.sources.scratch import scratch_path
+from farebox.sources.writers import write_layer
 
 _COLS = ("trip_id", "passenger_count", "trip_distance", "fare_amount")
 
@@ -65,11 +68,25 @@ QUARANTINE_SQL = f"""WITH {TIMED_SQL}, tagged AS (
 SELECT * FROM tagged WHERE reject_reason IS NOT NULL"""
 
 
+def quarantine_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows and rejects separated by one write, partitioned by reason, and read back."""
+    path = scratch_path(spark, "quarantine")
+    tagged = quality.tag_rejects(_timed(spark, sf_dir), quality.impute_rules())
+    write_layer(tagged.select("trip_id", "fare_amount", "reject_reason"), path, ("reject_reason",))
+    stored = read_trips(spark, path)
+    return stored.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"), F.max("fare_amount").alias("top_fare"))
+
+
 def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many raw trips break each rule (one trip may break several)."""
     return quality.violation_counts(_timed(spark, sf_dir), quality.impute_rules())
 
 
+QUARANTINE_LAYER_SQL = QUARANTINE_SQL.replace(
+    "SELECT * FROM tagged WHERE reject_reason IS NOT NULL",
+    "SELECT reject_reason, count(*) AS rows, max(fare_amount) AS top_fare FROM tagged GROUP BY reject_reason",
+).replace("SELECT trip_id, CASE", "SELECT fare_amount, CASE")
+
 VIOLATIONS_SQL = f"""WITH {TIMED_SQL} SELECT
   count(*) FILTER (WHERE NOT (fare_amount > 0 AND fare_amount <= 500)) AS fare,
   count(*) FILTER (WHERE NOT (trip_distance > 0 AND trip_distance <= 100)) AS distance,
@@ -156,6 +173,7 @@ QUERIES = {
     "silver_strict": (silver_strict, f"WITH {TIMED_SQL} {_SELECT} FROM timed WHERE {_STRICT}"),
     "speed_cap": (speed_cap, SPEED_SQL),
     "quarantine_reasons": (quarantine_reasons, QUARANTINE_SQL),
+    "quarantine_layer": (quarantine_layer, QUARANTINE_LAYER_SQL),
     "rule_violations": (rule_violations, VIOLATIONS_SQL),
     "clean_check": (clean_check, CLEAN_SQL),
     "removal_report": (removal_report, REMOVAL_SQL),

@@ -47,7 +47,10 @@ def feature_pipeline(
 
 
 def index_categories(train: DataFrame, df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Add ``<col>_index``, most frequent training value first, ties in alphabetical order."""
+    """Add ``<col>_index``, most frequent training value first, ties in alphabetical order.
+
+    The fitted index lists every value of the column, so use it for codes and zones, not ids.
+    """
     indexer = StringIndexer(
         inputCols=list(cols),
         outputCols=[f"{c}_index" for c in cols],

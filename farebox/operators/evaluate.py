@@ -112,7 +112,8 @@ def error_by_range(
     """Error per equal-width label range, ordered.
 
     The largest label falls into a bin of its own, number ``bins``; ``clamp`` counts it in the
-    last regular bin. When all labels are equal there is one bin, 0.
+    last regular bin. When all labels are equal there is one bin, 0. The table is read twice,
+    for the label extent and for the bins, so score into a written table first.
     """
     y, p = F.col(label), F.col(prediction)
     low, high = F.min(y).cast("double"), F.max(y).cast("double")
