@@ -81,23 +81,22 @@ def _line(fields: list[str]) -> str:
 
 
 _FIELDS = {f.name: _text(f.name) for f in trip_schema().fields}
-_GOOD = _line(list(_FIELDS.values()))
-_NO_VENDOR = _line(["''" if n == "VendorID" else t for n, t in _FIELDS.items()])
-_BAD_FARE = _line(["'n/a'" if n == "fare_amount" else t for n, t in _FIELDS.items()])
+_FIELDS["VendorID"] = f"CASE WHEN trip_id % 83 = 0 THEN '' ELSE {_FIELDS['VendorID']} END"
+_FIELDS["fare_amount"] = f"CASE WHEN trip_id % 79 = 0 THEN 'n/a' ELSE {_FIELDS['fare_amount']} END"
 # Every kind of line a raw file may hold: repeated header, too few and too many fields, an
 # empty required field, a fare that is no number.
+SHORT_EXPR = _line(list(_FIELDS.values())[:-1])
 LINE_EXPR = f"""CASE
   WHEN trip_id % 101 = 0 THEN '{HEADER}'
-  WHEN trip_id % 97 = 0 THEN {_line(list(_FIELDS.values())[:-1])}
-  WHEN trip_id % 89 = 0 THEN {_GOOD} || ','
-  WHEN trip_id % 83 = 0 THEN {_NO_VENDOR}
-  WHEN trip_id % 79 = 0 THEN {_BAD_FARE}
-  ELSE {_GOOD} END"""
+  WHEN trip_id % 97 = 0 THEN short
+  WHEN trip_id % 89 = 0 THEN short || ',,'
+  ELSE short || ',' END"""
 
 
 def _trip_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     path = scratch_path(spark, "lines")
-    trips(spark, sf_dir).select(F.expr(LINE_EXPR).alias("value")).write.text(path)
+    lines = trips(spark, sf_dir).select("trip_id", F.expr(SHORT_EXPR).alias("short"))
+    lines.select(F.expr(LINE_EXPR).alias("value")).write.text(path)
     return read_trip_lines(spark, path, header=HEADER)
 
 
@@ -123,11 +122,11 @@ def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trip_lines(spark, sf_dir)[1]
 
 
-CSV_REJECT_SQL = f"""WITH {TRIPS_SQL}
-SELECT {LINE_EXPR.replace("AS STRING", "AS VARCHAR")} AS value,
+CSV_REJECT_SQL = f"""WITH {TRIPS_SQL}, l AS (SELECT trip_id, {SHORT_EXPR} AS short FROM trips)
+SELECT {LINE_EXPR} AS value,
   CASE WHEN trip_id % 97 = 0 OR trip_id % 89 = 0 THEN 'field_count'
        WHEN trip_id % 83 = 0 THEN 'empty_required' ELSE 'bad_value' END AS reject_reason
-FROM trips
+FROM l
 WHERE trip_id % 101 <> 0
   AND (trip_id % 97 = 0 OR trip_id % 89 = 0 OR trip_id % 83 = 0 OR trip_id % 79 = 0)"""
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BINS = 1024
-LIST_ROWS = 50_000
+LIST_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -38,8 +38,10 @@ class _Range:
         return F.col(self.col).between(self.lo, self.hi)
 
     def slice_of(self) -> Column:
-        width = F.lit(self.hi) - F.lit(self.lo)
-        return F.floor((F.col(self.col) - F.lit(self.lo)) / width * F.lit(float(BINS))).cast("int")
+        # halved where the width itself would overflow to infinity
+        part = 0.5 if math.isinf(self.hi - self.lo) else 1.0
+        offset = F.col(self.col) * F.lit(part) - F.lit(self.lo * part)
+        return F.floor(offset / F.lit(self.hi * part - self.lo * part) * F.lit(float(BINS))).cast("int")
 
 
 def _extent(df: DataFrame, cols: Sequence[str]) -> list[_Range]:
@@ -47,6 +49,8 @@ def _extent(df: DataFrame, cols: Sequence[str]) -> list[_Range]:
         *[f(F.col(c)).alias(f"{name}_{i}") for i, c in enumerate(cols)
           for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
     ).first()
+    if any(math.isinf(found[f"{end}_{i}"] or 0.0) for i in range(len(cols)) for end in ("lo", "hi")):
+        raise ValueError("quantiles need finite values")
     return [
         _Range(c, found[f"lo_{i}"], found[f"hi_{i}"], found[f"n_{i}"], 0)
         for i, c in enumerate(cols)
@@ -54,23 +58,32 @@ def _extent(df: DataFrame, cols: Sequence[str]) -> list[_Range]:
     ]
 
 
+def _tagged(df: DataFrame, ranges: Sequence[_Range], slices: bool) -> DataFrame:
+    """One row (range, slice, v) per value and range that holds it; the slice is 0 unless asked for."""
+    structs = [
+        F.when(
+            r.inside(),
+            F.struct(
+                F.lit(i).alias("range"),
+                (r.slice_of() if slices else F.lit(0)).alias("slice"),
+                F.col(r.col).alias("v"),
+            ),
+        )
+        for i, r in enumerate(ranges)
+    ]
+    return df.select(F.inline(F.array(*structs))).filter(F.col("range").isNotNull())
+
+
 def _narrow(df: DataFrame, ranges: Sequence[_Range]) -> list[_Range]:
     """Split each range into slices and return the non-empty ones as ranges."""
-    tagged = F.array(
-        *[
-            F.when(r.inside(), F.struct(F.lit(i).alias("range"), r.slice_of().alias("slice"), F.col(r.col).alias("v")))
-            for i, r in enumerate(ranges)
-        ]
-    )
     counts = (
-        df.select(F.explode(F.array_compact(tagged)).alias("t"))
-        .groupBy("t.range", "t.slice")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("t.v").alias("lo"), F.max("t.v").alias("hi"))
-        .orderBy("range", "slice")
+        _tagged(df, ranges, slices=True)
+        .groupBy("range", "slice")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         .collect()  # at most len(ranges) * (BINS + 1) rows
     )
     out, below = [], {}
-    for row in counts:
+    for row in sorted(counts, key=lambda r: (r["range"], r["slice"])):
         parent = ranges[row["range"]]
         start = below.get(row["range"], parent.below)
         out.append(_Range(parent.col, row["lo"], row["hi"], row["n"], start))
@@ -80,13 +93,16 @@ def _narrow(df: DataFrame, ranges: Sequence[_Range]) -> list[_Range]:
 
 def _list(df: DataFrame, ranges: Sequence[_Range]) -> list[list[float]]:
     """All values of ranges that hold at most LIST_ROWS rows each, sorted."""
-    row = df.agg(
-        *[
-            F.sort_array(F.collect_list(F.when(r.inside(), F.col(r.col)))).alias(f"r{i}")
-            for i, r in enumerate(ranges)
-        ]
-    ).first()
-    return [row[f"r{i}"] for i in range(len(ranges))]
+    counts = (
+        _tagged(df, ranges, slices=False)
+        .groupBy("range", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()  # at most len(ranges) * LIST_ROWS rows
+    )
+    out: list[list[float]] = [[] for _ in ranges]
+    for row in sorted(counts, key=lambda r: (r["range"], r["v"])):
+        out[row["range"]].extend([row["v"]] * row["n"])
+    return out
 
 
 def order_statistics(
@@ -120,11 +136,11 @@ def order_statistics(
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Quantiles with linear interpolation between neighbouring values, nulls left out.
+    """Quantiles with linear interpolation between neighbouring values, nulls and NaN left out.
 
     Runs Spark jobs at once and returns plain numbers; columns are read as double.
     """
-    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    narrow = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
     extent = _extent(narrow, cols)
     places: dict[str, list[tuple[int, int, float]]] = {}
     for r in extent:
