@@ -237,7 +237,7 @@ def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files through written bronze, silver and gold layers: the stored gold rows."""
     root = scratch_path(spark, "layers")
     trips(spark, sf_dir).write.parquet(f"{root}/raw")
-    stored = run_layers(spark, [f"{root}/raw"], root, "trip_id", "unit").rows
+    stored = run_layers(spark, [f"{root}/raw"], root, "trip_id").rows
     return stored.select(
         "trip_id", "label", "pickup_hour", "is_rush_hour", "data_year", "data_month",
         F.size(vector_to_array("features")).alias("slots"),

@@ -29,23 +29,27 @@ def narrow_ids(df: DataFrame, cols: Sequence[str] = ID_COLS) -> DataFrame:
 def add_bronze_lineage(
     df: DataFrame,
     ingested_at: datetime | Column | None = None,
-    source: str | None = None,
+    source: str | Column | None = None,
     ts: str = "tpep_pickup_datetime",
 ) -> DataFrame:
     """Stamp ingestion time, source, and the pickup's year and month.
 
     ``ingested_at`` is one value for the whole batch (default: the query's start time).
-    ``source`` is a fixed label; without it each row carries the path of the file it came from,
-    which needs ``df`` to sit directly on a file scan.
+    ``source`` is a fixed label or a column; without it each row carries the path of the file it
+    came from, which needs ``df`` to sit directly on a file scan.
     """
     if ingested_at is None:
         ingested_at = F.current_timestamp()
     elif not isinstance(ingested_at, Column):
         ingested_at = F.lit(ingested_at)
+    if source is None:
+        source = F.col("_metadata.file_path")
+    elif not isinstance(source, Column):
+        source = F.lit(source)
     return df.withColumns(
         {
             "ingestion_timestamp": ingested_at,
-            "source_file": F.col("_metadata.file_path") if source is None else F.lit(source),
+            "source_file": source,
             "data_year": F.year(ts),
             "data_month": F.month(ts),
         }

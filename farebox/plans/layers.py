@@ -8,6 +8,7 @@ from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farebox.ml.prep import feature_pipeline, to_gold
 from farebox.operators.columns import add_bronze_lineage, add_silver_lineage, gold_projection, narrow_ids
@@ -18,7 +19,9 @@ from farebox.sources.readers import read_trip_files, read_trips
 from farebox.sources.writers import write_layer
 
 
-def bronze(raw: DataFrame, ingested_at: datetime | Column | None = None, source: str | None = None) -> DataFrame:
+def bronze(
+    raw: DataFrame, ingested_at: datetime | Column | None = None, source: str | Column | None = None
+) -> DataFrame:
     return add_bronze_lineage(narrow_ids(raw), ingested_at, source)
 
 
@@ -53,14 +56,16 @@ def run_layers(
     raw_paths: Sequence[str],
     out: str,
     id_col: str | Sequence[str],
-    source: str,
+    source: str | None = None,
     at: datetime | None = None,
 ) -> Gold:
     """Read raw months, write all three layers below ``out`` and return the stored gold table.
 
+    ``source`` labels the whole batch; without it every row keeps the path of its raw file.
     Each layer is read back from its files, so a lost executor repeats work of one layer only.
     """
-    write_layer(bronze(read_trip_files(spark, raw_paths), at, source), f"{out}/bronze")
+    raw = read_trip_files(spark, raw_paths, source_col="source_file")
+    write_layer(bronze(raw, at, source or F.col("source_file")), f"{out}/bronze")
     write_layer(silver(read_trips(spark, f"{out}/bronze"), cleaned_at=at), f"{out}/silver")
     built = gold(read_trips(spark, f"{out}/silver"), id_col)
     write_layer(built.rows, f"{out}/gold")

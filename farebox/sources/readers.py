@@ -120,23 +120,31 @@ def align_types(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_trip_files(
-    spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: T.StructType | None = None,
+    source_col: str | None = None,
 ) -> DataFrame:
     """Monthly Parquet files whose column types differ, as one aligned DataFrame.
 
     With a ``schema`` the result has exactly its columns. Without one every column of every
     file is kept: id columns and integers become long, and a column that a month lacks is null.
     Paths that share a physical schema share one scan, so the plan grows with the number of
-    distinct schemas (a handful), not with the number of files.
+    distinct schemas (a handful), not with the number of files. ``source_col`` names a column
+    for the path of the file each row came from, which is gone after the union otherwise.
     """
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for path in paths:
         physical = spark.read.parquet(path).schema
         groups.setdefault(physical.json(), (physical, []))[1].append(path)
     scans = [spark.read.schema(physical).parquet(*members) for physical, members in groups.values()]
-    if schema is not None:
-        return union_aligned(*[align_types(scan, schema) for scan in scans])
-    return union_aligned(*[_with_long_ids(scan) for scan in scans], allow_missing=True)
+    if schema is None:
+        aligned = [_with_long_ids(scan) for scan in scans]
+    else:
+        aligned = [align_types(scan, schema) for scan in scans]
+    if source_col is not None:
+        aligned = [part.withColumn(source_col, F.col("_metadata.file_path")) for part in aligned]
+    return union_aligned(*aligned, allow_missing=True)
 
 
 def _with_long_ids(df: DataFrame) -> DataFrame:

@@ -182,12 +182,14 @@ def test_layers_are_written_and_read_back(spark, sf, tmp_path):
             part = part.withColumn("passenger_count", F.col("passenger_count").cast("double"))
         part.write.parquet(str(tmp_path / f"raw{i}"))
         paths.append(str(tmp_path / f"raw{i}"))
-    gold, features = run_layers(spark, paths, str(tmp_path / "out"), "trip_id", "unit")
+    gold, features = run_layers(spark, paths, str(tmp_path / "out"), "trip_id")
     expected = featured_trips(spark, sf).count()
     assert gold.count() == expected
     assert set(gold.columns) == {"trip_id", *GOLD_COLS}
     silver = read_trips(spark, str(tmp_path / "out" / "silver"))
     assert silver.count() == expected and {"source_file", "data_quality_flag"} <= set(silver.columns)
+    files = {r[0].rsplit("/", 2)[1] for r in silver.select("source_file").distinct().collect()}
+    assert files == {"raw0", "raw1"}
     assert len(features.stages) == 2
 
 
