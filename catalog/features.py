@@ -221,7 +221,7 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _base(spark, sf_dir)
     specs = {"DOLocationID": [F.count(F.lit(1)).alias("zone_trips"), F.max("fare_amount").alias("zone_top_fare")]}
     table: GroupTable = fit_group_stats(df, specs)["DOLocationID"]
-    joined = lookup_join(df, table, broadcast_rows=0, hot_share=0.004, salt_cols=["trip_id"])
+    joined = lookup_join(df, table, broadcast_bytes=0, hot_share=0.004, salt_cols=["trip_id"])
     return joined.select("trip_id", "zone_trips", "zone_top_fare")
 
 

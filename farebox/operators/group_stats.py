@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from farebox.functions.numeric import mean
 from farebox.sources.scratch import cut_lineage
 
 ROWS = "_rows"
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
+ROW_OVERHEAD = 64  # bytes of a hashed row beside its key text and its statistics
 HOT_SHARE = 1 / 64
 HOT_SALTS = 1024
 
@@ -41,11 +43,12 @@ def default_specs(per_unit: Mapping[str, int] | None = None) -> dict[str, list[C
 
 @dataclass(frozen=True)
 class GroupTable:
-    """The statistics of one key: one row per key value, and how many rows that is."""
+    """The (numeric) statistics of one key: one row per key value, and how large that is."""
 
     key: str
     stats: DataFrame
     groups: int
+    size_bytes: int
     trained_rows: int
 
 
@@ -71,10 +74,17 @@ def fit_group_stats(
             F.grouping_id().alias("_set"), F.count(F.lit(1)).alias(ROWS), *everything
         )
     )
+    key_bytes = reduce(
+        Column.__add__, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
+    )
     sizes = {
         r["_set"]: r
         for r in fitted.groupBy("_set")
-        .agg(F.count(F.lit(1)).alias("groups"), F.sum(ROWS).alias("n"))
+        .agg(
+            F.count(F.lit(1)).alias("groups"),
+            F.sum(key_bytes).alias("key_bytes"),
+            F.sum(ROWS).alias("trained"),
+        )
         .collect()  # one row per key column
     }
     tables = {}
@@ -83,11 +93,13 @@ def fit_group_stats(
         set_id = (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i))
         names = train.groupBy(key).agg(*specs[key]).columns
         size = sizes.get(set_id)
+        groups = size["groups"] if size else 0
         tables[key] = GroupTable(
-            key,
-            fitted.filter(F.col("_set") == set_id).select(*names, ROWS),
-            size["groups"] if size else 0,
-            size["n"] if size else 0,
+            key=key,
+            stats=fitted.filter(F.col("_set") == set_id).select(*names, ROWS),
+            groups=groups,
+            size_bytes=(size["key_bytes"] if size else 0) + groups * (8 * len(names) + ROW_OVERHEAD),
+            trained_rows=size["trained"] if size else 0,
         )
     return tables
 
@@ -99,21 +111,22 @@ def _salt(*cols: str) -> Column:
 def lookup_join(
     df: DataFrame,
     table: GroupTable,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
     salt_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join of a statistics table onto ``df``; a null or unseen key gets null statistics.
 
-    A table of at most ``broadcast_rows`` groups is broadcast. A larger one is joined by
-    shuffle, except for the keys that held more than ``hot_share`` of the training rows: there
-    are fewer than 1/hot_share of them, so those few are broadcast, and the rows that carry
-    them (or a null) are spread over salts instead of meeting in one task. The salt hashes
-    ``salt_cols`` (a row id is enough; by default every column, which then are all read).
+    A table of at most ``broadcast_bytes`` is broadcast. A larger one is joined by shuffle,
+    except for the keys that held more than ``hot_share`` of the training rows: there are fewer
+    than 1/hot_share of them, so those few are broadcast, and the rows that carry them (or a
+    null) are spread over salts instead of meeting in one task. The salt hashes ``salt_cols``
+    (a row id is enough; by default every column, which then are all read). Keys that are hot
+    in ``df`` alone are left to adaptive skew handling.
     """
     key = table.key
     names = [c for c in table.stats.columns if c not in (key, ROWS)]
-    if table.groups <= broadcast_rows:
+    if table.size_bytes <= broadcast_bytes:
         return df.join(F.broadcast(table.stats.drop(ROWS)), key, "left")
 
     is_hot = F.col(ROWS) > F.lit(hot_share * table.trained_rows)
@@ -138,10 +151,10 @@ def lookup_join(
 
 
 def apply_group_stats(
-    df: DataFrame, tables: Mapping[str, GroupTable], broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame, tables: Mapping[str, GroupTable], broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     for table in tables.values():
-        df = lookup_join(df, table, broadcast_rows)
+        df = lookup_join(df, table, broadcast_bytes)
     return df
 
 

@@ -14,12 +14,13 @@ def specs():
     return {"key": [F.avg("x").alias("avg_x"), F.count(F.lit(1)).alias("n")]}
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
-def test_null_and_unseen_keys_get_null_statistics(spark, train, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_null_and_unseen_keys_get_null_statistics(spark, train, broadcast_bytes):
     table = fit_group_stats(train, specs())["key"]
     assert table.groups == 4 and table.trained_rows == 505
+    assert 0 < table.size_bytes < 1_000
     probe = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (9, "d"), (None, "e")], "key int, tag string")
-    joined = lookup_join(probe, table, broadcast_rows)
+    joined = lookup_join(probe, table, broadcast_bytes)
     assert joined.columns == ["key", "tag", "avg_x", "n"]
     got = {r["tag"]: (r["avg_x"], r["n"]) for r in joined.collect()}
     assert got == {"a": (10.0, 500), "b": (5.0, 2), "c": (7.0, 1), "d": (None, None), "e": (None, None)}
@@ -27,10 +28,10 @@ def test_null_and_unseen_keys_get_null_statistics(spark, train, broadcast_rows):
 
 def test_both_join_ways_give_the_same_rows(train):
     table = fit_group_stats(train, specs())["key"]
-    small = lookup_join(train, table).exceptAll(lookup_join(train, table, broadcast_rows=0))
-    large = lookup_join(train, table, broadcast_rows=0).exceptAll(lookup_join(train, table))
+    small = lookup_join(train, table).exceptAll(lookup_join(train, table, broadcast_bytes=0))
+    large = lookup_join(train, table, broadcast_bytes=0).exceptAll(lookup_join(train, table))
     assert small.count() == large.count() == 0
-    assert lookup_join(train, table, broadcast_rows=0).count() == train.count()
+    assert lookup_join(train, table, broadcast_bytes=0).count() == train.count()
 
 
 def test_hot_and_null_rows_are_spread_over_tasks(spark):
@@ -42,7 +43,7 @@ def test_hot_and_null_rows_are_spread_over_tasks(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = lookup_join(df, table, broadcast_rows=0)
+        joined = lookup_join(df, table, broadcast_bytes=0)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
