@@ -201,10 +201,15 @@ def partition_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows trained on per partition count; the times are left to the bench."""
     df = _featured(spark, sf_dir)
     ready = prep.feature_pipeline().fit(df).transform(df)
-    swept = experiments.partition_sweep(ready, "trip_id", (4, 8, 16), numTrees=5, maxDepth=5)
+    swept = experiments.partition_sweep(ready, "trip_id", (4, 8, 16), method="md5", numTrees=5, maxDepth=5)
     return swept.select("partitions", "records")
 
 
+SWEEP_SQL = f"""WITH {FEATURED_SQL}
+SELECT CAST(unnest([4, 8, 16]) AS INT) AS partitions, n AS records
+FROM (SELECT count(*) AS n FROM featured WHERE {uniform_sql('trip_id')} < 0.8e0)"""
+
+
 def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaling.storage_report(featured_trips(spark, sf_dir).select("trip_id", "label", "trip_distance"))
 
@@ -289,7 +294,7 @@ QUERIES = {
     "tune_cv": (tune_cv, None),
     "learning_curve": (learning_curve, None),
     "partition_profile": (partition_profile, None),
-    "partition_sweep": (partition_sweep, None),
+    "partition_sweep": (partition_sweep, SWEEP_SQL),
     "storage_report": (storage_report, STORAGE_SQL),
     "model_roundtrip": (model_roundtrip, ROUNDTRIP_SQL),
     "layers_end_to_end": (layers_end_to_end, LAYERS_SQL),

@@ -23,12 +23,17 @@ SPLIT_SQL = f"""SELECT event_id AS trip_id, CASE WHEN {uniform_sql('event_id')}
 
 
 def split_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Split sizes of the line items, keyed by two columns, with the fast hash."""
+    """Split sizes of the line items, which need several columns to tell rows apart."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    labelled = sampling.with_split(items, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    labelled = sampling.with_split(items, ITEM_ID, method="md5")
     return labelled.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
+ITEM_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+LABELS_SQL = f"""SELECT CASE WHEN {uniform_sql("concat_ws('|', " + ', '.join(ITEM_ID) + ')')} < 0.8e0
+  THEN 'train' ELSE 'test' END AS split, count(*) AS rows FROM lineitem GROUP BY 1"""
+
+
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.hash_sample(trips(spark, sf_dir), "trip_id", 0.1, method="md5").select(
         "trip_id", "fare_amount", "trip_distance"
@@ -67,10 +72,11 @@ def _weight_sql(lane: int) -> str:
     return " + ".join(f"CAST({draw} >= '{cut:04x}' AS INT)" for cut in poisson_cuts())
 
 
-BOOTSTRAP_SQL = f"""WITH {SCORED_SQL},
+def _bootstrap_sql(where: str = "") -> str:
+    return f"""WITH {SCORED_SQL},
 words AS (SELECT (label - prediction) * (label - prediction) AS sq, block,
   md5('42|bootstrap|' || CAST(block AS VARCHAR) || '|' || CAST(trip_id AS VARCHAR)) AS word
-  FROM scored, (SELECT range AS block FROM range({REPLICATES // _LANES})) b),
+  FROM scored, (SELECT range AS block FROM range({REPLICATES // _LANES})) b {where}),
 w AS (SELECT sq, block, {', '.join(f'{_weight_sql(i)} AS w{i}' for i in range(_LANES))} FROM words),
 s AS (SELECT block, {', '.join(f'sum(w{i}) AS n{i}, sum(w{i} * sq) AS s{i}' for i in range(_LANES))}
   FROM w GROUP BY block),
@@ -90,8 +96,9 @@ def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("replicates", *[F.round(c, 6).alias(c) for c in ("rmse_mean", "ci_lower", "ci_upper")])
 
 
-CI_SQL = BOOTSTRAP_SQL + """SELECT count(rmse) AS replicates, round(avg(rmse), 6) AS rmse_mean,
+_CI = """SELECT count(rmse) AS replicates, round(avg(rmse), 6) AS rmse_mean,
   round(quantile_cont(rmse, 0.025), 6) AS ci_lower, round(quantile_cont(rmse, 0.975), 6) AS ci_upper FROM r"""
+CI_SQL = _bootstrap_sql() + _CI
 
 
 def bootstrap_replicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,19 +108,28 @@ def bootstrap_replicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("replicate", "resample_size", F.round("rmse", 6).alias("rmse"))
 
 
-REPLICATES_SQL = BOOTSTRAP_SQL + """SELECT CAST(replicate AS INT) AS replicate, CAST(n AS BIGINT) AS resample_size,
+REPLICATES_SQL = _bootstrap_sql() + """SELECT CAST(replicate AS INT) AS replicate, CAST(n AS BIGINT) AS resample_size,
   round(rmse, 6) AS rmse FROM r"""
 
 
 def bootstrap_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The interval from a tenth of the residuals, with the fast hash."""
+    """The interval from a tenth of the residuals."""
     rows = _residuals(spark, sf_dir)
-    return bootstrap.bootstrap_rmse(rows, "residual", "trip_id", REPLICATES, fraction=0.1)
+    table = bootstrap.bootstrap_rmse(rows, "residual", "trip_id", REPLICATES, fraction=0.1, method="md5")
+    return table.select("replicates", *[F.round(c, 6).alias(c) for c in ("rmse_mean", "ci_lower", "ci_upper")])
+
+
+SAMPLED_SQL = _bootstrap_sql(f"WHERE {uniform_sql('trip_id', 'sample')} < 0.1e0") + _CI
+
+
+def bootstrap_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interval over all scored trips with the fast hash, which SQL engines do not share."""
+    return bootstrap.bootstrap_rmse(_residuals(spark, sf_dir), "residual", "trip_id", REPLICATES)
 
 
 QUERIES = {
     "hash_split": (hash_split, SPLIT_SQL),
-    "split_labels": (split_labels, None),
+    "split_labels": (split_labels, LABELS_SQL),
     "hash_sample": (hash_sample, SAMPLE_SQL),
     "sample_n": (sample_n, SAMPLE_N_SQL),
     "fold_assign": (fold_assign, FOLD_SQL),
@@ -122,5 +138,6 @@ QUERIES = {
     ),
     "bootstrap_ci": (bootstrap_ci, CI_SQL),
     "bootstrap_replicates": (bootstrap_replicates, REPLICATES_SQL),
-    "bootstrap_sampled": (bootstrap_sampled, None),
+    "bootstrap_sampled": (bootstrap_sampled, SAMPLED_SQL),
+    "bootstrap_fast": (bootstrap_fast, None),
 }

@@ -50,8 +50,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
         "_dropoff", F.expr(f"timestampadd(SECOND, {_SECONDS}, ts)")
     )
-    events.createOrReplaceTempView("_farebox_events")
-    return spark.sql(f"SELECT {_columns('_dropoff')} FROM _farebox_events")
+    return spark.sql(f"SELECT {_columns('_dropoff')} FROM {{events}}", events=events)
 
 
 def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

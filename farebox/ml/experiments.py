@@ -59,13 +59,14 @@ def partition_sweep(
     kind: str = "rf",
     label: str = "label",
     seed: int = 42,
+    method: str = "xxhash64",
     **params: object,
 ) -> DataFrame:
     """Seconds to fit on the training split of ``df`` cut into different partition counts.
 
     The split is by id hash, so every count trains on the same rows.
     """
-    train, _ = hash_split(df, id_col, seed=seed)
+    train, _ = hash_split(df, id_col, seed=seed, method=method)
     results = []
     for count in counts:
         with persisted(train.select("features", label).repartition(count)) as rows:

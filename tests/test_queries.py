@@ -19,7 +19,7 @@ def test_matches_sql(spark, con, sf, name):
 
 
 def test_every_query_without_sql_is_a_fit_or_random_draw():
-    allowed = ("fit_", "tune_", "bootstrap_sampled", "split_labels", "learning_curve", "partition_", "sample_vs_full",
+    allowed = ("fit_", "tune_", "bootstrap_fast", "learning_curve", "partition_profile", "sample_vs_full",
                "feature_importance", "stability", "linear_stability", "forest_report", "score_all")
     assert [n for n in FITS if not n.startswith(allowed)] == []
 
