@@ -5,25 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.llm.decontaminate import without_contaminated
 from farebox.llm.near_dedup import near_duplicates
+from farebox.llm.packing import pack
+from farebox.llm.quality import without_low_quality
+from farebox.llm.substring_dedup import without_repeats
 from farebox.sources.scratch import scratch_path
 
-#: No SQL twin: the classifier's rejects cannot be written as SQL. Tests compare with brute force.
+#: No SQL twin: the classifier's decisions cannot be written as SQL. Tests compare with brute force.
 ORACLE_SQL = None
 
 
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the quality classifier scores below 0.5 go."""
+    return without_low_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates stays, that of the smallest doc_id.
 
-    Rows that repeat a doc_id and its whole row are one row; a null doc_id stays.
+    Of rows that repeat a doc_id one stays; rows with a null doc_id all do.
     """
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    known = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return known.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 200 bytes that occur more than once are cut from the texts; n_chars follows. Rows stay."""
+    cut = without_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of what is left, packed into sequences."""
+    return pack(docs)
+
+
 STAGES = [
+    ("quality", reject_low_quality),
     ("near_dedup", drop_near_duplicates),
+    ("substring_dedup", cut_repeated_passages),
+    ("decontaminate", drop_contaminated),
+    ("pack", pack_sequences),
 ]
 
 

@@ -205,8 +205,9 @@ def contaminated(
     0.75 or more, weights falling with the number of items that hold a shingle. Of several
     windows, the most similar is given, then the first.
 
-    Null and empty texts and items match nothing; a text or item of fewer than five words is one
-    shingle. Items given twice count once. The item index is broadcast in blocks of at most
+    Null and empty texts and items match nothing. A text or an item of fewer than five words is one
+    shingle, so such an item matches only texts that consist of it: inside a longer one so few
+    words are no evidence. Items given twice count once. The item index is broadcast in blocks of at most
     about ``BLOCK_WORDS`` words (or one item), one pass over the documents for each; the documents
     are neither shuffled nor collected.
     """

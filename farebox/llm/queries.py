@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from farebox.llm import chat, maxscore, url_filter, warc
 from farebox.llm.decontaminate import contaminated
+from farebox.llm.html_extract import main_text
 from farebox.llm.near_dedup import near_duplicates
 from farebox.llm.packing import pack
 from farebox.llm.quality import quality_scores
@@ -21,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -108,6 +113,7 @@ FROM t GROUP BY conv_id
 """
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_main_text": (op1_main_text, None),
     "op2_decontaminate": (op2_decontaminate, None),
     "op3_warc_derivatives": (op3_warc_derivatives, None),
     "op4_pack": (op4_pack, None),
