@@ -14,10 +14,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, tuple[Query, str | None]]:
-    from catalog import evaluation, features, ingest, learning, profile, quality, reports, sampling
+    from catalog import evaluation, features, ingest, learning, plans, profile, quality, reports, sampling
 
     merged: dict[str, tuple[Query, str | None]] = {}
-    for module in (ingest, quality, features, reports, profile, sampling, evaluation, learning):
+    for module in (ingest, quality, features, reports, profile, sampling, evaluation, learning, plans):
         clash = merged.keys() & module.QUERIES.keys()
         if clash:
             raise ValueError(f"query names registered twice: {sorted(clash)}")

@@ -80,6 +80,22 @@ MAPE_SQL = f"""WITH {SCORED_SQL}, a AS (
 SELECT {mean_sql('ape', MICRO)} AS mape FROM a"""
 
 
+def _some_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_trips(spark, sf_dir).withColumn("label", F.expr("CASE WHEN trip_id % 17 = 0 THEN NULL ELSE label END"))
+
+
+def mape_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentage errors where some rows have no label: those rows do not count."""
+    rows = _some_unlabelled(spark, sf_dir)
+    stats = evaluate.residual_stats(evaluate.with_residuals(rows), per_unit=MICRO)
+    return evaluate.mape(rows, per_unit=MICRO).crossJoin(stats.select("mean_residual", "mean_abs_residual", "mean_percent_error"))
+
+
+UNLABELLED_SQL = f"""WITH {SCORED_SQL}, r AS (SELECT {_RESIDUALS} FROM scored WHERE trip_id % 17 <> 0)
+SELECT {mean_sql('percent_error', MICRO)} AS mape, {mean_sql('residual', MICRO)} AS mean_residual,
+  {mean_sql('abs_residual', MICRO)} AS mean_abs_residual, {mean_sql('percent_error', MICRO)} AS mean_percent_error FROM r"""
+
+
 def _range_sql(clamp: bool) -> str:
     number = "CAST(floor((label - lo) / width) AS BIGINT)"
     if clamp:
@@ -153,6 +169,7 @@ QUERIES = {
     "residual_columns": (residual_columns, RESIDUAL_SQL),
     "residual_stats": (residual_stats, STATS_SQL),
     "mape": (mape, MAPE_SQL),
+    "mape_unlabelled": (mape_unlabelled, UNLABELLED_SQL),
     "error_by_range": (error_by_range, _range_sql(clamp=False)),
     "error_by_range_clamped": (error_by_range_clamped, _range_sql(clamp=True)),
     "error_by_segment": (_segment("is_rush_hour"), _segment_sql("is_rush_hour")),

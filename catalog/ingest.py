@@ -117,6 +117,20 @@ FROM trips
 WHERE trip_id % 101 <> 0 AND trip_id % 97 <> 0 AND trip_id % 89 <> 0 AND trip_id % 83 <> 0 AND trip_id % 79 <> 0"""
 
 
+def csv_headerless_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fields as lines without any header, each line twice: none is taken for a header."""
+    path = scratch_path(spark, "lines")
+    lines = trips(spark, sf_dir).select("trip_id", F.expr(SHORT_EXPR).alias("short"))
+    lines = lines.select("trip_id", F.concat("short", F.lit(",")).alias("value"))
+    lines.unionByName(lines).orderBy("trip_id").select("value").write.text(path)
+    good, rejects = read_trip_lines(spark, path)
+    return good.agg(F.count(F.lit(1)).alias("good")).crossJoin(rejects.agg(F.count(F.lit(1)).alias("rejected")))
+
+
+HEADERLESS_SQL = f"""WITH {TRIPS_SQL} SELECT 2 * count(*) FILTER (WHERE trip_id % 83 <> 0 AND trip_id % 79 <> 0) AS good,
+  2 * count(*) FILTER (WHERE trip_id % 83 = 0 OR trip_id % 79 = 0) AS rejected FROM trips"""
+
+
 def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rejected lines of the same files, whole, with the reason."""
     return _trip_lines(spark, sf_dir)[1]
@@ -357,6 +371,7 @@ PREVIEW_SQL = f"WITH {FEATURED_SQL} SELECT trip_id, trip_distance, label FROM fe
 QUERIES = {
     "schema_check": (schema_check, SCHEMA_SQL),
     "csv_validating_scan": (csv_validating_scan, CSV_GOOD_SQL),
+    "csv_headerless_scan": (csv_headerless_scan, HEADERLESS_SQL),
     "csv_rejects": (csv_rejects, CSV_REJECT_SQL),
     "csv_header_scan": (csv_header_scan, CSV_HEADER_SQL),
     "json_report": (json_report, JSON_SQL),

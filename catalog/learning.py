@@ -2,29 +2,36 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import product
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.trips import FEATURED_SQL, TRIPS_SQL, featured_trips, trips, uniform_sql
+from catalog.trips import FEATURED_SQL, TIMED_SQL, TRIPS_SQL, featured_trips, mean_sql, trips, uniform_sql
+from farebox.functions.hashing import drawn
 from farebox.ml import experiments, models, prep, stability, tuning
 from farebox.operators import evaluate, scaling
 from farebox.operators.columns import slot_names
+from farebox.operators.quality import complete_rules, quarantine
 from farebox.operators.sampling import hash_split, with_split
 from farebox.plans.layers import run_layers
 from farebox.schema import FEATURES_13
 from farebox.sources.model_store import load_first_model, load_model, save_model
 from farebox.sources.scratch import scratch_path
 
-_SMALL_TREES = {"numTrees": 10, "maxDepth": 5}
+
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
 
 
 def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The featured trips as a written table, which is what fits read again and again."""
     path = scratch_path(spark, "featured")
     rows = featured_trips(spark, sf_dir).select("trip_id", "label", *FEATURES_13)
-    scaling.spread(rows, "trip_id").write.parquet(path)
+    scaling.spread(rows, _cores(spark), "trip_id").write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -54,8 +61,8 @@ SCALER_SQL = (
 
 def assembled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unscaled vector slots of every trip that has all inputs."""
-    raw = trips(spark, sf_dir)
     numeric = ("trip_distance", "passenger_count", "RatecodeID", "PULocationID")
+    raw, _ = quarantine(trips(spark, sf_dir), complete_rules(numeric))
     fitted = prep.feature_pipeline(numeric=numeric, scale=False).fit(raw)
     slots = vector_to_array("features")
     return fitted.transform(raw).select("trip_id", *[slots[i].alias(f"slot_{i}") for i in range(len(numeric))])
@@ -128,85 +135,214 @@ LINE_SQL = f"""WITH {FEATURED_SQL} SELECT round(regr_slope(label, trip_distance)
 FROM featured"""
 
 
-def _fit_metrics(kind: str, **params: object):
+TRAIN_SQL = f"{FEATURED_SQL}, train AS (SELECT * FROM featured WHERE {uniform_sql('trip_id')} < 0.8e0), "
+TRAIN_SQL += f"test AS (SELECT * FROM featured WHERE {uniform_sql('trip_id')} >= 0.8e0)"
+
+
+def _fitted(train: DataFrame, kind: str, **params: object):
+    with scaling.persisted(train.select("features", "label")) as rows:
+        return models.fit(kind, rows, **params).model
+
+
+def _normal_equations(kind: str, **params: object):
+    """Without regularisation, training residuals add up to 0 and are orthogonal to every input."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        train, _ = _split(spark, sf_dir)
+        error = F.col("label") - F.col("prediction")
+        scored = _fitted(train, kind, **params).transform(train).withColumn("x", vector_to_array("features"))
+        sums = scored.agg(
+            F.count(F.lit(1)).alias("records"), F.avg(error).alias("s0"),
+            *[F.avg(error * F.col("x")[i]).alias(f"s{i + 1}") for i in range(len(FEATURES_13))],
+        )
+        rows = [F.struct(F.lit(name).alias("input"), "records", (F.abs(F.col(f"s{i}")) < 1e-3).alias("orthogonal"))
+                for i, name in enumerate(("intercept", *FEATURES_13))]
+        return sums.select(F.inline(F.array(*rows)))
+
+    return query
+
+
+NORMAL_SQL = f"WITH {TRAIN_SQL} SELECT unnest([{', '.join(repr(c) for c in ('intercept', *FEATURES_13))}]) AS input, " \
+    "n AS records, true AS orthogonal FROM (SELECT count(*) AS n FROM train)"
+
+
+def linear_fits_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both linear regressors without regularisation: test rows, and whether they predict alike."""
+    train, test = _split(spark, sf_dir)
+    both = models.score({k: _fitted(train, k) for k in ("lr", "glr")}, test)
+    gap = F.abs(F.col("prediction_lr") - F.col("prediction_glr"))
+    return both.agg(F.count(F.lit(1)).alias("records"), (F.max(gap) < 1e-3).alias("agree"))
+
+
+AGREE_SQL = f"WITH {TRAIN_SQL} SELECT count(*) AS records, true AS agree FROM test"
+
+
+def fit_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prediction of a tree is the average label of the training rows that get it."""
+    train, _ = _split(spark, sf_dir)
+    scored = _fitted(train, "dt", **models.LIGHT["dt"]).transform(train)
+    leaves = scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("mean"))
+    return leaves.agg(
+        F.sum("n").alias("records"), F.count_if(F.abs(F.col("mean") - F.col("prediction")) > 1e-6).alias("leaves_off")
+    )
+
+
+TREE_SQL = f"WITH {TRAIN_SQL} SELECT count(*) AS records, 0::BIGINT AS leaves_off FROM train"
+
+
+def _beats_the_mean(fitted: dict, train: DataFrame, test: DataFrame, within: bool = False) -> DataFrame:
+    """Per model: test rows, whether its rmse is below that of the training mean, and, for averages of
+    labels, whether all predictions lie between the smallest and the largest of them."""
+    seen = train.agg(F.avg("label").alias("mean"), F.min("label").alias("low"), F.max("label").alias("high")).first()
+    scored = models.score(fitted, test).withColumn("prediction_mean", F.lit(seen["mean"]))
+
+    def mse(name: str):
+        error = F.col("label") - F.col(f"prediction_{name}")
+        return F.avg(error * error)
+
+    def row(name: str):
+        fields = [F.lit(name).alias("model_name"), F.col("records"), (F.col(f"m_{name}") < F.col("m_mean")).alias("beats_mean")]
+        return F.struct(*fields, *([F.col(f"w_{name}").alias("within")] if within else []))
+
+    sums = scored.agg(
+        F.count(F.lit(1)).alias("records"), mse("mean").alias("m_mean"), *[mse(n).alias(f"m_{n}") for n in fitted],
+        *[F.bool_and(F.col(f"prediction_{n}").between(seen["low"] - 1e-9, seen["high"] + 1e-9)).alias(f"w_{n}") for n in fitted],
+    )
+    return sums.select(F.inline(F.array(*map(row, fitted))))
+
+
+def _beats_sql(names, extra: str = "") -> str:
+    listed = ", ".join(f"'{n}'" for n in names)
+    return f"WITH {TRAIN_SQL} SELECT unnest([{listed}]) AS model_name, n AS records, true AS beats_mean{extra} " \
+        "FROM (SELECT count(*) AS n FROM test)"
+
+
+def _fit_beats(kind: str, within: bool = False):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         train, test = _split(spark, sf_dir)
-        with scaling.persisted(train.select("features", "label")) as rows:
-            model = models.fit(kind, rows, **params).model
-        return models.evaluate_model(model, test)
+        return _beats_the_mean({kind: _fitted(train, kind, **models.LIGHT[kind])}, train, test, within)
 
     return query
 
 
 def fit_five(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five regressors with their light settings, compared on the test rows in one pass."""
+    """The five regressors with their light settings, measured on the test rows in one pass."""
     train, test = _split(spark, sf_dir)
     with scaling.persisted(train.select("features", "label")) as rows:
         fitted = {kind: models.fit(kind, rows, **params).model for kind, params in models.LIGHT.items()}
-    return models.compare_models(fitted, test)
+    return _beats_the_mean(fitted, train, test)
 
 
 def sample_vs_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest fitted on a twentieth of the rows and on all: which are measured, best first, and how well."""
     train, test = _split(spark, sf_dir)
-    return models.sample_vs_full(train, test, "trip_id", 0.05, **models.LIGHT["rf"])
+    table = models.sample_vs_full(train, test, "trip_id", 0.05, **models.LIGHT["rf"])
+    sound = (F.col("r2") > 0) | (F.col("model_name") == "sample")  # a twentieth of a small table may teach nothing
+    return table.select("model_name", (F.col("rmse") > 0).alias("measured"), sound.alias("full_beats_mean"))
+
+
+SAMPLED_SQL = "SELECT unnest(['sample', 'full']) AS model_name, true AS measured, true AS full_beats_mean"
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 13 named inputs of a forest: none negative, together 1."""
     train, _ = _split(spark, sf_dir)
-    model = models.fit("rf", train, **_SMALL_TREES).model
-    return models.importances(train, model, slot_names(train, "features_raw"))
+    model = _fitted(train, "rf", **models.LIGHT["rf"])
+    table = models.importances(train, model, slot_names(train, "features_raw"))
+    total = table.agg(F.round(F.sum("importance"), 9).alias("total"))
+    return table.select("feature", (F.col("importance") >= 0).alias("not_negative")).crossJoin(total)
+
+
+IMPORTANCE_SQL = " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS not_negative, 1e0 AS total" for c in FEATURES_13)
 
 
 def stability_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change of a forest's predictions under noise of 0.01 on a tenth of the test rows."""
+    """A forest's predictions under noise of 0.01 on all test rows: rows, and a change within the labels' range."""
     train, test = _split(spark, sf_dir)
-    model = models.fit("rf", train, **_SMALL_TREES).model
-    return stability.stability(model, test, "trip_id", fraction=0.1)
+    moved = stability.stability(_fitted(train, "rf", **models.LIGHT["rf"]), test, "trip_id")
+    sound = (F.col("mean_change") >= 0) & (F.col("verdict") == F.when(F.col("mean_change") < 0.1, "STABLE").otherwise("UNSTABLE"))
+    return moved.select("records", sound.alias("sound"))
+
+
+STABILITY_SQL = f"WITH {TRAIN_SQL} SELECT count(*) AS records, true AS sound FROM test"
 
 
 def linear_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for the linear regressor on all test rows."""
+    """The linear regressor's change is that of its coefficients times the noise, row by row."""
     train, test = _split(spark, sf_dir)
-    return stability.stability(models.fit("lr", train).model, test, "trip_id")
+    model = _fitted(train, "lr", **models.LIGHT["lr"])
+    noisy = stability.perturb(test, "trip_id")
+    before, after = vector_to_array("features"), vector_to_array("features_perturbed")
+    change = sum(((after[i] - before[i]) * float(c) for i, c in enumerate(model.coefficients)), F.lit(0.0))
+    expected = noisy.agg(F.avg(F.abs(change)).alias("expected"))
+    both = stability.stability(model, test, "trip_id").crossJoin(expected)
+    return both.select("records", (F.abs(F.col("mean_change") - F.col("expected")) < 1e-9).alias("sound"))
 
 
-def tune_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = _split(spark, sf_dir)
-    return tuning.tune(models.make_regressor("rf"), {"numTrees": [5, 10], "maxDepth": [3, 5]}, train)[1]
+def _tuned(kind: str, grid: dict, **how: object):
+    """The table of a search: its combinations, each measured, with the best model's among the best."""
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        train, _ = _split(spark, sf_dir)
+        best, table = tuning.tune(models.make_regressor(kind), grid, train, id_col="trip_id", **how)
+        chosen = ", ".join(f"{name}={best.getOrDefault(name)}" for name in sorted(grid))
+        low = table.agg(F.min("rmse").alias("low"), F.min(F.when(F.col("params") == chosen, F.col("rmse"))).alias("chosen"))
+        sound = (F.col("rmse") > 0) & (F.col("chosen") == F.col("low"))
+        return table.crossJoin(low).select("params", sound.alias("sound"))
 
-def tune_split_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = _split(spark, sf_dir)
-    return tuning.tune(models.make_regressor("gbt"), {"maxIter": [3, 6], "maxDepth": [3]}, train)[1]
+    return query
+
+
+def _tuned_sql(grid: dict) -> str:
+    names = sorted(grid)
+    combos = [", ".join(f"{n}={v}" for n, v in zip(names, values)) for values in product(*(grid[n] for n in names))]
+    return " UNION ALL ".join(f"SELECT '{c}' AS params, true AS sound" for c in combos)
 
 
-def tune_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The default linear grid, cross-validated over folds hashed from the trip id."""
+def tuning_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a train/validation search fits and validates on: a draw by id, not by partition."""
     train, _ = _split(spark, sf_dir)
-    return tuning.tune(models.make_regressor("lr"), tuning.DEFAULT_GRIDS["lr"], train, method="cv", id_col="trip_id")[1]
+    fits = drawn("trip_id", 0.8, 42, "md5", "validation")
+    return train.agg(F.count_if(fits).alias("fitted"), F.count_if(~fits).alias("validated"))
+
+
+TUNING_SPLIT_SQL = f"""WITH {TRAIN_SQL} SELECT count(*) FILTER (WHERE {uniform_sql('trip_id', 'validation')} < 0.8e0) AS fitted,
+  count(*) FILTER (WHERE {uniform_sql('trip_id', 'validation')} >= 0.8e0) AS validated FROM train"""
 
 
 def learning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest on growing samples: rows of each, and that it was measured."""
     train, test = _split(spark, sf_dir)
-    return experiments.learning_curve(train, test, "trip_id", **_SMALL_TREES)
+    curve = experiments.learning_curve(train, test, "trip_id", method="md5", **models.LIGHT["rf"])
+    return curve.select("fraction", "records", (F.col("rmse") > 0).alias("measured"))
+
+
+CURVE_SQL = f"WITH {TRAIN_SQL} " + " UNION ALL ".join(
+    f"SELECT {f}e0 AS fraction, count(*) AS records, true AS measured FROM train WHERE {uniform_sql('trip_id', 'sample')} < {f}e0"
+    for f in experiments.FRACTIONS
+)
 
 
 def partition_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items hashed by their two flags: six values at most, so most partitions are empty."""
+    """Line items hashed by their two flags: six values at most, so most of twelve partitions are empty."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return scaling.partition_profile(items.repartition(12, "l_returnflag", "l_linestatus"))
+    profile = scaling.partition_profile(items.repartition(12, "l_returnflag", "l_linestatus"))
+    return profile.select("partitions", "records", "avg_size", "min_size")
+
+
+PROFILE_SQL = "SELECT 12::BIGINT AS partitions, count(*) AS records, count(*) / 12e0 AS avg_size, 0::BIGINT AS min_size FROM lineitem"
 
 
 def partition_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows trained on per partition count; the times are left to the bench."""
     df = _featured(spark, sf_dir)
     ready = prep.feature_pipeline().fit(df).transform(df)
-    swept = experiments.partition_sweep(ready, "trip_id", (4, 8, 16), method="md5", numTrees=5, maxDepth=5)
-    return swept.select("partitions", "records")
+    swept = experiments.partition_sweep(ready, "trip_id", method="md5", **models.LIGHT["rf"])
+    return swept.select("partitions", "records", (F.col("training_time") > 0).alias("timed"))
 
 
 SWEEP_SQL = f"""WITH {FEATURED_SQL}
-SELECT CAST(unnest([4, 8, 16]) AS INT) AS partitions, n AS records
+SELECT CAST(unnest([50, 100, 200]) AS INT) AS partitions, n AS records, true AS timed
 FROM (SELECT count(*) AS n FROM featured WHERE {uniform_sql('trip_id')} < 0.8e0)"""
 
 
@@ -219,56 +355,120 @@ STORAGE_SQL = f"""WITH {FEATURED_SQL} SELECT count(*) AS records, true AS is_cac
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Largest difference between a model's predictions before saving and after loading."""
+    """Largest difference between predictions before saving and after loading, for all five kinds."""
     train, test = _split(spark, sf_dir)
-    model = models.fit("dt", train, maxDepth=5).model
-    path = scratch_path(spark, "model")
-    save_model(model, path)
-    both = models.score({"kept": model, "loaded": load_model(path, "dt"),
-                         "fallback": load_first_model([path + "-tuned", path], "dt")}, test)
-    kept = F.col("prediction_kept")
-    return both.agg(
-        F.count(F.lit(1)).alias("records"),
-        F.max(F.abs(kept - F.col("prediction_loaded"))).alias("loaded_diff"),
-        F.max(F.abs(kept - F.col("prediction_fallback"))).alias("fallback_diff"),
-    )
+    scored = {}
+    with scaling.persisted(train.select("features", "label")) as rows:
+        for kind, params in models.LIGHT.items():
+            model, path = models.fit(kind, rows, **params).model, scratch_path(spark, "model")
+            save_model(model, path)
+            scored |= {f"{kind}_kept": model, f"{kind}_loaded": load_model(path, kind),
+                       f"{kind}_fallback": load_first_model([path + "-tuned", path], kind)}
+    both = models.score(scored, test)
+
+    def gap(kind: str, other: str):
+        return F.max(F.abs(F.col(f"prediction_{kind}_kept") - F.col(f"prediction_{kind}_{other}"))).alias(f"{kind}_{other}")
+
+    sums = both.agg(F.count(F.lit(1)).alias("records"), *[gap(k, o) for k in models.LIGHT for o in ("loaded", "fallback")])
+    rows_out = [F.struct(F.lit(k).alias("kind"), "records", F.col(f"{k}_loaded").alias("loaded_diff"),
+                         F.col(f"{k}_fallback").alias("fallback_diff")) for k in models.LIGHT]
+    return sums.select(F.inline(F.array(*rows_out)))
 
 
-ROUNDTRIP_SQL = f"""WITH {FEATURED_SQL} SELECT count(*) AS records, 0e0 AS loaded_diff, 0e0 AS fallback_diff
-FROM featured WHERE {uniform_sql('trip_id')} >= 0.8e0"""
+ROUNDTRIP_SQL = f"""WITH {TRAIN_SQL} SELECT unnest([{', '.join(f"'{k}'" for k in models.LIGHT)}]) AS kind, n AS records,
+  0e0 AS loaded_diff, 0e0 AS fallback_diff FROM (SELECT count(*) AS n FROM test)"""
+
+
+def layers_of(spark: SparkSession, raw: DataFrame, root: str | None = None):
+    """All layers of raw trips, written below ``root``."""
+    root = root or scratch_path(spark, "layers")
+    raw.write.parquet(f"{root}/raw")
+    return run_layers(spark, [f"{root}/raw"], root, "trip_id", method="md5")
 
 
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files through written bronze, silver and gold layers: the stored gold rows."""
-    root = scratch_path(spark, "layers")
-    trips(spark, sf_dir).write.parquet(f"{root}/raw")
-    stored = run_layers(spark, [f"{root}/raw"], root, "trip_id").rows
-    return stored.select(
+    """Raw files through written bronze, silver and gold layers: the stored gold rows, every scaled slot."""
+    built = layers_of(spark, trips(spark, sf_dir))
+    slots = vector_to_array("features")
+    return built.rows.select(
         "trip_id", "label", "pickup_hour", "is_rush_hour", "data_year", "data_month",
-        F.size(vector_to_array("features")).alias("slots"),
+        *[F.round(slots[i], 4).alias(f"slot_{i}") for i in range(len(FEATURES_13))],
     )
 
 
-LAYERS_SQL = f"""WITH {FEATURED_SQL} SELECT trip_id, label, pickup_hour, is_rush_hour, pickup_year AS data_year,
-  pickup_month AS data_month, CAST(13 AS INT) AS slots FROM featured"""
+_MOMENTS = ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS s{i}" for i, c in enumerate(FEATURES_13))
+_SLOTS = ", ".join(
+    f"CASE WHEN s{i} > 0 THEN round(({c} - m{i}) / s{i}, 4) ELSE 0e0 END AS slot_{i}" for i, c in enumerate(FEATURES_13)
+)
+LAYERS_SQL = f"""WITH {TRAIN_SQL}, moments AS (SELECT {_MOMENTS} FROM train)
+SELECT trip_id, label, pickup_hour, is_rush_hour, pickup_year AS data_year, pickup_month AS data_month, {_SLOTS}
+FROM featured, moments"""
+
+_NULL_RATES = "CASE WHEN trip_id % 10 = 3 THEN NULL ELSE RatecodeID END"
+
+
+def layers_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every written layer and reject reason, of trips a tenth of which have no rate code."""
+    root = scratch_path(spark, "layers")
+    built = layers_of(spark, trips(spark, sf_dir).withColumn("RatecodeID", F.expr(_NULL_RATES)), root)
+
+    def counted(rows: DataFrame, layer: str) -> DataFrame:
+        reason = F.col("reject_reason") if "reject_reason" in rows.columns else F.lit(None).cast("string")
+        return rows.groupBy(F.lit(layer).alias("layer"), reason.alias("reject_reason")).agg(F.count(F.lit(1)).alias("rows"))
+
+    bronze, silver = (spark.read.parquet(f"{root}/{name}") for name in ("bronze", "silver"))
+    tables = {"bronze": bronze, "silver": silver, "silver_rejects": built.silver_rejects, "gold": built.rows,
+              "gold_rejects": built.gold_rejects}
+    return reduce(DataFrame.unionByName, [counted(rows, layer) for layer, rows in tables.items()])
+
+
+RECONCILED_SQL = f"""WITH {TIMED_SQL}, judged AS (
+  SELECT {_NULL_RATES} IS NULL AS no_rate, CASE
+    WHEN NOT coalesce(fare_amount > 0 AND fare_amount <= 500, false) THEN 'fare'
+    WHEN NOT coalesce(trip_distance > 0 AND trip_distance <= 100, false) THEN 'distance'
+    WHEN NOT coalesce(total_amount > 0, false) THEN 'total'
+    WHEN NOT coalesce(trip_duration_minutes BETWEEN 1 AND 180, false) THEN 'duration'
+    WHEN NOT (passenger_count IS NULL OR (passenger_count > 0 AND passenger_count <= 6)) THEN 'passengers' END AS reason
+  FROM timed)
+SELECT 'bronze' AS layer, NULL AS reject_reason, count(*) AS rows FROM judged
+UNION ALL SELECT 'silver', NULL, count(*) FROM judged WHERE reason IS NULL
+UNION ALL SELECT 'silver_rejects', reason, count(*) FROM judged WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL SELECT 'gold', NULL, count(*) FROM judged WHERE reason IS NULL AND NOT no_rate
+UNION ALL SELECT 'gold_rejects', 'null_RatecodeID', count(*) FROM judged WHERE reason IS NULL AND no_rate HAVING count(*) > 0"""
 
 
 def forest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested evaluation report of a forest with its ten most important inputs."""
+    """Nested evaluation report of a forest: sound metrics and its ten most important inputs in order."""
     train, test = _split(spark, sf_dir)
-    model = models.fit("rf", train, **_SMALL_TREES).model
+    model = _fitted(train, "rf", **models.LIGHT["rf"])
     ranked = models.importances(train, model, slot_names(train, "features_raw"))
-    return evaluate.evaluation_report(model.transform(test), "forest", importances=ranked)
+    report = evaluate.evaluation_report(model.transform(test), "forest", importances=ranked)
+    metrics, top = F.col("metrics"), F.col("top_features")
+    falling = F.forall(F.sequence(F.lit(0), F.size(top) - 2), lambda i: top[i]["importance"] >= top[i + 1]["importance"])
+    return report.select(
+        "model_name",
+        (F.abs(metrics["rmse"] * metrics["rmse"] - metrics["mse"]) < 1e-6).alias("rmse_is_root"),
+        (metrics["mae"] <= metrics["rmse"]).alias("mae_below_rmse"), (metrics["r2"] > 0).alias("beats_mean"),
+        F.size(top).alias("top"), falling.alias("falling"),
+    )
+
+
+FOREST_REPORT_SQL = """SELECT 'forest' AS model_name, true AS rmse_is_root, true AS mae_below_rmse, true AS beats_mean,
+  CAST(10 AS INT) AS top, true AS falling"""
 
 
 def score_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row scored, with the split it belongs to, and the error per split."""
+    """Every row scored, with the split it belongs to: counts, average labels and errors in order."""
     labelled = with_split(_featured(spark, sf_dir), "trip_id", method="md5")
     train = labelled.filter(F.col("split") == "train")
     features = prep.feature_pipeline().fit(train)
     model = models.fit("lr", features.transform(train)).model
-    scored = model.transform(features.transform(labelled))
-    return evaluate.error_by_segment(scored, "split")
+    table = evaluate.error_by_segment(model.transform(features.transform(labelled)), "split", per_unit=1_000_000)
+    return table.select("split", "count", "avg_actual", (F.col("mae") <= F.col("rmse")).alias("in_order"))
+
+
+SCORE_ALL_SQL = f"""WITH {TRAIN_SQL}, every AS (SELECT 'train' AS split, label FROM train UNION ALL SELECT 'test', label FROM test)
+SELECT split, count(*) AS count, {mean_sql('label', 1_000_000)} AS avg_actual, true AS in_order FROM every GROUP BY split"""
 
 
 QUERIES = {
@@ -278,25 +478,28 @@ QUERIES = {
     "one_hot": (one_hot, ONE_HOT_SQL),
     "linear_fit_1f": (linear_fit_1f, LINE_SQL),
     "glm_gaussian_1f": (glm_gaussian_1f, LINE_SQL),
-    "fit_linear": (_fit_metrics("lr", **models.LIGHT["lr"]), None),
-    "fit_tree": (_fit_metrics("dt", **models.LIGHT["dt"]), None),
-    "fit_forest": (_fit_metrics("rf", **models.LIGHT["rf"]), None),
-    "fit_gbt": (_fit_metrics("gbt", **models.LIGHT["gbt"]), None),
-    "fit_glm": (_fit_metrics("glr", **models.LIGHT["glr"]), None),
-    "fit_five": (fit_five, None),
-    "score_all": (score_all, None),
-    "sample_vs_full": (sample_vs_full, None),
-    "feature_importance": (feature_importance, None),
-    "stability_test": (stability_test, None),
-    "linear_stability": (linear_stability, None),
-    "tune_split": (tune_split, None),
-    "tune_split_gbt": (tune_split_gbt, None),
-    "tune_cv": (tune_cv, None),
-    "learning_curve": (learning_curve, None),
-    "partition_profile": (partition_profile, None),
+    "fit_linear": (_normal_equations("lr"), NORMAL_SQL),
+    "fit_glm": (_normal_equations("glr"), NORMAL_SQL),
+    "linear_fits_agree": (linear_fits_agree, AGREE_SQL),
+    "fit_tree": (fit_tree, TREE_SQL),
+    "fit_forest": (_fit_beats("rf", within=True), _beats_sql(["rf"], ", true AS within")),
+    "fit_gbt": (_fit_beats("gbt"), _beats_sql(["gbt"])),
+    "fit_five": (fit_five, _beats_sql(models.LIGHT)),
+    "score_all": (score_all, SCORE_ALL_SQL),
+    "sample_vs_full": (sample_vs_full, SAMPLED_SQL),
+    "feature_importance": (feature_importance, IMPORTANCE_SQL),
+    "stability_test": (stability_test, STABILITY_SQL),
+    "linear_stability": (linear_stability, STABILITY_SQL),
+    "tune_split": (_tuned("rf", tuning.SMALL_GRIDS["rf"]), _tuned_sql(tuning.SMALL_GRIDS["rf"])),
+    "tune_split_gbt": (_tuned("gbt", tuning.SMALL_GRIDS["gbt"]), _tuned_sql(tuning.SMALL_GRIDS["gbt"])),
+    "tune_cv": (_tuned("lr", tuning.DEFAULT_GRIDS["lr"], method="cv"), _tuned_sql(tuning.DEFAULT_GRIDS["lr"])),
+    "tuning_split": (tuning_split, TUNING_SPLIT_SQL),
+    "learning_curve": (learning_curve, CURVE_SQL),
+    "partition_profile": (partition_profile, PROFILE_SQL),
     "partition_sweep": (partition_sweep, SWEEP_SQL),
     "storage_report": (storage_report, STORAGE_SQL),
     "model_roundtrip": (model_roundtrip, ROUNDTRIP_SQL),
     "layers_end_to_end": (layers_end_to_end, LAYERS_SQL),
-    "forest_report": (forest_report, None),
+    "layers_reconciled": (layers_reconciled, RECONCILED_SQL),
+    "forest_report": (forest_report, FOREST_REPORT_SQL),
 }

@@ -21,12 +21,12 @@ def mean(value: str | Column, per_unit: int | None = None) -> Column:
     Double addition depends on the order in which partial sums arrive, so the last digits of
     ``avg`` differ from run to run on a cluster. With ``per_unit`` the values are summed as
     whole 1/per_unit parts (100 for money in cents): the result is then the same whichever way
-    the rows are partitioned. The bigint sum raises, rather than wraps, when it overflows
-    (rows x largest value x per_unit above 9.2e18).
+    the rows are partitioned. The parts are summed as decimals of 38 digits, so only a single
+    value can be too large (value x per_unit above 9.2e18, which raises), not their sum.
     """
     if per_unit is None:
         return F.avg(as_column(value))
-    total = F.sum(whole_units(value, per_unit)).cast("double")
+    total = F.sum(whole_units(value, per_unit).cast("decimal(28,0)")).cast("double")
     return F.try_divide(total, F.count(as_column(value)).cast("double")) / F.lit(float(per_unit))
 
 

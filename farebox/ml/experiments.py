@@ -25,6 +25,7 @@ def learning_curve(
     label: str = "label",
     seed: int = 42,
     timed: bool = False,
+    method: str = "xxhash64",
     **params: object,
 ) -> DataFrame:
     """Test rmse of one regressor fitted on growing, nested hash samples of the training rows.
@@ -34,10 +35,12 @@ def learning_curve(
     """
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
     results = []
-    with persisted(train.select(*ids, "features", label)) as rows, persisted(test) as held:
+    with persisted(train.select(*ids, "features", label)) as rows, persisted(
+        test.select("features", label)
+    ) as held:
         held_rows = held.count()
         for fraction in fractions:
-            part = hash_sample(rows, ids, fraction, seed)
+            part = hash_sample(rows, ids, fraction, seed, method)
             records = part.count()
             model, seconds = fit(kind, part, label=label, **params)
             start = time.monotonic()

@@ -17,8 +17,10 @@ def feature_pipeline(
 ) -> Pipeline:
     """Index and one-hot encode categories, assemble ``features_raw``, standardise to ``features``.
 
-    Rows with a null input are left out by the assembler; unseen categories get an index of
-    their own. Fit it on the training side only.
+    A null input is an error: part such rows off first, with their reason, by ``quarantine`` and
+    ``complete_rules``, so that none is lost unnoticed. Unseen categories get an index of their
+    own. Fit it on the training side only. The slot names ``<c>_index``, ``<c>_encoded`` and
+    ``features_raw`` are fixed values. For categories see ``check_labels``.
     """
     stages = []
     encoded = [f"{c}_encoded" for c in categorical]
@@ -37,7 +39,7 @@ def feature_pipeline(
         )
     assembled = "features_raw" if scale else "features"
     stages.append(
-        VectorAssembler(inputCols=[*numeric, *encoded], outputCol=assembled, handleInvalid="skip")
+        VectorAssembler(inputCols=[*numeric, *encoded], outputCol=assembled, handleInvalid="error")
     )
     if scale:
         stages.append(
@@ -46,11 +48,29 @@ def feature_pipeline(
     return Pipeline(stages=stages)
 
 
-def index_categories(train: DataFrame, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+MAX_LABELS = 10_000
+
+
+def check_labels(df: DataFrame, cols: Sequence[str], max_labels: int = MAX_LABELS) -> None:
+    """Refuse columns with more than about ``max_labels`` values, before an index of them is fitted.
+
+    A fitted index keeps every value on the driver and one-hot encoding makes a slot of each, so it
+    is meant for codes and zones, not for ids. The count is one pass of sketches (2 % off).
+    """
+    found = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in cols]).first().asDict() if cols else {}
+    large = {c: n for c, n in found.items() if n > 1.05 * max_labels}
+    if large:
+        raise ValueError(f"more than {max_labels} labels: {large}")
+
+
+def index_categories(
+    train: DataFrame, df: DataFrame, cols: Sequence[str], max_labels: int = MAX_LABELS
+) -> DataFrame:
     """Add ``<col>_index``, most frequent training value first, ties in alphabetical order.
 
-    The fitted index lists every value of the column, so use it for codes and zones, not ids.
+    The fitted index lists every value of the column; ``check_labels`` guards its size.
     """
+    check_labels(train, cols, max_labels)
     indexer = StringIndexer(
         inputCols=list(cols),
         outputCols=[f"{c}_index" for c in cols],

@@ -44,7 +44,8 @@ def stability(
 ) -> DataFrame:
     """One row: rows tested, mean absolute change of the prediction, STABLE or UNSTABLE.
 
-    Both predictions are columns of the same row. ``fraction`` tests a hash sample.
+    Both predictions are columns of the same row. ``fraction`` tests a hash sample. Without rows
+    change and verdict are null.
     """
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
     rows = df.select(*ids, vec)
@@ -59,5 +60,5 @@ def stability(
         F.count(F.lit(1)).alias("records"),
         F.avg(F.abs(F.col("_before") - F.col("_after"))).alias("mean_change"),
     )
-    verdict = F.when(F.col("mean_change") < threshold, "STABLE").otherwise("UNSTABLE")
+    verdict = F.when(F.col("mean_change") < threshold, "STABLE").when(F.col("records") > 0, "UNSTABLE")
     return change.select("records", "mean_change", verdict.alias("verdict"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -10,6 +11,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farebox.functions.hashing import drawn
 from farebox.operators.sampling import with_fold
 from farebox.operators.scaling import persisted
 
@@ -48,14 +50,17 @@ def tune(
     seed: int = 42,
     id_col: str | Sequence[str] | None = None,
     metric: str = "rmse",
+    split_method: str = "xxhash64",
 ) -> tuple[Model, DataFrame]:
     """Search a grid; returns the best model refitted on all of ``train`` and a metric table.
 
-    ``method`` is "tvs" (one train/validation split) or "cv" (cross-validation; with ``id_col``
-    its folds are hashed from the row id and so are the same on every cluster). The training
-    rows stay persisted while the candidates are fitted. The table has one row per parameter
-    combination, best first.
+    ``method`` is "tvs" (one train/validation split) or "cv" (cross-validation). With ``id_col``
+    the split or the folds are hashed from the row id and so are the same on every cluster and
+    whatever the partitions. The rows stay persisted while the candidates are fitted,
+    ``parallelism`` at a time. The table has one row per parameter combination, best first.
     """
+    if method not in ("cv", "tvs"):
+        raise ValueError(f"method must be 'cv' or 'tvs', got {method!r}")
     maps = param_grid(estimator, grid)
     evaluator = RegressionEvaluator(
         labelCol=estimator.getOrDefault("labelCol"), predictionCol="prediction", metricName=metric
@@ -68,19 +73,34 @@ def tune(
         "seed": seed,
     }
     needed = [estimator.getOrDefault("featuresCol"), estimator.getOrDefault("labelCol")]
+    larger = evaluator.isLargerBetter()
+    if method == "tvs" and id_col is not None:
+        ids = [id_col] if isinstance(id_col, str) else list(id_col)
+        narrow = train.select(*dict.fromkeys([*ids, *needed]))
+        # a draw of its own: the split that made ``train`` may use the same seed and ids
+        fits = drawn(ids, ratio, seed, split_method, "validation")
+        fitting, validation = narrow.filter(fits).select(*needed), narrow.filter(~fits).select(*needed)
+        with persisted(fitting) as rows, persisted(validation) as held, ThreadPoolExecutor(parallelism) as pool:
+            metrics = list(pool.map(lambda m: evaluator.evaluate(estimator.fit(rows, m).transform(held)), maps))
+        best = maps[metrics.index(max(metrics) if larger else min(metrics))]
+        with persisted(train.select(*needed)) as rows:
+            return estimator.fit(rows, best), _table(train, maps, metrics, metric, larger)
     if method == "cv":
         if id_col is None:
             search, rows = CrossValidator(numFolds=folds, **common), train.select(*needed)
         else:
             rows = with_fold(train, id_col, folds, seed, out="fold").select(*needed, "fold")
             search = CrossValidator(numFolds=folds, foldCol="fold", **common)
-    elif method == "tvs":
-        search, rows = TrainValidationSplit(trainRatio=ratio, **common), train.select(*needed)
     else:
-        raise ValueError(f"method must be 'cv' or 'tvs', got {method!r}")
+        search, rows = TrainValidationSplit(trainRatio=ratio, **common), train.select(*needed)
     with persisted(rows):
         found = search.fit(rows)
     metrics = found.avgMetrics if method == "cv" else found.validationMetrics
+    return found.bestModel, _table(train, maps, metrics, metric, larger)
+
+
+def _table(train: DataFrame, maps: Sequence[dict], metrics: Sequence[float], metric: str, larger: bool) -> DataFrame:
+    """One row per parameter combination, best first."""
     table = train.sparkSession.createDataFrame(
         [
             (", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)), float(value))
@@ -88,5 +108,4 @@ def tune(
         ],
         f"params string, {metric} double",
     )
-    best_first = F.col(metric).desc() if evaluator.isLargerBetter() else F.col(metric).asc()
-    return found.bestModel, table.orderBy(best_first, "params")
+    return table.orderBy(F.col(metric).desc() if larger else F.col(metric).asc(), "params")

@@ -69,19 +69,25 @@ def regression_metrics(
 
 
 def with_residuals(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Add residual, abs_residual and percent_error (0.0 where the label is 0)."""
+    """Add residual, abs_residual and percent_error (0.0 where the label is 0).
+
+    All three are null where the label or the prediction is.
+    """
     residual = F.col(label) - F.col(prediction)
     return df.withColumns(
         {
             "residual": residual,
             "abs_residual": F.abs(residual),
-            "percent_error": F.when(
-                F.col(label) != 0, F.abs(residual) / F.abs(F.col(label)) * F.lit(100.0)
-            ).otherwise(F.lit(0.0)),
+            "percent_error": _percent(F.col(label), F.col(prediction)),
         }
     )
 
 
+def _percent(y: Column, p: Column) -> Column:
+    """Absolute error in percent of the label; 0.0 for a label of 0, null without label or prediction."""
+    return F.when((y == 0) & p.isNotNull(), F.lit(0.0)).when(y.isNotNull(), F.abs(y - p) / F.abs(y) * F.lit(100.0))
+
+
 def residual_stats(df: DataFrame, per_unit: int | None = None) -> DataFrame:
     """Mean and spread of the columns ``with_residuals`` adds, as one row."""
     return df.agg(
@@ -95,10 +101,11 @@ def residual_stats(df: DataFrame, per_unit: int | None = None) -> DataFrame:
 def mape(
     df: DataFrame, label: str = "label", prediction: str = "prediction", per_unit: int | None = None
 ) -> DataFrame:
-    """Mean absolute percentage error as one row; a label of 0 counts as no error."""
-    y, p = F.col(label), F.col(prediction)
-    ape = F.when(y != 0, F.abs((y - p) / y) * F.lit(100.0)).otherwise(F.lit(0.0))
-    return df.agg(mean(ape, per_unit).alias("mape"))
+    """Mean absolute percentage error as one row; a label of 0 counts as no error.
+
+    Rows without label or prediction do not count, as in the other metrics.
+    """
+    return df.agg(mean(_percent(F.col(label), F.col(prediction)), per_unit).alias("mape"))
 
 
 def error_by_range(

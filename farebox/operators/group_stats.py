@@ -8,13 +8,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farebox.functions.numeric import mean
 from farebox.sources.scratch import cut_lineage
 
 ROWS = "_rows"
 BROADCAST_BYTES = 32 << 20
-ROW_OVERHEAD = 64  # bytes of a hashed row beside its key text and its statistics
+ROW_OVERHEAD = 64  # bytes of a hashed row beside its values
 HOT_SHARE = 1 / 64
 HOT_SALTS = 1024
 
@@ -43,7 +44,7 @@ def default_specs(per_unit: Mapping[str, int] | None = None) -> dict[str, list[C
 
 @dataclass(frozen=True)
 class GroupTable:
-    """The (numeric) statistics of one key: one row per key value, and how large that is."""
+    """The statistics of one key: one row per key value, and how large that is."""
 
     key: str
     stats: DataFrame
@@ -74,15 +75,13 @@ def fit_group_stats(
             F.grouping_id().alias("_set"), F.count(F.lit(1)).alias(ROWS), *everything
         )
     )
-    key_bytes = reduce(
-        Column.__add__, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
-    )
+    measured = reduce(Column.__add__, [_value_bytes(f) for f in fitted.schema.fields if f.name not in ("_set", ROWS)])
     sizes = {
         r["_set"]: r
         for r in fitted.groupBy("_set")
         .agg(
             F.count(F.lit(1)).alias("groups"),
-            F.sum(key_bytes).alias("key_bytes"),
+            F.sum(measured).alias("value_bytes"),
             F.sum(ROWS).alias("trained"),
         )
         .collect()  # one row per key column
@@ -98,12 +97,24 @@ def fit_group_stats(
             key=key,
             stats=fitted.filter(F.col("_set") == set_id).select(*names, ROWS),
             groups=groups,
-            size_bytes=(size["key_bytes"] if size else 0) + groups * (8 * len(names) + ROW_OVERHEAD),
+            size_bytes=(size["value_bytes"] if size else 0) + groups * ROW_OVERHEAD,
             trained_rows=size["trained"] if size else 0,
         )
     return tables
 
 
+def _value_bytes(field: T.StructField) -> Column:
+    """Bytes of a value: 8 for a fixed-width one, else the length of its text."""
+    value = F.col(field.name)
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(value)))
+    else:
+        size = F.lit(16 if isinstance(field.dataType, T.DecimalType) else 8)
+    return F.coalesce(size, F.lit(0)) + 8
+
+
 def _salt(*cols: str) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(HOT_SALTS))
 
@@ -118,22 +129,26 @@ def lookup_join(
     """Left join of a statistics table onto ``df``; a null or unseen key gets null statistics.
 
     A table of at most ``broadcast_bytes`` is broadcast. A larger one is joined by shuffle,
-    except for the keys that held more than ``hot_share`` of the training rows: there are fewer
-    than 1/hot_share of them, so those few are broadcast, and the rows that carry them (or a
-    null) are spread over salts instead of meeting in one task. The salt hashes ``salt_cols``
-    (a row id is enough; by default every column, which then are all read). Keys that are hot
-    in ``df`` alone are left to adaptive skew handling.
+    except for the keys that hold more than ``hot_share`` of the rows of either side: there are
+    fewer than 2/hot_share of them, so those few are broadcast, and the rows that carry them (or a
+    null) are spread over salts instead of meeting in one task. Finding those of ``df`` takes a
+    count of its key column, written to the checkpoint folder. The salt hashes ``salt_cols`` (a row
+    id is enough; by default every column, which then are all read).
     """
     key = table.key
     names = [c for c in table.stats.columns if c not in (key, ROWS)]
     if table.size_bytes <= broadcast_bytes:
         return df.join(F.broadcast(table.stats.drop(ROWS)), key, "left")
 
-    is_hot = F.col(ROWS) > F.lit(hot_share * table.trained_rows)
-    hot = table.stats.filter(is_hot & F.col(key).isNotNull()).select(
+    counts = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias(ROWS)))
+    rows = counts.agg(F.sum(ROWS)).first()[0] or 0
+    trained_hot = table.stats.filter(F.col(ROWS) > F.lit(hot_share * table.trained_rows)).select(key)
+    own_hot = counts.filter(F.col(ROWS) > F.lit(hot_share * rows)).select(key)
+    hot_keys = F.broadcast(trained_hot.union(own_hot).filter(F.col(key).isNotNull()).distinct())
+    hot = hot_keys.join(table.stats.drop(ROWS), key, "left").select(
         key, *[F.col(n).alias(f"_hot_{n}") for n in names], F.lit(True).alias("_hot")
     )
-    cold = table.stats.filter(~is_hot & F.col(key).isNotNull()).select(
+    cold = table.stats.filter(F.col(key).isNotNull()).join(hot_keys, key, "left_anti").select(
         F.col(key).alias("_key"),
         _salt(key).alias("_key_salt"),
         *[F.col(n).alias(f"_cold_{n}") for n in names],

@@ -107,6 +107,11 @@ def speed_rule(max_mph: float = THRESHOLDS["max_speed_mph"], col: str = "speed_m
     return RuleSet([Rule("speed", F.col(col) <= max_mph)])
 
 
+def complete_rules(cols: Sequence[str]) -> RuleSet:
+    """Every column present and no NaN, one rule each, named ``null_<column>``."""
+    return RuleSet([Rule(f"null_{c}", F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))) for c in cols])
+
+
 def residual_faults() -> list[Rule]:
     """The four conditions that must hold in every cleaned row."""
     return [

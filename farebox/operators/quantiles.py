@@ -1,11 +1,12 @@
 """Exact quantiles of large numeric columns.
 
 ``percentile`` keeps every distinct value of a column in one aggregation buffer, which one task
-cannot hold for a large table. ``order_statistics`` narrows the value range around each wanted
-rank instead: one aggregation counts the rows in ``BINS`` equal slices of the current range,
-the slice that holds the rank becomes the next range, and so on until few enough rows are left
-to list. Every pass reads only the columns asked for and shuffles at most ``BINS`` rows per
-range and task.
+cannot hold for a large table. Here a one-pass sketch brackets each wanted rank between two values,
+one aggregation counts the rows below and inside each bracket, and the values inside are listed:
+three passes for tables of up to ``LIST_ROWS`` * ``ACCURACY`` / 8 rows. In a larger table the
+inside of a bracket is sketched again, which divides it by thousands, so the passes depend on the
+number of rows alone and not on how the values are spread. Every pass reads only the columns asked
+for; what is shuffled is one sketch per column and task, or the listed values.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BINS = 1024
+ACCURACY = 10_000  # a sketched rank is off by 1 / ACCURACY of the rows at most
 LIST_ROWS = 20_000
 
 
@@ -37,64 +38,78 @@ class _Range:
     def inside(self) -> Column:
         return F.col(self.col).between(self.lo, self.hi)
 
-    def slice_of(self) -> Column:
-        # halved where the width itself would overflow to infinity
-        part = 0.5 if math.isinf(self.hi - self.lo) else 1.0
-        offset = F.col(self.col) * F.lit(part) - F.lit(self.lo * part)
-        return F.floor(offset / F.lit(self.hi * part - self.lo * part) * F.lit(float(BINS))).cast("int")
 
+def _near(probability: float) -> list[float]:
+    """Probabilities between whose sketched values the true one lies."""
+    return [min(1.0, max(0.0, probability + side * 2 / ACCURACY)) for side in (-1, 1)]
 
-def _extent(df: DataFrame, cols: Sequence[str]) -> list[_Range]:
+
+def _extent(
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float] = ()
+) -> dict[_Range, list[float]]:
+    """Each column's range, with the sketched values around the given probabilities, in one pass."""
+    near = sorted({q for p in probabilities for q in _near(p)})
     found = df.agg(
         *[f(F.col(c)).alias(f"{name}_{i}") for i, c in enumerate(cols)
-          for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+          for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))],
+        *[F.percentile_approx(c, near, ACCURACY).alias(f"q_{i}") for i, c in enumerate(cols) if near],
     ).first()
     if any(math.isinf(found[f"{end}_{i}"] or 0.0) for i in range(len(cols)) for end in ("lo", "hi")):
         raise ValueError("quantiles need finite values")
-    return [
-        _Range(c, found[f"lo_{i}"], found[f"hi_{i}"], found[f"n_{i}"], 0)
+    return {
+        _Range(c, found[f"lo_{i}"], found[f"hi_{i}"], found[f"n_{i}"], 0): found[f"q_{i}"] if near else []
         for i, c in enumerate(cols)
         if found[f"n_{i}"]
-    ]
+    }
 
 
-def _tagged(df: DataFrame, ranges: Sequence[_Range], slices: bool) -> DataFrame:
-    """One row (range, slice, v) per value and range that holds it; the slice is 0 unless asked for."""
+def _tagged(df: DataFrame, ranges: Sequence[_Range]) -> DataFrame:
+    """One row (range, v) per value and range that holds it."""
     structs = [
-        F.when(
-            r.inside(),
-            F.struct(
-                F.lit(i).alias("range"),
-                (r.slice_of() if slices else F.lit(0)).alias("slice"),
-                F.col(r.col).alias("v"),
-            ),
-        )
-        for i, r in enumerate(ranges)
+        F.when(r.inside(), F.struct(F.lit(i).alias("range"), F.col(r.col).alias("v"))) for i, r in enumerate(ranges)
     ]
     return df.select(F.inline(F.array(*structs))).filter(F.col("range").isNotNull())
 
 
-def _narrow(df: DataFrame, ranges: Sequence[_Range]) -> list[_Range]:
-    """Split each range into slices and return the non-empty ones as ranges."""
-    counts = (
-        _tagged(df, ranges, slices=True)
-        .groupBy("range", "slice")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        .collect()  # at most len(ranges) * (BINS + 1) rows
-    )
-    out, below = [], {}
-    for row in sorted(counts, key=lambda r: (r["range"], r["slice"])):
-        parent = ranges[row["range"]]
-        start = below.get(row["range"], parent.below)
-        out.append(_Range(parent.col, row["lo"], row["hi"], row["n"], start))
-        below[row["range"]] = start + row["n"]
+def _sketched(df: DataFrame, holding: Mapping[_Range, Sequence[int]]) -> dict[_Range, list[float]]:
+    """For each range, values around its wanted ranks, from a sketch of what the range holds."""
+    near = {r: sorted({q for k in ranks for q in _near((k - r.below + 0.5) / r.rows)}) for r, ranks in holding.items()}
+    row = df.agg(
+        *[F.percentile_approx(F.when(r.inside(), F.col(r.col)), qs, ACCURACY).alias(f"q{i}")
+          for i, (r, qs) in enumerate(near.items())]
+    ).first()
+    return {r: row[f"q{i}"] for i, r in enumerate(near)}
+
+
+def _cut(df: DataFrame, cuts: Mapping[_Range, Sequence[float]]) -> list[_Range]:
+    """Cut each range at values inside it and count the parts, in one pass.
+
+    Every cut value is a part of its own, as are the open gaps between, so a range with more than
+    one value always becomes smaller ones and no rank is lost, wherever the cuts are.
+    """
+    parts: list[tuple[_Range, Column]] = []
+    for r, values in cuts.items():
+        v, at = F.col(r.col), sorted({r.lo, *values, r.hi})
+        for low, high in zip(at, [*at[1:], None]):
+            parts.append((r, v == low))
+            if high is not None:
+                parts.append((r, (v > low) & (v < high)))
+    counted = df.agg(
+        *[f(F.when(member, F.col(r.col))).alias(f"{name}{i}") for i, (r, member) in enumerate(parts)
+          for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    ).first()
+    out, below = [], {r: r.below for r in cuts}
+    for i, (r, _) in enumerate(parts):
+        if rows := counted[f"n{i}"]:
+            out.append(_Range(r.col, counted[f"lo{i}"], counted[f"hi{i}"], rows, below[r]))
+            below[r] += rows
     return out
 
 
 def _list(df: DataFrame, ranges: Sequence[_Range]) -> list[list[float]]:
     """All values of ranges that hold at most LIST_ROWS rows each, sorted."""
     counts = (
-        _tagged(df, ranges, slices=False)
+        _tagged(df, ranges)
         .groupBy("range", "v")
         .agg(F.count(F.lit(1)).alias("n"))
         .collect()  # at most len(ranges) * LIST_ROWS rows
@@ -129,7 +144,7 @@ def order_statistics(
         open_ranks -= found.keys()
         wide = [r for r in holding if r.lo < r.hi and r.rows > LIST_ROWS]
         if wide:
-            ranges = _narrow(df, wide)
+            ranges = _cut(df, _sketched(df, {r: [k for _, k in holding[r]] for r in wide}))
     return found
 
 
@@ -141,7 +156,8 @@ def exact_quantiles(
     Runs Spark jobs at once and returns plain numbers; columns are read as double.
     """
     narrow = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-    extent = _extent(narrow, cols)
+    sketched = _extent(narrow, cols, probabilities)
+    extent = list(sketched)
     places: dict[str, list[tuple[int, int, float]]] = {}
     for r in extent:
         for p in probabilities:
@@ -149,7 +165,9 @@ def exact_quantiles(
             lower = math.floor(position)
             places.setdefault(r.col, []).append((lower, min(lower + 1, r.rows - 1), position - lower))
     wanted = {c: sorted({k for lo, hi, _ in spots for k in (lo, hi)}) for c, spots in places.items()}
-    values = order_statistics(narrow, wanted, extent) if wanted else {}
+    large = {r: cuts for r, cuts in sketched.items() if r.rows > LIST_ROWS and r.lo < r.hi}
+    ranges = [r for r in extent if r not in large] + (_cut(narrow, large) if large else [])
+    values = order_statistics(narrow, wanted, ranges) if wanted else {}
 
     def interpolate(c: str, lo: int, hi: int, part: float) -> float:
         a, b = values[(c, lo)], values[(c, hi)]

@@ -5,39 +5,30 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_COUNT_SCHEMA = pa.schema([("pid", pa.int32()), ("rows", pa.int64())])
 
+def spread(df: DataFrame, partitions: int, *cols: str) -> DataFrame:
+    """Deal rows to ``partitions``, hashed by ``cols`` or evenly without them: a full shuffle.
 
-def spread(df: DataFrame, *cols: str, at_least: int | None = None) -> DataFrame:
-    """Repartition a table that is read in fewer partitions than there are cores.
-
-    Put it in front of work that costs far more CPU than its rows cost bytes (resampling, tree
-    fits). A large table already has more partitions than cores and is returned as it is.
-    ``cols`` hash the rows, otherwise they are dealt out evenly. The partition count is taken
-    from the plan, so use it right after a scan, not behind joins or aggregations.
+    For small tables in front of work that costs far more CPU than its rows cost bytes
+    (resampling, tree fits). Whether a table is small is the caller's to know; nothing is read to
+    find out.
     """
-    wanted = at_least or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *cols)
-
-
-def _count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = sum(batch.num_rows for batch in batches)
-    pid = TaskContext.get().partitionId()
-    yield pa.RecordBatch.from_pydict({"pid": [pid], "rows": [rows]}, schema=_COUNT_SCHEMA)
+    return df.repartition(partitions, *cols)
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:
     """One row per partition, empty ones included: pid, rows.
 
-    Grouping by ``spark_partition_id`` cannot see empty partitions, so each task counts its
-    own Arrow batches of a one-byte column.
+    Rows are counted by ``spark_partition_id``, combined map-side; the partitions without any come
+    from a range of as many numbers as the plan of ``df`` has partitions.
     """
-    return df.select(F.lit(True).alias("_")).mapInArrow(_count_partition, "pid int, rows bigint")
+    counts = df.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("rows"))
+    numbers = df.sparkSession.range(df.rdd.getNumPartitions()).select(F.col("id").cast("int").alias("pid"))
+    return numbers.join(counts, "pid", "left").select("pid", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 def partition_profile(df: DataFrame) -> DataFrame:

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from farebox.ml.prep import feature_pipeline, to_gold
 from farebox.operators.columns import add_bronze_lineage, add_silver_lineage, gold_projection, narrow_ids
 from farebox.operators.features import model_features, with_duration
-from farebox.operators.quality import RuleSet, apply_rules, impute_rules
+from farebox.operators.quality import RuleSet, apply_rules, complete_rules, impute_rules, quarantine
 from farebox.operators.sampling import hash_split
-from farebox.sources.readers import read_trip_files, read_trips
+from farebox.schema import FEATURES_13
+from farebox.sources.readers import read_trip_files
 from farebox.sources.writers import write_layer
 
 
@@ -35,20 +36,33 @@ def silver(
 class Gold(NamedTuple):
     rows: DataFrame
     features: PipelineModel
+    rejects: DataFrame
 
 
-def gold(silver_rows: DataFrame, id_col: str | Sequence[str], ratio: float = 0.8, seed: int = 42) -> Gold:
-    """Features for all rows, with the scaler fitted on the training side of the hash split.
+def gold(
+    silver_rows: DataFrame, id_col: str | Sequence[str], ratio: float = 0.8, seed: int = 42, method: str = "xxhash64"
+) -> Gold:
+    """Features for all rows that have every input, with the scaler fitted on the training side of
+    the hash split, and the others as rejects with their reason.
 
     The id columns stay in front of the gold columns so that later steps can repeat the split.
     """
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
-    featured = model_features(silver_rows)
-    train, _ = hash_split(featured, ids, ratio, seed)
+    complete, rejects = quarantine(model_features(silver_rows), complete_rules(FEATURES_13))
+    train, _ = hash_split(complete, ids, ratio, seed, method)
     fitted = feature_pipeline().fit(train)
-    ready = to_gold(fitted.transform(featured))
+    ready = to_gold(fitted.transform(complete))
     extra = [c for c in ids if c not in gold_projection(ready).columns]
-    return Gold(ready.select(*extra, *gold_projection(ready).columns), fitted)
+    return Gold(ready.select(*extra, *gold_projection(ready).columns), fitted, rejects)
+
+
+class Layers(NamedTuple):
+    """The stored gold table with its fitted features, and what each step set aside."""
+
+    rows: DataFrame
+    features: PipelineModel
+    silver_rejects: DataFrame
+    gold_rejects: DataFrame
 
 
 def run_layers(
@@ -58,15 +72,25 @@ def run_layers(
     id_col: str | Sequence[str],
     source: str | None = None,
     at: datetime | None = None,
-) -> Gold:
-    """Read raw months, write all three layers below ``out`` and return the stored gold table.
-
-    ``source`` labels the whole batch; without it every row keeps the path of its raw file.
-    Each layer is read back from its files, so a lost executor repeats work of one layer only.
+    rules: RuleSet | None = None,
+    method: str = "xxhash64",
+) -> Layers:
+    """Read raw months, write all layers below ``out`` and return the stored gold table and rejects.
+
+    ``silver`` and ``silver_rejects`` together are the rows of ``bronze``, ``gold`` and ``gold_rejects``
+    those of ``silver``; a reject carries the first rule it breaks. ``source`` labels the whole
+    batch; without it every row keeps the path of its raw file. Each layer is gathered by month and
+    read back from its files, so a lost executor repeats work of one layer only.
     """
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        write_layer(df, f"{out}/{name}", rebalance=True)
+        return spark.read.schema(df.schema).parquet(f"{out}/{name}")
+
     raw = read_trip_files(spark, raw_paths, source_col="source_file")
-    write_layer(bronze(raw, at, source or F.col("source_file")), f"{out}/bronze")
-    write_layer(silver(read_trips(spark, f"{out}/bronze"), cleaned_at=at), f"{out}/silver")
-    built = gold(read_trips(spark, f"{out}/silver"), id_col)
-    write_layer(built.rows, f"{out}/gold")
-    return Gold(read_trips(spark, f"{out}/gold"), built.features)
+    bronze_rows = stored(bronze(raw, at, source or F.col("source_file")), "bronze")
+    clean, rejected = quarantine(with_duration(bronze_rows), rules or impute_rules())
+    silver_rows = stored(add_silver_lineage(clean, at), "silver")
+    silver_rejects = stored(add_silver_lineage(rejected, at, "rejected"), "silver_rejects")
+    built = gold(silver_rows, id_col, method=method)
+    return Layers(stored(built.rows, "gold"), built.features, silver_rejects, stored(built.rejects, "gold_rejects"))

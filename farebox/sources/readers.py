@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from farebox.operators.columns import widen_integers
 from farebox.schema import ID_COLS, trip_schema
 
 MALFORMED = "_malformed"
+SCHEMA_READERS = 16
 
 
 def read_trips(
@@ -79,19 +81,19 @@ def read_trip_lines(
     schema: T.StructType | None = None,
     sep: str = ",",
     required: Sequence[int] = (0, 1, 2),
-    header: str | None = None,
+    header: str | bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Validating text scan: (typed good rows, rejected lines with their reason).
 
-    Without ``header`` the first line read is taken as the header, and every line equal to it,
-    in any file, is dropped.
+    ``header`` is the header line itself, of which every copy in any file is dropped; True takes
+    the first line read for it; False, the default, treats every line as data.
     """
     schema = schema or trip_schema()
     lines = spark.read.text(path if isinstance(path, str) else list(path))
-    if header is None:
+    if header is True:
         first = lines.first()
-        header = first["value"] if first is not None else None
-    parsed = parse_trip_lines(lines, schema, header, sep, required)
+        header = first["value"] if first is not None else False
+    parsed = parse_trip_lines(lines, schema, header or None, sep, required)
     good = parsed.filter(F.col("reject_reason").isNull()).drop("value", "reject_reason")
     rejects = parsed.filter(F.col("reject_reason").isNotNull()).select("value", "reject_reason")
     return good, rejects
@@ -131,11 +133,13 @@ def read_trip_files(
     file is kept: id columns and integers become long, and a column that a month lacks is null.
     Paths that share a physical schema share one scan, so the plan grows with the number of
     distinct schemas (a handful), not with the number of files. ``source_col`` names a column
-    for the path of the file each row came from, which is gone after the union otherwise.
+    for the path of the file each row came from, which is gone after the union otherwise. The
+    footers are read by ``SCHEMA_READERS`` threads at a time.
     """
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path in paths:
-        physical = spark.read.parquet(path).schema
+    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+    for path, physical in zip(paths, schemas):
         groups.setdefault(physical.json(), (physical, []))[1].append(path)
     scans = [spark.read.schema(physical).parquet(*members) for physical, members in groups.values()]
     if schema is None:

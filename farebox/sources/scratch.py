@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_given: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -23,13 +28,23 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     base = tempfile.mkdtemp(prefix="farebox-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(base)
     return base
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/farebox-{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder. ``clear_scratch`` deletes what is written there."""
+    path = f"{shared_dir(spark).rstrip('/')}/farebox-{label}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what was written to all paths given so far; results that still read them end with it."""
+    while _given:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_given.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

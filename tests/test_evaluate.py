@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
+from farebox.functions.numeric import mean
 from farebox.operators import evaluate
 from farebox.sources.writers import write_json
 
@@ -96,3 +97,16 @@ def test_report_is_one_nested_row(spark, preds, tmp_path):
     }
     assert [t["feature"] for t in got["top_features"]] == [f"f{i}" for i in range(11, 1, -1)]
     assert "top_features" not in evaluate.evaluation_report(preds, "m").columns
+
+
+def test_means_in_whole_parts_do_not_overflow(spark):
+    df = spark.range(300).select(F.lit(9.0e12).alias("label"), F.lit(0.0).alias("prediction"))
+    got = df.agg(mean("label", 1_000_000).alias("m")).first()["m"]
+    assert got == 9.0e12  # 300 values of 9e18 parts
+
+
+def test_rows_without_a_label_do_not_count_as_errors(spark):
+    df = spark.createDataFrame([(None, 5.0), (10.0, 5.0), (0.0, 1.0), (4.0, None)], "label double, prediction double")
+    assert evaluate.mape(df).first()["mape"] == 25.0
+    errors = [r["percent_error"] for r in evaluate.with_residuals(df).collect()]
+    assert errors == [None, 50.0, 0.0, None]

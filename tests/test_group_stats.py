@@ -63,3 +63,27 @@ def test_statistics_of_several_keys_in_one_scan(spark):
     assert got[(2, 8)]["vendor_avg_fare"] == 25.0
     assert got[(1, 7)]["hour_avg_fare"] == 15.0 and got[(1, 7)]["hour_trip_count"] == 2
     assert got[(2, 7)]["payment_avg_tip_pct"] == 0.0 and got[(1, 7)]["payment_avg_tip_pct"] == 10.0
+
+
+def test_text_statistics_count_with_their_bytes(spark):
+    df = spark.range(400).select((F.col("id") % 200).alias("key"), F.repeat(F.lit("x"), 4000).alias("text"))
+    table = fit_group_stats(df, {"key": [F.max("text").alias("longest"), F.collect_set("text").alias("all")]})["key"]
+    assert table.size_bytes > 2 * 200 * 4000
+    plan = lookup_join(df, table, broadcast_bytes=1_000_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan  # the few hot keys
+    small = lookup_join(df, table, broadcast_bytes=10_000_000)
+    assert small.exceptAll(lookup_join(df, table, broadcast_bytes=0)).count() == 0
+
+
+def test_a_key_that_is_hot_in_the_joined_table_alone_is_spread(spark):
+    train = spark.range(2_000).select((F.col("id") % 500).cast("int").alias("key"), F.col("id").cast("double").alias("x"))
+    table = fit_group_stats(train, specs())["key"]
+    df = spark.range(40_000).select(F.when(F.col("id") % 10 > 0, -1).otherwise(F.col("id").cast("int")).alias("key"), "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = [r["count"] for r in lookup_join(df, table, broadcast_bytes=0).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 40_000 and max(sizes) < 1.5 * 40_000 / len(sizes)

@@ -5,6 +5,7 @@ from catalog.trips import featured_trips
 from farebox.ml import experiments, models, prep, stability, tuning
 from farebox.operators import evaluate
 from farebox.operators.columns import slot_names
+from farebox.operators.quality import complete_rules, quarantine
 from farebox.operators.sampling import hash_split
 from farebox.operators.scaling import partition_profile, partition_sizes, persisted, spread, storage_report
 from farebox.schema import FEATURES_13, GOLD_COLS
@@ -77,10 +78,14 @@ def test_category_index_order_ties_and_unseen(spark):
     assert got == {"c": 0.0, "a": 1.0, "b": 2.0, "z": 3.0, None: 3.0}
 
 
-def test_rows_with_missing_inputs_are_skipped(spark):
+def test_rows_with_missing_inputs_are_set_aside_with_a_reason(spark):
     df = spark.createDataFrame([(1.0, "a"), (None, "a"), (float("nan"), "b"), (2.0, "b")], "x double, c string")
-    out = prep.feature_pipeline(("c",), ("x",)).fit(df).transform(df)
+    complete, rejects = quarantine(df, complete_rules(["x"]))
+    assert [r["reject_reason"] for r in rejects.collect()] == ["null_x", "null_x"]
+    out = prep.feature_pipeline(("c",), ("x",)).fit(complete).transform(complete)
     assert out.count() == 2
+    with pytest.raises(Exception):
+        prep.feature_pipeline(("c",), ("x",)).fit(df).transform(df).count()
     assert slot_names(out, "features_raw") == ["x", "c_encoded_a", "c_encoded_b", "c_encoded___unknown"]
 
 
@@ -158,10 +163,32 @@ def test_partition_counts_see_empty_partitions(spark):
     assert (row["partitions"], row["records"], row["min_size"], row["max_size"]) == (8, 10, 0, 10)
 
 
-def test_spread_only_small_inputs(spark):
-    assert spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    big = spark.range(0, 10, 1, 9)
-    assert spread(big) is big
+def test_spread_deals_rows_to_the_partitions_asked_for(spark):
+    dealt = spread(spark.range(0, 100, 1, 1), 5, "id")
+    assert dealt.rdd.getNumPartitions() == 5 and dealt.count() == 100
+
+
+def test_no_row_of_a_partition_profile_goes_through_python(spark):
+    plan = partition_profile(spark.range(100).repartition(4, "id"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "MapInArrow" not in plan
+
+
+def test_too_many_labels_are_refused(spark):
+    df = spark.range(2000).select(F.col("id").cast("string").alias("c"))
+    with pytest.raises(ValueError, match="labels"):
+        prep.index_categories(df, df, ["c"], max_labels=500)
+
+
+def test_hashed_tuning_does_not_depend_on_the_partitions(data):
+    estimator, found = models.make_regressor("lr"), []
+    for n in (1, 4, 7):
+        _, table = tuning.tune(estimator, {"regParam": [0.0, 1.0]}, data[0].repartition(n), id_col="trip_id")
+        found.append({r["params"]: round(r["rmse"], 9) for r in table.collect()})
+    assert found[0] == found[1] == found[2] and len(found[0]) == 2
+
+
+def test_stability_of_no_rows_is_unknown(data, fitted):
+    assert tuple(stability.stability(fitted["lr"].model, data[1].limit(0), "trip_id").first()) == (0, None, None)
 
 
 def test_persisted_is_released(spark):
@@ -182,7 +209,7 @@ def test_layers_are_written_and_read_back(spark, sf, tmp_path):
             part = part.withColumn("passenger_count", F.col("passenger_count").cast("double"))
         part.write.parquet(str(tmp_path / f"raw{i}"))
         paths.append(str(tmp_path / f"raw{i}"))
-    gold, features = run_layers(spark, paths, str(tmp_path / "out"), "trip_id")
+    gold, features, silver_rejects, gold_rejects = run_layers(spark, paths, str(tmp_path / "out"), "trip_id")
     expected = featured_trips(spark, sf).count()
     assert gold.count() == expected
     assert set(gold.columns) == {"trip_id", *GOLD_COLS}
@@ -190,6 +217,8 @@ def test_layers_are_written_and_read_back(spark, sf, tmp_path):
     assert silver.count() == expected and {"source_file", "data_quality_flag"} <= set(silver.columns)
     files = {r[0].rsplit("/", 2)[1] for r in silver.select("source_file").distinct().collect()}
     assert files == {"raw0", "raw1"}
+    assert silver_rejects.count() == trips(spark, sf).count() - expected and gold_rejects.count() == 0
+    assert {r[0] for r in silver_rejects.select("data_quality_flag").distinct().collect()} == {"rejected"}
     assert len(features.stages) == 2
 
 

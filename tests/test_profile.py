@@ -20,7 +20,7 @@ SHAPES = {
 @pytest.mark.parametrize("list_rows", [0, 25, 20_000])
 def test_exact_quantiles_whatever_the_passes(spark, monkeypatch, shape, list_rows):
     monkeypatch.setattr(quantiles, "LIST_ROWS", list_rows)
-    monkeypatch.setattr(quantiles, "BINS", 16 if list_rows == 25 else 1024)
+    monkeypatch.setattr(quantiles, "ACCURACY", 16 if list_rows == 25 else 10_000)
     values = SHAPES[shape]
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(3)
     probabilities = [0.0, 0.025, 0.25, 0.5, 0.75, 0.999, 1.0]

@@ -44,7 +44,7 @@ LINES = [
 ]
 
 
-@pytest.mark.parametrize("header", [None, HEADER])
+@pytest.mark.parametrize("header", [True, HEADER])
 def test_validating_scan(spark, tmp_path, header):
     (tmp_path / "a.csv").write_text("\n".join(line for line, _ in LINES) + "\n")
     good, rejects = readers.read_trip_lines(spark, str(tmp_path / "*.csv"), header=header)
@@ -65,6 +65,12 @@ def test_each_line_is_parsed_once(spark, tmp_path):
     assert plan.count("from_csv") == 1
 
 
+def test_without_a_header_no_line_is_dropped(spark, tmp_path):
+    (tmp_path / "a.csv").write_text((GOOD + "\n") * 3)
+    good, rejects = readers.read_trip_lines(spark, str(tmp_path))
+    assert good.count() == 3 and rejects.count() == 0
+
+
 def test_header_csv(spark, tmp_path):
     (tmp_path / "a.csv").write_text(HEADER + "\n" + GOOD + "\n")
     df = readers.read_trip_csv(spark, str(tmp_path))
