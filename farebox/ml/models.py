@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from farebox.operators.evaluate import compare
 from farebox.operators.sampling import hash_sample
+from farebox.operators.scaling import persisted
 
 ESTIMATORS = {
     "lr": LinearRegression,
@@ -133,8 +134,10 @@ def sample_vs_full(
     **params: object,
 ) -> DataFrame:
     """Test metrics of the same regressor fitted on a hash sample and on all training rows."""
-    models = {
-        "sample": fit(kind, hash_sample(train, id_col, fraction, seed), label=label, **params).model,
-        "full": fit(kind, train, label=label, **params).model,
-    }
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    with persisted(train.select(*dict.fromkeys([*ids, "features", label]))) as rows:
+        models = {
+            "sample": fit(kind, hash_sample(rows, ids, fraction, seed), label=label, **params).model,
+            "full": fit(kind, rows, label=label, **params).model,
+        }
     return compare_models(models, test, label)
