@@ -43,8 +43,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what was written to all paths given so far; results that still read them end with it."""
     while _given:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_given.pop())
+        drop_scratch(spark, _given[-1])
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete what was written to paths of ``scratch_path``, once nothing reads them any more."""
+    for name in paths:
+        if name not in _given:
+            raise ValueError(f"not a scratch path of this session: {name}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _given.remove(name)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
