@@ -88,7 +88,8 @@ def mape_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percentage errors where some rows have no label: those rows do not count."""
     rows = _some_unlabelled(spark, sf_dir)
     stats = evaluate.residual_stats(evaluate.with_residuals(rows), per_unit=MICRO)
-    return evaluate.mape(rows, per_unit=MICRO).crossJoin(stats.select("mean_residual", "mean_abs_residual", "mean_percent_error"))
+    names = ("mean_residual", "mean_abs_residual", "mean_percent_error")
+    return evaluate.mape(rows, per_unit=MICRO).select("mape", *[stats.select(n).scalar().alias(n) for n in names])
 
 
 UNLABELLED_SQL = f"""WITH {SCORED_SQL}, r AS (SELECT {_RESIDUALS} FROM scored WHERE trip_id % 17 <> 0)

@@ -124,7 +124,8 @@ def csv_headerless_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = lines.select("trip_id", F.concat("short", F.lit(",")).alias("value"))
     lines.unionByName(lines).orderBy("trip_id").select("value").write.text(path)
     good, rejects = read_trip_lines(spark, path)
-    return good.agg(F.count(F.lit(1)).alias("good")).crossJoin(rejects.agg(F.count(F.lit(1)).alias("rejected")))
+    rejected = rejects.agg(F.count(F.lit(1)).alias("rejected")).scalar()
+    return good.agg(F.count(F.lit(1)).alias("good")).select("good", rejected.alias("rejected"))
 
 
 HEADERLESS_SQL = f"""WITH {TRIPS_SQL} SELECT 2 * count(*) FILTER (WHERE trip_id % 83 <> 0 AND trip_id % 79 <> 0) AS good,

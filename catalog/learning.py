@@ -249,8 +249,8 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _split(spark, sf_dir)
     model = _fitted(train, "rf", **models.LIGHT["rf"])
     table = models.importances(train, model, slot_names(train, "features_raw"))
-    total = table.agg(F.round(F.sum("importance"), 9).alias("total"))
-    return table.select("feature", (F.col("importance") >= 0).alias("not_negative")).crossJoin(total)
+    total = table.agg(F.round(F.sum("importance"), 9).alias("total")).scalar()
+    return table.select("feature", (F.col("importance") >= 0).alias("not_negative"), total.alias("total"))
 
 
 IMPORTANCE_SQL = " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS not_negative, 1e0 AS total" for c in FEATURES_13)
@@ -274,9 +274,9 @@ def linear_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     noisy = stability.perturb(test, "trip_id")
     before, after = vector_to_array("features"), vector_to_array("features_perturbed")
     change = sum(((after[i] - before[i]) * float(c) for i, c in enumerate(model.coefficients)), F.lit(0.0))
-    expected = noisy.agg(F.avg(F.abs(change)).alias("expected"))
-    both = stability.stability(model, test, "trip_id").crossJoin(expected)
-    return both.select("records", (F.abs(F.col("mean_change") - F.col("expected")) < 1e-9).alias("sound"))
+    expected = noisy.agg(F.avg(F.abs(change)).alias("expected")).scalar()
+    moved = stability.stability(model, test, "trip_id")
+    return moved.select("records", (F.abs(F.col("mean_change") - expected) < 1e-9).alias("sound"))
 
 
 def _tuned(kind: str, grid: dict, **how: object):
@@ -286,9 +286,8 @@ def _tuned(kind: str, grid: dict, **how: object):
         train, _ = _split(spark, sf_dir)
         best, table = tuning.tune(models.make_regressor(kind), grid, train, id_col="trip_id", **how)
         chosen = ", ".join(f"{name}={best.getOrDefault(name)}" for name in sorted(grid))
-        low = table.agg(F.min("rmse").alias("low"), F.min(F.when(F.col("params") == chosen, F.col("rmse"))).alias("chosen"))
-        sound = (F.col("rmse") > 0) & (F.col("chosen") == F.col("low"))
-        return table.crossJoin(low).select("params", sound.alias("sound"))
+        lead = table.agg((F.min("rmse") == F.min(F.when(F.col("params") == chosen, F.col("rmse")))).alias("lead")).scalar()
+        return table.select("params", ((F.col("rmse") > 0) & lead).alias("sound"))
 
     return query
 

@@ -26,9 +26,8 @@ def plan_train(spark: SparkSession, sf_dir: str) -> DataFrame:
         measured = measured.unionByName(rows)
     both = table.join(measured.select("model_name", F.col("rmse").alias("again")), "model_name")
     same = F.abs(F.col("rmse") - F.col("again")) < 1e-6
-    return both.select("model_name", same.alias("same"), (F.col("r2") > 0).alias("beats_mean")).crossJoin(
-        test.agg(F.count(F.lit(1)).alias("test_rows"))
-    )
+    test_rows = test.agg(F.count(F.lit(1)).alias("test_rows")).scalar()
+    return both.select("model_name", same.alias("same"), (F.col("r2") > 0).alias("beats_mean"), test_rows.alias("test_rows"))
 
 
 TRAIN_PLAN_SQL = f"""WITH {TRAIN_SQL} SELECT unnest([{', '.join(f"'{k}'" for k in LIGHT)}]) AS model_name, true AS same,
@@ -61,13 +60,10 @@ def plan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = spark.read.csv(f"{out}/report_pickup_hour", header=True,
                             schema="pickup_hour int, avg_fare double, avg_distance double, trip_count long")
     sizes = [
-        spark.read.csv(f"{out}/{name}", header=True).agg(F.count(F.lit(1)).alias(name))
+        spark.read.csv(f"{out}/{name}", header=True).agg(F.count(F.lit(1)).alias(name)).scalar().alias(name)
         for name in ("tuning_results", "stability", "bootstrap", "report_is_airport_trip")
     ]
-    result = hourly.select("pickup_hour", F.round("avg_fare", 6).alias("avg_fare"), "trip_count")
-    for size in sizes:
-        result = result.crossJoin(size)
-    return result
+    return hourly.select("pickup_hour", F.round("avg_fare", 6).alias("avg_fare"), "trip_count", *sizes)
 
 
 REPORT_PLAN_SQL = f"""WITH {FEATURED_SQL} SELECT pickup_hour, round(avg(label), 6) AS avg_fare, count(*) AS trip_count,
