@@ -64,6 +64,15 @@ def test_run_applies_all_stages(spark, stages):
     assert sorted(map(tuple, got)) == sorted(map(tuple, stages[5].select(columns).collect()))
 
 
+def test_rows_that_repeat_an_id_and_rows_without_one(spark):
+    text = "a b c d e f g h i j"
+    rows = [(1, text, "x"), (1, text, "x"), (2, text, "y"), (3, "other words", "z"), (None, "n", "u"), (None, "n", "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rows string").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.rows) for r in got.collect()) == [(0, "u"), (0, "u"), (1, "x"), (3, "z")]
+
+
 def test_registered(spark):
     names = contract.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
