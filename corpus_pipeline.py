@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.llm.bitmap import part_by_ids
 from farebox.llm.decontaminate import without_contaminated
 from farebox.llm.near_dedup import near_duplicates
 from farebox.llm.packing import pack
 from farebox.llm.quality import without_low_quality
 from farebox.llm.substring_dedup import without_repeats
-from farebox.sources.scratch import scratch_path
+from farebox.sources.scratch import cut_lineage, scratch_path
 
 #: No SQL twin: the classifier's decisions cannot be written as SQL. Tests compare with brute force.
 ORACLE_SQL = None
@@ -26,9 +27,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Of rows that repeat a doc_id one stays; rows with a null doc_id all do.
     """
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    judged = near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id")
+    touched = judged.agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows")).where("NOT kept OR rows > 1")
+    touched = cut_lineage(touched.select("doc_id", F.col("kept").alias("__kept")))
+    maybe, others = part_by_ids(docs, "doc_id", touched, "doc_id")
+    joined = maybe.join(touched, "doc_id", "left")
+    single = joined.where("__kept IS NULL").select(docs.columns)
+    repeated = joined.where("__kept").dropDuplicates(["doc_id"]).select(docs.columns)
+    return others.unionByName(single).unionByName(repeated)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

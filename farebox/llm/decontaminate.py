@@ -11,7 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farebox.llm.bitmap import part_by_ids
 from farebox.llm.bytes import Words, shingles_of, text_chunks, words_of
+from farebox.sources.scratch import cut_lineage
 
 SHINGLE = 5
 THRESHOLD = 0.75
@@ -235,5 +237,6 @@ def contaminated(
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` less the documents in which a benchmark item is found; a null doc_id stays."""
-    bad = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    bad = cut_lineage(contaminated(docs, benchmark).select("doc_id").distinct())
+    maybe, clean = part_by_ids(docs, "doc_id", bad, "doc_id")
+    return clean.unionByName(maybe.join(bad, "doc_id", "left_anti").select(docs.columns))

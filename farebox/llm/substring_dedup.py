@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farebox.llm.bitmap import part_by_ids
 from farebox.llm.bytes import prefix_hash, span_hash, text_chunks
 from farebox.llm.phrases import phrases, repeated_starts, window_of
-from farebox.sources.scratch import cut_lineage, scratch_path
+from farebox.sources.scratch import cut_lineage, drop_scratch, scratch_path
 
 LENGTH = 200
 HOT = 2048  # distinct phrases of one context that are ordered in one task; beyond, strings are counted
@@ -159,29 +160,35 @@ def with_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
        dictionary phrases and the suffixes of the parse and merges both orders; neighbours that
        share ``length`` bytes are repeated. A context with more than ``HOT`` distinct entries is not
        brought together: the 128-bit hashes of its strings are counted instead, combined map-side.
-    4. Spans are merged per text and joined to it by a 64-bit hash of id and text.
+    4. Spans are merged per text and joined to it by a 64-bit hash of id and text. Texts that surely
+       have none (``part_by_ids``) are not shuffled.
     """
     spark = docs.sparkSession
     docs = docs.drop("repeats")
     uid = F.xxhash64(F.col(id_col), F.col(text_col))
     texts = docs.select(uid.alias("uid"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.where(F.octet_length("text") >= length)
-    shared = texts.select("text").mapInArrow(_contexts(length), "context long").groupBy("context").count().where("count > 1")
-    path = scratch_path(spark, "phrases")
+    # aggregates are written before they are joined: only a join of two plain exchanges can be split
+    # where a key is hot
+    shared = texts.select("text").mapInArrow(_contexts(length), "context long").groupBy("context").count()
+    shared = cut_lineage(shared.where("count > 1").select("context"))
+    paths = [scratch_path(spark, "phrases"), scratch_path(spark, "strings")]
     found = texts.mapInArrow(_phrases(length), PHRASE)
-    found.join(shared, "context", "left_semi").write.parquet(path)
-    parse = spark.read.parquet(path)
+    found.join(shared, "context", "left_semi").write.parquet(paths[0])
+    parse = spark.read.parquet(paths[0])
 
     firsts = [F.first(c).alias(c) for c in ("uid", "first", "lead", "spread")]
     entries = cut_lineage(parse.groupBy("context", "whole").agg(F.count("*").alias("copies"), *firsts))
-    kinds = entries.groupBy("context").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    kinds = cut_lineage(entries.groupBy("context").agg(F.count("*").alias("kinds")).where("kinds > 1"))
     open_ = entries.join(kinds, "context").withColumn("hot", F.col("kinds") > HOT)
     asked = open_.groupBy("uid").agg(
         F.collect_list(F.struct("context", "copies", "first", "lead", "spread", "hot")).alias("phrases")
     )
-    path = scratch_path(spark, "strings")
-    texts.dropDuplicates(["uid"]).join(asked, "uid").mapInArrow(_strings(length), STRING).write.parquet(path)
-    strings = spark.read.parquet(path)
+    asked = cut_lineage(asked)
+    holders, _ = part_by_ids(texts, "uid", asked.select("uid"), "uid")
+    held = holders.dropDuplicates(["uid"]).join(asked, "uid")
+    held.mapInArrow(_strings(length), STRING).write.parquet(paths[1])
+    strings = spark.read.parquet(paths[1])
 
     whole = parse.join(entries.where("copies > 1").select("context", "whole"), ["context", "whole"], "left_semi")
     whole = whole.selectExpr("uid", "first AS start", f"first + spread + {length} AS end")
@@ -189,7 +196,7 @@ def with_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ordered = cold.repartition("context").sortWithinPartitions("context")
     edges = ordered.mapInArrow(_suffix_runs(length), "uid long, start int, end int")
     hot = strings.where("key1 IS NOT NULL")
-    often = hot.groupBy("key1", "key2").agg(F.sum("copies").alias("n")).where("n > 1")
+    often = cut_lineage(hot.groupBy("key1", "key2").agg(F.sum("copies").alias("n")).where("n > 1"))
     counted = hot.where("copies = 1").join(often, ["key1", "key2"], "left_semi")
     counted = counted.selectExpr("uid", "first AS start", f"first + {length} AS end")
     spans = (
@@ -197,10 +204,13 @@ def with_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .groupBy("uid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
         .mapInArrow(_merge, "uid long, repeats array<struct<start:int,end:int>>")
     )
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    keyed = docs.withColumn("__uid", uid)
-    joined = keyed.join(spans, keyed["__uid"] == spans["uid"], "left")
-    return joined.select(*[docs[c] for c in docs.columns], F.coalesce("repeats", empty).alias("repeats"))
+    spans = cut_lineage(spans.withColumnRenamed("uid", "__span_uid"))
+    drop_scratch(spark, *paths)
+    empty = F.array().cast("array<struct<start:int,end:int>>").alias("repeats")
+    maybe, clean = part_by_ids(docs.withColumn("__uid", uid), "__uid", spans, "__span_uid")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    joined = maybe.join(spans, F.col("__uid") == F.col("__span_uid"), "left")
+    return joined.select(*names, F.coalesce("repeats", empty).alias("repeats")).unionByName(clean.select(*names, empty))
 
 
 DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
