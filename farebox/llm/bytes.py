@@ -9,7 +9,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18  # arrays of 8 bytes and more for each byte: small chunks keep workers small
 _BASE = 0x9E3779B97F4A7C15 | 5  # odd, and 5 mod 8: powers have the full order
 _MASK = (1 << 64) - 1
 
@@ -90,6 +90,12 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         lo = hi
 
 
+def row_slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, so that few of its texts are Python objects at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 class Words(NamedTuple):
     """Words of a chunk in text order: hash, row within the chunk, byte span."""
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from farebox.llm.bitmap import part_by_ids
 from farebox.llm.bytes import Words, shingles_of, text_chunks, words_of
+from farebox.llm.session import bound_batches
 from farebox.sources.scratch import cut_lineage
 
 SHINGLE = 5
@@ -214,6 +215,7 @@ def contaminated(
     are neither shuffled nor collected.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
     items = items.distinct().mapInArrow(

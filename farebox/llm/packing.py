@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farebox.llm.session import bound_batches
 from farebox.sources.scratch import cut_lineage, scratch_path
 
 CAPACITY = 2048
@@ -191,7 +192,8 @@ def _epoch(number: int, capacity: int):
 def _pack_shards(pieces: DataFrame, count: int, capacity: int) -> tuple[DataFrame, int]:
     """(pieces with shard, bin, offset and fill, shards). ``pieces`` has ``count`` rows."""
     shards = max(1, -(-count // SHARD))
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards))
+    # the row number keeps rows that repeat a document out of one shard; the rows are read from files
+    shard = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(shards))
     item = F.struct(F.col("length").cast("int").alias("length"), "doc_id", "piece", "start", "ids_crc32")
     grouped = cut_lineage(pieces.groupBy(shard.alias("shard")).agg(F.sort_array(F.collect_list(item)).alias("items")))
     lengths = F.transform("items", lambda i: i["length"])
@@ -250,6 +252,7 @@ def pack(
     shard, island and epoch, so a task that runs again gives the same packing.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     path = scratch_path(spark, "pieces")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts.mapInArrow(_pieces(vocabulary, capacity), PIECE).write.parquet(path)

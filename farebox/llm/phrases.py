@@ -16,7 +16,7 @@ import numpy as np
 
 from farebox.llm.bytes import Chunk, mix, prefix_hash, span_hash
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 _GRAM = 8
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.bitmap import part_by_ids
-from farebox.llm.bytes import prefix_hash, span_hash, text_chunks
-from farebox.llm.phrases import phrases, repeated_starts, window_of
+from farebox.llm.bytes import prefix_hash, row_slices, span_hash, text_chunks
+from farebox.llm.phrases import phrases, repeated_starts
+from farebox.llm.session import bound_batches
 from farebox.sources.scratch import cut_lineage, drop_scratch, scratch_path
 
 LENGTH = 200
@@ -61,7 +63,7 @@ def _strings(length: int):
     """Rows (uid, text, phrases) -> the bytes of each phrase, or both hashes of each string of a hot one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(row_slices, batches)):
             rows: list[tuple] = []
             for uid, text, found in zip(*(c.to_pylist() for c in batch.columns)):
                 data, prefixes = text.encode(), None
@@ -164,6 +166,7 @@ def with_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
        have none (``part_by_ids``) are not shuffled.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = docs.drop("repeats")
     uid = F.xxhash64(F.col(id_col), F.col(text_col))
     texts = docs.select(uid.alias("uid"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -217,7 +220,7 @@ DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in chain.from_iterable(map(row_slices, batches)):
         rows = []
         for doc_id, text, repeats in zip(*(c.to_pylist() for c in batch.columns)):
             data, digest, at, removed = (text or "").encode(), hashlib.sha256(), 0, 0
@@ -239,7 +242,7 @@ def repeat_digests(docs: DataFrame) -> DataFrame:
 
 
 def _kept_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in chain.from_iterable(map(row_slices, batches)):
         texts = []
         for text, repeats in zip(batch.column(-2).to_pylist(), batch.column(-1).to_pylist()):
             if repeats:

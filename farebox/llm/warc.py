@@ -9,12 +9,15 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farebox.llm.bytes import row_slices
 from farebox.llm.html_blocks import blocks, title_and_links
+from farebox.llm.session import bound_batches
 
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122: names that are URLs
 
@@ -118,7 +121,7 @@ def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame
     """``pages`` (page_id, url, html) as response records: page_id, record. Nulls count as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(row_slices, batches)):
             columns = [c.to_pylist() for c in batch.columns]
             records = [_response(*row, date) for row in zip(*columns)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(records, pa.binary())], ["page_id", "record"])
@@ -177,7 +180,7 @@ def derive(record: bytes) -> list[tuple]:
 def _derivatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in DERIVED.split(", ")]
     kinds = [pa.int64(), *[pa.string()] * 6, pa.int64(), pa.string(), pa.binary()]
-    for batch in batches:
+    for batch in chain.from_iterable(map(row_slices, batches)):
         rows: list[tuple] = []
         size = 0
         for page_id, record in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -206,5 +209,6 @@ def derivatives(records: DataFrame) -> DataFrame:
     reason as its block. Empty input: no rows. Repeated records give the same rows again. Each record
     is derived where it is read, so nothing is shuffled.
     """
+    bound_batches(records.sparkSession)
     rows = records.select(F.col("page_id").cast("long").alias("page_id"), "record")
     return rows.mapInArrow(_derivatives, DERIVED)
