@@ -14,41 +14,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm import lstm
-from farebox.llm.bytes import space_table, text_chunks, words_of
+from farebox.llm.bytes import row_slices, space_table, text_chunks, words_of
 from farebox.llm.html_blocks import Block, Element, blocks
+from farebox.llm.sample import first_by_hash
+from farebox.llm.session import bound_batches
 
 SAMPLE = 192  # pages that the labeller learns from
-DRAWN = 3  # re-templated pages for each of them
-PATH_SLOTS, WORD_SLOTS, OTHER = 192, 32, 8
-DENSE, HIDDEN, EPOCHS = 32, 24, 8
-PADDED = 1 << 14  # blocks of a padded batch; a longer page is a batch of its own
+DRAWN = 5  # re-templated pages for each of them
+PATH_SLOTS, WORD_SLOTS = 256, 32
+DENSE, HIDDEN, EPOCHS = 32, 24, 10
+PADDED = 1 << 13  # blocks of a padded batch; a longer page is a batch of its own
 
 #: Where sites put the article, and what else they put on a page. Fixed values, in use on the web.
 CONTENT = (
     ("article", ""), ("main", ""), ("article", "post"), ("div", "content"), ("div", "main-content"), ("div", "post-body"),
     ("div", "entry-content"), ("section", "article-body"), ("div", "story"), ("div", "article"), ("div", "post"),
-    ("div", "page-content"), ("section", "main"), ("div", "article-text"), ("div", "body"), ("div", ""),
+    ("div", "page-content"), ("section", "main"), ("div", "article-text"), ("div", "body"), ("div", ""), ("div", "entry"),
+    ("div", "blog-post"), ("article", "single"), ("div", "article-content"), ("section", "text"), ("div", "post-content"),
 )
 OTHERS = {
     "menu": (("nav", ""), ("div", "menu"), ("ul", "nav"), ("div", "navbar"), ("div", "breadcrumbs"), ("ul", "menu"),
-             ("div", "navigation"), ("div", "topbar"), ("menu", ""), ("div", "toc"), ("div", "pagination")),
-    "header": (("header", ""), ("div", "header"), ("div", "masthead"), ("div", "site-header"), ("header", "banner"), ("div", "logo")),
-    "footer": (("footer", ""), ("div", "footer"), ("div", "site-footer"), ("div", "copyright"), ("footer", "bottom"), ("div", "legal")),
+             ("div", "navigation"), ("div", "topbar"), ("menu", ""), ("div", "toc"), ("div", "pagination"), ("div", "main-nav"),
+             ("ol", "breadcrumb"), ("ul", "categories"), ("div", "nav-menu")),
+    "header": (("header", ""), ("div", "header"), ("div", "masthead"), ("div", "site-header"), ("header", "banner"), ("div", "logo"),
+               ("div", "page-header"), ("header", "top")),
+    "footer": (("footer", ""), ("div", "footer"), ("div", "site-footer"), ("div", "copyright"), ("footer", "bottom"), ("div", "legal"),
+               ("div", "page-footer"), ("section", "colophon")),
     "sidebar": (("aside", ""), ("div", "sidebar"), ("div", "widget"), ("div", "related"), ("div", "recommended"),
-                ("aside", "rail"), ("div", "trending"), ("section", "side")),
+                ("aside", "rail"), ("div", "trending"), ("section", "side"), ("div", "side-bar"), ("div", "related-posts"),
+                ("div", "popular"), ("div", "widgets")),
     "notice": (("div", "cookie-notice"), ("div", "notice"), ("div", "consent"), ("div", "alert"), ("div", "popup"),
-               ("div", "newsletter"), ("div", "subscribe"), ("div", "modal"), ("dialog", ""), ("div", "gdpr"), ("div", "paywall")),
+               ("div", "newsletter"), ("div", "subscribe"), ("div", "modal"), ("dialog", ""), ("div", "gdpr"), ("div", "paywall"),
+               ("div", "cookies"), ("div", "cookie-banner"), ("section", "privacy"), ("div", "notification"), ("div", "warning")),
     "advert": (("div", "ad"), ("div", "ads"), ("div", "advert"), ("div", "advertisement"), ("div", "sponsored"),
-               ("aside", "promo"), ("section", "ad"), ("div", "sponsor")),
-    "form": (("form", ""), ("div", "login"), ("div", "search"), ("form", "signup"), ("fieldset", ""), ("form", "contact")),
+               ("aside", "promo"), ("section", "ad"), ("div", "sponsor"), ("div", "ad-container"), ("div", "banner-ad"),
+               ("div", "promotion"), ("ins", "adsbygoogle")),
+    "form": (("form", ""), ("div", "login"), ("div", "search"), ("form", "signup"), ("fieldset", ""), ("form", "contact"),
+             ("div", "search-form"), ("form", "poll")),
     "comments": (("section", "comments"), ("div", "comments"), ("div", "comment"), ("ol", "commentlist"), ("div", "replies"),
-                 ("ul", "reader-comments"), ("div", "discussion"), ("div", "disqus"), ("section", "responses")),
-    "share": (("div", "share"), ("div", "social"), ("ul", "share-buttons"), ("div", "tags"), ("div", "byline-links")),
+                 ("ul", "reader-comments"), ("div", "discussion"), ("div", "disqus"), ("section", "responses"),
+                 ("div", "comment-list"), ("div", "user-comments"), ("ol", "comments-area"), ("div", "reviews")),
+    "share": (("div", "share"), ("div", "social"), ("ul", "share-buttons"), ("div", "tags"), ("div", "byline-links"),
+              ("div", "sharing"), ("div", "social-media")),
 }
 _MAIN_TAGS = {"article", "main"}
 _OTHER_TAGS = {tag for kind in OTHERS.values() for tag, name in kind if not name and tag not in ("section", "div")}
 _OTHER_NAMES = {name for kind in OTHERS.values() for _, names in kind for name in names.split("-") if name} - {
-    "main", "body", "post", "article", "side", "site", "bottom", "reader", "byline", "links", "buttons"
+    "main", "body", "post", "posts", "article", "side", "site", "bottom", "top", "page", "reader", "user", "byline", "links",
+    "buttons", "container", "area", "list", "media", "bar"
 }
 _MARK = "\ue000"  # a private-use character
 
@@ -94,6 +107,8 @@ def _draw_page(content: list[Block], texts: list[str], rng: random.Random) -> st
         return "".join(other(k) for k in kinds if rng.random() < 0.5)
 
     tag, name = rng.choice(CONTENT)
+    if rng.random() < 0.25:  # a name that says nothing: order, sizes and the other blocks must tell
+        name = "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(3, 8)))
     parts = []
     for i, block in enumerate(content):
         leaf = block.path[-1].tag if block.path and block.path[-1].tag in ("h1", "h2", "h3", "p", "li", "blockquote") else "p"
@@ -113,12 +128,13 @@ def _draw_page(content: list[Block], texts: list[str], rng: random.Random) -> st
 
 @lru_cache(maxsize=1 << 14)
 def _path_vector(path: tuple[Element, ...]) -> np.ndarray:
-    """Hashed tags and names of a path, and those of its last three elements apart."""
+    """Hashed tags and names of a path, the beginnings of names, and the last three elements apart."""
     out = np.zeros(PATH_SLOTS, dtype=np.float32)
     for depth, element in enumerate(path[::-1]):
         tokens = [element.tag, *("." + n for n in element.names)]
         if depth < 3:
             tokens += [f"{depth}:{t}" for t in tokens]
+        tokens += ["^" + n[:4] for n in element.names]  # cookie, cookies; comment, commentlist
         for token in tokens:
             spot = zlib.crc32(token.encode())
             out[spot % PATH_SLOTS] += 1
@@ -168,8 +184,8 @@ def fit(pages: list[str], seed: int = 1) -> lstm.Weights | None:
     texts = [b.text for p, _ in known for b in p if b.text]
     sequences, labels = [], []
     for page, label in known:
-        sequences.append(features(page))
-        labels.append(np.array(label, dtype=np.float32))
+        sequences += [features(page)] * 2
+        labels += [np.array(label, dtype=np.float32)] * 2
         content = [b for b, y in zip(page, label) if y]
         for _ in range(DRAWN if content else 0):
             drawn = blocks(_draw_page(content, texts, rng))
@@ -202,8 +218,7 @@ def _extract(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for part in row_slices(batch, 512):
                 pages = [blocks(h.as_py()) for h in part.column(2)]
                 if weights is None:
                     found = [np.ones(len(p), dtype=bool) for p in pages]
@@ -222,16 +237,20 @@ def main_text(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     The page is parsed into leaf blocks, each with its tag path. A bidirectional LSTM reads the
     hashed path and word vectors of all of a page's blocks in order, so that the whole document
     decides on each block; those labelled main text are joined by a line feed, whole and in order.
-    It learns in numpy on the driver from the first ``sample`` pages by a hash of their id: blocks that
-    semantic markup puts in or out of the article, and the same articles in drawn templates with
-    other containers, menus, notices, adverts, forms, sidebars and comments.
+    It learns in numpy on the driver from the first ``sample`` pages by a hash of their id (of pages that
+    share one, the first by text): blocks that semantic markup puts in or out of the article, and
+    the same articles in drawn templates with other containers, menus, notices, adverts, forms,
+    sidebars and comments.
 
     The article's own headings belong to its text. A null or empty page gives an empty text; without any
     page to learn from, all visible text counts. Very long pages are labelled whole. Repeated rows
     are separate rows, and no pages give none. Weights of fixed size are all that is broadcast.
     """
+    bound_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    first = rows.where("html IS NOT NULL").orderBy(F.xxhash64("page_id", F.lit(1)), "page_id").select("html").limit(sample)
+    ids = first_by_hash(rows, "page_id", sample, rows.count(), seed=1)
+    chosen = rows.join(F.broadcast(ids), "page_id").where("html IS NOT NULL")  # at most ``sample`` ids
+    first = chosen.groupBy("page_id").agg(F.min("html").alias("html")).orderBy("page_id")
     weights = fit([r.html for r in first.collect()])
     shared = pages.sparkSession.sparkContext.broadcast(weights)
     return rows.mapInArrow(_extract(shared), RESULT)

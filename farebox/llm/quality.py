@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.bytes import Chunk, powers, byte_codes, span_hash, text_chunks, words_of
+from farebox.llm.bytes import Chunk, byte_codes, powers, span_hash, text_chunks, words_of
+from farebox.llm.sample import first_by_hash
+from farebox.llm.session import bound_batches
 
 SAMPLE = 4096  # labelled documents that are voters, half of each label at most
 WORD_SLOTS, SHAPE_SLOTS = 768, 256
@@ -141,8 +143,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` labelled documents, half of each label, the first by a hash of the id.
 
     Only labels 0 and 1 of rows that are not held out count; an id with several labels takes the
-    more frequent one (a tie: 1). The sample's counts are the only rows that reach the driver.
+    more frequent one (a tie: 1), and one with several texts counts once. The sample's counts are
+    the only rows that reach the driver.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
@@ -151,15 +155,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     )
     totals = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
-    order = [F.xxhash64("doc_id", F.lit(8)), F.col("doc_id")]
-    chosen = [known.where(F.col("label") == c).orderBy(*order).limit(sample // 2) for c in (0, 1)]
+    chosen = [
+        first_by_hash(known.where(F.col("label") == c), "doc_id", sample // 2, totals.get(c, 0), seed=8)
+        .withColumn("label", F.lit(c)) for c in (0, 1)
+    ]
     voters = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most ``sample`` rows of two numbers
     rows = (
         texts.join(voters, "doc_id").select("doc_id", "label", "text")
         .mapInArrow(_raw, "doc_id long, label int, counts binary")
+        .groupBy("doc_id").agg(F.first("label").alias("label"), F.min("counts").alias("counts"))
         .collect()
     )
-    rows = list({r.doc_id: r for r in sorted(rows, key=lambda r: (r.doc_id, bytes(r.counts)))}.values())
+    rows.sort(key=lambda r: r.doc_id)
     raw = np.frombuffer(b"".join(r.counts for r in rows), dtype=np.uint32).reshape(len(rows), WORD_SLOTS + SHAPE_SLOTS)
     return fit(raw.astype(np.float32), np.array([r.label for r in rows], dtype=np.int64), totals)
 
