@@ -7,7 +7,6 @@ from typing import NamedTuple
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from farebox.ml import models, stability, tuning
 from farebox.operators import bootstrap, evaluate
