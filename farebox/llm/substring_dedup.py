@@ -19,6 +19,7 @@ from farebox.sources.scratch import cut_lineage, drop_scratch, scratch_path
 
 LENGTH = 200
 HOT = 2048  # distinct phrases of one context that are ordered in one task; beyond, strings are counted
+HOT_SHARE = 1024
 ROWS = 8192
 
 
@@ -189,11 +190,16 @@ def with_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     asked = cut_lineage(asked)
     holders, _ = part_by_ids(texts, "uid", asked.select("uid"), "uid")
-    held = holders.dropDuplicates(["uid"]).join(asked, "uid")
-    held.mapInArrow(_strings(length), STRING).write.parquet(paths[1])
+    sources = holders.dropDuplicates(["uid"]).join(asked, "uid")
+    sources.mapInArrow(_strings(length), STRING).write.parquet(paths[1])
     strings = spark.read.parquet(paths[1])
 
-    whole = parse.join(entries.where("copies > 1").select("context", "whole"), ["context", "whole"], "left_semi")
+    # at most HOT_SHARE entries hold more than that share of the phrases; those are broadcast
+    hot_copies = parse.count() // HOT_SHARE
+    often_held = F.broadcast(entries.where(F.col("copies") > max(1, hot_copies)).select("context", "whole"))
+    held = entries.where(f"copies > 1 AND copies <= {hot_copies}").select("context", "whole")
+    rest = parse.join(often_held, ["context", "whole"], "left_anti").join(held, ["context", "whole"], "left_semi")
+    whole = parse.join(often_held, ["context", "whole"], "left_semi").unionByName(rest)
     whole = whole.selectExpr("uid", "first AS start", f"first + spread + {length} AS end")
     cold = strings.where("before IS NOT NULL").select("context", "copies", "uid", "first", "before", "after")
     ordered = cold.repartition("context").sortWithinPartitions("context")
