@@ -18,6 +18,7 @@ from farebox.sources.scratch import cut_lineage
 
 SHINGLE = 5
 THRESHOLD = 0.75
+PERCENT = 75  # of the plain similarity, compared in integers
 BLOCKS = 8  # of 8 bits: every fingerprint within a Hamming distance of 7 agrees in one of them
 BLOCK_WORDS = 2_000_000  # benchmark words that are broadcast at once; a larger benchmark takes more passes
 
@@ -59,7 +60,8 @@ class Index(NamedTuple):
 
 
 def build_index(items: list[tuple[int, bytes]], total: int, seen: dict[int, int]) -> Index:
-    """Index (item_id, bytes of its shingle and word hashes); ``seen``: items that hold a shingle."""
+    """Index (item_id, bytes of its word and shingle hashes). ``total``: distinct item texts; ``seen``: how many
+    of them hold a shingle."""
     by_size: dict[int, list] = {}
     for item_id, words, shingles in items:
         words, shingles = np.frombuffer(words, dtype=np.uint64), np.frombuffer(shingles, dtype=np.uint64)
@@ -93,8 +95,11 @@ def _candidates(sized: Sized, prints: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found), axis=0)
 
 
-def similarity(index: Index, window: np.ndarray, item: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard of two shingle multisets: a shingle counts ln(1 + items / items that hold it)."""
+def similarity(index: Index, window: np.ndarray, item: tuple[np.ndarray, np.ndarray]) -> tuple[float, int, int]:
+    """Weighted Jaccard of two shingle multisets, and the sizes of their plain intersection and union.
+
+    A shingle weighs ln(1 + item texts / item texts that hold it).
+    """
     own, own_count = np.unique(window, return_counts=True)
     every = np.union1d(own, item[0])
     a, b = np.zeros(len(every)), np.zeros(len(every))
@@ -102,11 +107,14 @@ def similarity(index: Index, window: np.ndarray, item: tuple[np.ndarray, np.ndar
     b[np.searchsorted(every, item[0])] = item[1]
     place = np.minimum(np.searchsorted(index.known, every), len(index.known) - 1)
     weight = np.where(index.known[place] == every, index.weight[place], index.unknown)
-    return float((weight * np.minimum(a, b)).sum() / (weight * np.maximum(a, b)).sum())
+    both, either = np.minimum(a, b), np.maximum(a, b)
+    return float((weight * both).sum() / (weight * either).sum()), int(both.sum()), int(either.sum())
 
 
-def document_matches(index: Index, words: np.ndarray, shingles: np.ndarray, at: np.ndarray) -> list[tuple]:
-    """Best (item_id, start_word, n_words, hamming, similarity) per item for one document.
+def document_matches(
+    index: Index, words: np.ndarray, shingles: np.ndarray, at: np.ndarray, unweighted: bool = False
+) -> list[tuple]:
+    """Best (item_id, start_word, n_words, hamming, similarity, plain) per item for one document.
 
     ``at``: the shingles that are known. Windows without any have similarity 0 to every item, so
     only windows that hold one are fingerprinted.
@@ -129,10 +137,10 @@ def document_matches(index: Index, words: np.ndarray, shingles: np.ndarray, at:
         prints = fingerprints(words[base : int(starts[-1]) + width], starts - base, width)
         for window, item in _candidates(sized, prints).tolist():
             start = int(starts[window])
-            score = similarity(index, shingles[start : start + held], sized.shingles[item])
-            if score >= THRESHOLD:
+            score, both, either = similarity(index, shingles[start : start + held], sized.shingles[item])
+            if score >= THRESHOLD or unweighted and 100 * both >= PERCENT * either:
                 far = int(np.unpackbits(prints[window] ^ sized.prints[item]).sum())
-                row = (int(sized.ids[item]), start, width, far, score)
+                row = (int(sized.ids[item]), start, width, far, score, both / either)
                 old = best.get(row[0])
                 if old is None or (-row[4], row[1]) < (-old[4], old[1]):
                     best[row[0]] = row
@@ -143,10 +151,10 @@ def _per_row(words: Words, rows: int) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(np.bincount(words.row, minlength=rows))])
 
 
-MATCH = "doc_id long, item_id long, start_word long, n_words long, hamming int, similarity double"
+MATCH = "doc_id long, item_id long, start_word long, n_words long, hamming int, similarity double, plain double"
 
 
-def _matches(shared):
+def _matches(shared, unweighted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
         low_bits = np.uint64(len(index.gate) - 1)
@@ -164,13 +172,13 @@ def _matches(shared):
                 for r in np.unique(row_of).tolist():
                     at = hits[row_of == r] - bounds[r]
                     own = words.hash[spans[r] : spans[r + 1]]
-                    found = document_matches(index, own, shingles[bounds[r] : bounds[r + 1]], at)
+                    found = document_matches(index, own, shingles[bounds[r] : bounds[r + 1]], at, unweighted)
                     out += [(ids[chunk.lo + r].as_py(), *m) for m in found]
             if out:
-                kinds = [pa.int64()] * 4 + [pa.int32(), pa.float64()]
+                kinds = [pa.int64()] * 4 + [pa.int32(), pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), kinds)],
-                    ["doc_id", "item_id", "start_word", "n_words", "hamming", "similarity"],
+                    ["doc_id", "item_id", "start_word", "n_words", "hamming", "similarity", "plain"],
                 )
 
     return run
@@ -195,18 +203,22 @@ def _item_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id"
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    unweighted: bool = False,
 ) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, start_word, n_words,
-    hamming, similarity. Documents without a match have no row.
+    hamming, similarity, plain. Documents without a match have no row.
 
     Every window of a text that has as many words as an item is a candidate for it (a shorter text
     is one window). Windows and items get 64-bit SimHash fingerprints of their words; items of a
     size are indexed by each of 8 blocks of their fingerprint, so every window within a Hamming
     distance of 7 is found, and those beyond it that agree in a block are not sent away either. A
-    candidate counts if the weighted Jaccard similarity of its 5-word shingles with the item's is
-    0.75 or more, weights falling with the number of items that hold a shingle. Of several
-    windows, the most similar is given, then the first.
+    candidate counts if the weighted Jaccard similarity of its 5-word shingles with the item's
+    (``similarity``) is 0.75 or more, weights falling with the number of distinct item texts that hold a
+    shingle; with ``unweighted``, it counts as well if the similarity without weights (``plain``) is:
+    changed words weigh most, so edited copies of items that share text with others reach 0.75 only
+    without weights. The query and the pipeline ask for both. Of several windows, that of the highest
+    weighted similarity is given, then the first.
 
     Null and empty texts and items match nothing. A text or an item of fewer than five words is one
     shingle, so such an item matches only texts that consist of it: inside a longer one so few
@@ -221,9 +233,10 @@ def contaminated(
     items = items.distinct().mapInArrow(
         _item_hashes, "item_id long, n_words long, words binary, shingles binary, distinct array<long>"
     ).where("n_words > 0")
-    total, n_words = items.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    total, n_words = items.agg(F.countDistinct("words"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     passes = -(-n_words // BLOCK_WORDS)
-    seen = items.select(F.explode("distinct").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    once = items.dropDuplicates(["words"])  # an item that stands under several ids or in another case is one text
+    seen = once.select(F.explode("distinct").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
     found = spark.createDataFrame([], MATCH)
     for number in range(passes):
         part = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(passes)) == number)
@@ -233,12 +246,12 @@ def contaminated(
         own = part.select(F.explode("distinct").alias("s")).distinct().join(seen, "s")
         counts = {r.s & (2**64 - 1): r.n for r in own.collect()}
         shared = spark.sparkContext.broadcast(build_index(rows, total, counts))
-        found = found.unionByName(texts.mapInArrow(_matches(shared), MATCH))
+        found = found.unionByName(texts.mapInArrow(_matches(shared, unweighted), MATCH))
     return found
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` less the documents in which a benchmark item is found; a null doc_id stays."""
-    bad = cut_lineage(contaminated(docs, benchmark).select("doc_id").distinct())
+    """``docs`` less the documents in which a benchmark item is found by either similarity; a null doc_id stays."""
+    bad = cut_lineage(contaminated(docs, benchmark, unweighted=True).select("doc_id").distinct())
     maybe, clean = part_by_ids(docs, "doc_id", bad, "doc_id")
     return clean.unionByName(maybe.join(bad, "doc_id", "left_anti").select(docs.columns))

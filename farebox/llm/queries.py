@@ -27,7 +27,7 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), unweighted=True)
 
 
 def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:

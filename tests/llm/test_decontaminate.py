@@ -62,6 +62,20 @@ def corpus(seed):
     return docs + [(40, "Three SHORT words"), (41, "and three short words more than that"), (42, None), (43, "")], items
 
 
+def brute_plain(docs, items):
+    """(doc, item) pairs with a window of the item's size whose plain shingle similarity is 0.75 or more."""
+    out = set()
+    for doc, text in docs:
+        words = words_of(text)
+        for item, item_text in items:
+            own, size = Counter(shingles(words_of(item_text))), min(len(words_of(item_text)), len(words))
+            for at in range(len(words) - size + 1 if size >= 5 else 0):
+                window = Counter(shingles(words[at : at + size]))
+                if 100 * sum((window & own).values()) >= 75 * sum((window | own).values()):
+                    out.add((doc, item))
+    return out
+
+
 def frames(spark, docs, items):
     return (spark.createDataFrame(docs, "doc_id long, text string"),
             spark.createDataFrame(items, "item_id long, text string"))
@@ -112,3 +126,40 @@ def test_blocks_find_every_fingerprint_within_the_radius():
 def test_fingerprint_is_the_majority_of_each_bit():
     hashes = np.array([0b1011, 0b1000, 0b0010], dtype=np.uint64)
     assert np.flatnonzero(np.unpackbits(fingerprints(hashes, np.array([0]), 3)[0])).tolist() == [4, 6]
+
+
+def repeated_and_templated(seed):
+    """Items that stand under 1, 5 and 30 ids, and items of one template; every item leaks with a changed word."""
+    rng = random.Random(seed)
+    word = lambda: rng.choice("bcdfgh") + rng.choice("aeiou") + str(rng.randrange(5000))
+    items = []
+    for copies in (1, 5, 30):
+        text = " ".join(word() for _ in range(60))
+        items += [(len(items) + i, text.upper() if i % 2 else text) for i in range(copies)]
+    template = [word() for _ in range(80)]
+    items += [(100 + i, " ".join(template + [word() for _ in range(6)])) for i in range(20)]
+    docs = []
+    for i, (_, text) in enumerate(items[::3]):
+        leak = text.split()
+        leak[len(leak) // 2] = "changed"
+        docs.append((i, " ".join([word() for _ in range(i)] + leak + [word() for _ in range(5)])))
+    return docs, items
+
+
+def test_edited_leaks_of_repeated_and_templated_items(spark):
+    docs, items = repeated_and_templated(9)
+    df, bench = frames(spark, docs, items)
+    rows = contaminated(df, bench, unweighted=True).collect()
+    got, want = {(r.doc_id, r.item_id) for r in rows}, brute_plain(docs, items)
+    assert {d for d, _ in want} == {d for d, _ in docs}  # every document is a leak by plain similarity
+    assert got >= want
+    assert all(r.similarity >= 0.75 or (r.doc_id, r.item_id) in want and r.plain >= 0.75 for r in rows)
+    assert without_contaminated(df, bench).collect() == []
+
+
+def test_weights_count_distinct_item_texts(spark):
+    docs, items = corpus(5)
+    best = lambda rows: {(r.doc_id, r.item_id): r.similarity for r in rows}
+    once = best(contaminated(*frames(spark, docs, items)).collect())
+    more = best(contaminated(*frames(spark, docs, items + [(50 + i, items[3][1].upper()) for i in range(9)])).collect())
+    assert once and {k: s for k, s in more.items() if k[1] < 50} == once
