@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check."""
+"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, shared shingles, exact check."""
 
 from __future__ import annotations
 
@@ -48,6 +48,10 @@ class Sized(NamedTuple):
     orders: list[np.ndarray]  # per block: items by block value
     values: list[np.ndarray]
     shingles: list[tuple[np.ndarray, np.ndarray]]  # distinct hashes and counts
+    posted: np.ndarray  # shingles of the items, sorted, once for each item that holds them
+    poster: np.ndarray  # the item of each
+    count: np.ndarray  # shingles per item
+    weight: np.ndarray  # of all of an item's shingles
 
 
 class Index(NamedTuple):
@@ -66,20 +70,26 @@ def build_index(items: list[tuple[int, bytes]], total: int, seen: dict[int, int]
     for item_id, words, shingles in items:
         words, shingles = np.frombuffer(words, dtype=np.uint64), np.frombuffer(shingles, dtype=np.uint64)
         by_size.setdefault(len(words), []).append((item_id, words, shingles))
+    known = np.unique(np.concatenate([s for group in by_size.values() for _, _, s in group]))
+    weight = np.array([math.log(1 + total / seen[s]) for s in known.tolist()])
     sizes, holders = {}, {}
     for size, group in by_size.items():
         prints = np.concatenate([fingerprints(w, np.array([0]), size) for _, w, _ in group])
         orders = [np.argsort(prints[:, b], kind="stable") for b in range(BLOCKS)]
         counted = [np.unique(s, return_counts=True) for _, _, s in group]
-        sizes[size] = Sized(np.array([g[0] for g in group]), prints, orders,
-                            [prints[o, b] for b, o in enumerate(orders)], counted)
+        posted = np.concatenate([c[0] for c in counted])
+        poster = np.repeat(np.arange(len(group)), [len(c[0]) for c in counted])
+        order = np.argsort(posted, kind="stable")
+        sizes[size] = Sized(
+            np.array([g[0] for g in group]), prints, orders, [prints[o, b] for b, o in enumerate(orders)], counted,
+            posted[order], poster[order], np.array([n.sum() for _, n in counted]),
+            np.array([(weight[np.searchsorted(known, s)] * n).sum() for s, n in counted]),
+        )
         for s in np.unique(np.concatenate([c[0] for c in counted])).tolist():
             holders.setdefault(s, []).append(size)
-    known = np.array(sorted(holders), dtype=np.uint64)
     bits = min(24, max(10, (32 * len(known)).bit_length()))
     gate = np.zeros(1 << bits, dtype=bool)
     gate[(known & np.uint64((1 << bits) - 1)).astype(np.int64)] = True
-    weight = np.array([math.log(1 + total / seen[s]) for s in known.tolist()])
     return Index(sizes, known, weight, math.log(1 + total), [np.array(holders[s]) for s in known.tolist()], gate)
 
 
@@ -95,6 +105,38 @@ def _candidates(sized: Sized, prints: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found), axis=0)
 
 
+def _sharing(
+    sized: Sized, shingles: np.ndarray, place: np.ndarray, summed: np.ndarray, starts: np.ndarray, held: int
+) -> np.ndarray:
+    """(window, item) rows whose shared shingles allow a similarity of 0.75: none that has it is left out.
+
+    ``place``: the shingles that an item of the size holds, in order; ``summed``: prefix sums of all
+    shingles' weights. Repeats count as often as they stand in the window, so the bounds are not below
+    what is shared; the union is what both sides hold less what they share.
+    """
+    low = np.searchsorted(sized.posted, shingles[place], side="left")
+    count = np.searchsorted(sized.posted, shingles[place], side="right") - low
+    spot = np.repeat(place, count)
+    item = sized.poster[np.arange(len(spot)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)]
+    slack = 1e-9 * (1 + sized.weight)
+    held_weight = np.bincount(item, summed[spot + 1] - summed[spot], minlength=len(sized.ids))
+    able = (100 * np.bincount(item, minlength=len(sized.ids)) >= PERCENT * sized.count) | (
+        held_weight >= THRESHOLD * sized.weight - slack)
+    order = np.argsort(item, kind="stable")
+    bounds = np.searchsorted(item[order], np.arange(len(sized.ids) + 1))
+    whole = summed[starts + held] - summed[starts]
+    found = [np.zeros((0, 2), dtype=np.int64)]
+    for i in np.flatnonzero(able).tolist():
+        own = spot[order[bounds[i] : bounds[i + 1]]]
+        part = np.concatenate([[0.0], np.cumsum(summed[own + 1] - summed[own])])
+        a, b = np.searchsorted(own, starts), np.searchsorted(own, starts + held)
+        plain = (100 + PERCENT) * (b - a) >= PERCENT * (held + sized.count[i])
+        weighted = (1 + THRESHOLD) * (part[b] - part[a]) >= THRESHOLD * (whole + sized.weight[i]) - 1e-9 * (1 + summed[-1])
+        window = np.flatnonzero(plain | weighted)
+        found.append(np.stack([window, np.full(len(window), i)], axis=1))
+    return np.concatenate(found)
+
+
 def similarity(index: Index, window: np.ndarray, item: tuple[np.ndarray, np.ndarray]) -> tuple[float, int, int]:
     """Weighted Jaccard of two shingle multisets, and the sizes of their plain intersection and union.
 
@@ -119,6 +161,9 @@ def document_matches(
     ``at``: the shingles that are known. Windows without any have similarity 0 to every item, so
     only windows that hold one are fingerprinted.
     """
+    weight = np.full(len(shingles), index.unknown)
+    weight[at] = index.weight[np.searchsorted(index.known, shingles[at])]
+    summed = np.concatenate([[0.0], np.cumsum(weight)])
     spots: dict[int, list[int]] = {}
     for p in at.tolist():
         for size in index.of_shingle[int(np.searchsorted(index.known, shingles[p]))].tolist():
@@ -135,7 +180,8 @@ def document_matches(
         base = int(starts[0])
         sized = index.sizes[size]
         prints = fingerprints(words[base : int(starts[-1]) + width], starts - base, width)
-        for window, item in _candidates(sized, prints).tolist():
+        sharing = _sharing(sized, shingles, place, summed, starts, held)
+        for window, item in np.unique(np.concatenate([_candidates(sized, prints), sharing]), axis=0).tolist():
             start = int(starts[window])
             score, both, either = similarity(index, shingles[start : start + held], sized.shingles[item])
             if score >= THRESHOLD or unweighted and 100 * both >= PERCENT * either:
@@ -212,8 +258,9 @@ def contaminated(
     Every window of a text that has as many words as an item is a candidate for it (a shorter text
     is one window). Windows and items get 64-bit SimHash fingerprints of their words; items of a
     size are indexed by each of 8 blocks of their fingerprint, so every window within a Hamming
-    distance of 7 is found, and those beyond it that agree in a block are not sent away either. A
-    candidate counts if the weighted Jaccard similarity of its 5-word shingles with the item's
+    distance of 7 is found, and those beyond it that agree in a block are not sent away either. Other
+    windows are candidates if they share enough of an item's shingles to be that similar, so nothing
+    hangs on the fingerprints. A candidate counts if the weighted Jaccard similarity of its 5-word shingles with the item's
     (``similarity``) is 0.75 or more, weights falling with the number of distinct item texts that hold a
     shingle; with ``unweighted``, it counts as well if the similarity without weights (``plain``) is:
     changed words weigh most, so edited copies of items that share text with others reach 0.75 only

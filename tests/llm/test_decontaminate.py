@@ -163,3 +163,30 @@ def test_weights_count_distinct_item_texts(spark):
     once = best(contaminated(*frames(spark, docs, items)).collect())
     more = best(contaminated(*frames(spark, docs, items + [(50 + i, items[3][1].upper()) for i in range(9)])).collect())
     assert once and {k: s for k, s in more.items() if k[1] < 50} == once
+
+
+def barely_similar(seed, n):
+    """Items of Zipf words, and for each a copy with as long a run of replaced words as leaves 0.75."""
+    rng = random.Random(seed)
+    word = lambda: f"w{int(rng.paretovariate(0.2)) % 100_000}"
+    docs, items = [], []
+    while len(items) < n:
+        item = [word() for _ in range(rng.randint(60, 200))]
+        own, best = Counter(shingles(item)), None
+        at = rng.randrange(5, len(item) // 2)
+        for run in range(1, len(item) // 3):
+            leak = item[:at] + [f"x{rng.randrange(10**6)}" for _ in range(run)] + item[at + run :]
+            window = Counter(shingles(leak))
+            if 100 * sum((window & own).values()) < 75 * sum((window | own).values()):
+                break
+            best = leak
+        if best:
+            docs.append((len(items), " ".join([word() for _ in range(7)] + best + [word() for _ in range(9)])))
+            items.append((len(items), " ".join(item)))
+    return docs, items
+
+
+def test_leaks_near_the_threshold_are_found_whatever_their_fingerprints(spark):
+    docs, items = barely_similar(2, 400)
+    got = {(r.doc_id, r.item_id) for r in contaminated(*frames(spark, docs, items), unweighted=True).collect()}
+    assert {(i, i) for i, _ in items} <= got
