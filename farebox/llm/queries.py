@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import chat, maxscore, url_filter, warc
+from farebox.llm import chat, maxscore, prefix_trie, url_filter, warc
 from farebox.llm.decontaminate import contaminated
 from farebox.llm.html_extract import main_text
 from farebox.llm.near_dedup import near_duplicates
@@ -69,6 +69,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(pages, url_filter.listed_pages(pages))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 OP7_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
@@ -123,4 +127,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_quality": (op8_quality, None),
     "op9_near_duplicates": (op9_near_duplicates, None),
     "op10_url_filter": (op10_url_filter, url_filter.SQL),
+    "op11_prefix_trie": (op11_prefix_trie, prefix_trie.SQL),
 }
