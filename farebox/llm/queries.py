@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import chat, maxscore, prefix_trie, url_filter, warc
+from farebox.llm import chat, code_compression, maxscore, prefix_trie, url_filter, warc
 from farebox.llm.decontaminate import contaminated
 from farebox.llm.html_extract import main_text
 from farebox.llm.near_dedup import near_duplicates
@@ -73,6 +73,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_compression.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
 OP7_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
@@ -128,4 +132,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op9_near_duplicates": (op9_near_duplicates, None),
     "op10_url_filter": (op10_url_filter, url_filter.SQL),
     "op11_prefix_trie": (op11_prefix_trie, prefix_trie.SQL),
+    "op13_vector_codes": (op13_vector_codes, code_compression.SQL),
 }
