@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from farebox.llm import chat, code_compression, maxscore, prefix_trie, url_filter, warc
 from farebox.llm.decontaminate import contaminated
 from farebox.llm.html_extract import main_text
+from farebox.llm.language_id import languages_of
 from farebox.llm.near_dedup import near_duplicates
 from farebox.llm.packing import pack
 from farebox.llm.quality import quality_scores
@@ -73,6 +74,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages_of(_table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_compression.vector_codes(_table(spark, sf_dir, "embeddings"))
 
@@ -132,5 +137,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op9_near_duplicates": (op9_near_duplicates, None),
     "op10_url_filter": (op10_url_filter, url_filter.SQL),
     "op11_prefix_trie": (op11_prefix_trie, prefix_trie.SQL),
+    "op12_language_id": (op12_language_id, None),
     "op13_vector_codes": (op13_vector_codes, code_compression.SQL),
 }
