@@ -15,6 +15,7 @@ from farebox.functions.hashing import drawn
 from farebox.ml import experiments, models, prep, stability, tuning
 from farebox.operators import evaluate, scaling
 from farebox.operators.columns import slot_names
+from farebox.operators.labels import fit_labels, index_labels
 from farebox.operators.quality import complete_rules, quarantine
 from farebox.operators.sampling import hash_split, with_split
 from farebox.plans.layers import run_layers
@@ -88,10 +89,52 @@ SELECT 'p' || CAST(payment_type AS VARCHAR) AS payment, CAST(coalesce(any_value(
   count(*) AS rows FROM trips LEFT JOIN r ON r.payment = 'p' || CAST(payment_type AS VARCHAR) GROUP BY payment_type"""
 
 
+def string_index_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index of every line item's order, the order with most items first: as many labels as orders.
+
+    The label table is joined by shuffle, as a large one would be.
+    """
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    labels = fit_labels(items, ["l_orderkey"])["l_orderkey"]
+    return index_labels(items, labels, "order_index", broadcast_bytes=0, salt_cols=["l_linenumber"])
+
+
+ORDER_INDEX_SQL = """WITH r AS (SELECT l_orderkey, row_number() OVER (ORDER BY n DESC, l_orderkey) - 1 AS i
+  FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1))
+SELECT l_orderkey, l_linenumber, CAST(i AS DOUBLE) AS order_index FROM lineitem JOIN r USING (l_orderkey)"""
+
+
+def one_hot_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse vectors of all line items: scaled quantity, a slot per order and one per part, learnt from the
+    items of the first year; later ones hold orders and parts not seen."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    train = items.filter(F.year("l_shipdate") < 1996)
+    fitted = prep.fit_category_features(train, ["l_orderkey", "l_partkey"], ["l_quantity"])
+    vector = F.unwrap_udt("features")
+    return fitted.transform(items, broadcast_bytes=0, salt_cols=["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber", vector["size"].alias("size"), F.round(vector["values"][0], 6).alias("quantity"),
+        vector["indices"][1].alias("order_slot"), vector["indices"][2].alias("part_slot"),
+        F.array_join(F.slice(vector["values"], 2, 2).cast("array<string>"), ",").alias("ones"),
+    )
+
+
+def _ranked_sql(col: str) -> str:
+    return f"""SELECT {col}, row_number() OVER (ORDER BY n DESC, {col}) - 1 AS i FROM
+  (SELECT {col}, count(*) AS n FROM train WHERE {col} IS NOT NULL GROUP BY 1)"""
+
+
+ONE_HOT_PARTS_SQL = f"""WITH train AS (SELECT * FROM lineitem WHERE year(l_shipdate) < 1996),
+o AS ({_ranked_sql('l_orderkey')}), p AS ({_ranked_sql('l_partkey')}),
+n AS (SELECT (SELECT count(*) FROM o) AS no, (SELECT count(*) FROM p) AS np, avg(l_quantity) AS m, stddev_samp(l_quantity) AS d FROM train)
+SELECT l_orderkey, l_linenumber, CAST(1 + no + 1 + np + 1 AS INT) AS size, round((l_quantity - m) / d, 6) AS quantity,
+  CAST(1 + coalesce(o.i, no) AS INT) AS order_slot, CAST(no + 2 + coalesce(p.i, np) AS INT) AS part_slot, '1.0,1.0' AS ones
+FROM lineitem LEFT JOIN o USING (l_orderkey) LEFT JOIN p USING (l_partkey), n"""
+
+
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows set each encoded slot of the payment type, by slot name."""
     rows = trips(spark, sf_dir).withColumn("payment", F.concat(F.lit("p"), F.col("payment_type").cast("string")))
-    fitted = prep.feature_pipeline(("payment",), ("trip_distance",), scale=False).fit(rows)
+    fitted = prep.fit_features(rows, ("payment",), ("trip_distance",), scale=False)
     encoded = fitted.transform(rows)
     names = slot_names(encoded, "features")
     slots = vector_to_array("features")
@@ -475,6 +518,8 @@ QUERIES = {
     "assembled_vectors": (assembled_vectors, ASSEMBLED_SQL),
     "string_index": (string_index, INDEX_SQL),
     "one_hot": (one_hot, ONE_HOT_SQL),
+    "string_index_orders": (string_index_orders, ORDER_INDEX_SQL),
+    "one_hot_parts": (one_hot_parts, ONE_HOT_PARTS_SQL),
     "linear_fit_1f": (linear_fit_1f, LINE_SQL),
     "glm_gaussian_1f": (glm_gaussian_1f, LINE_SQL),
     "fit_linear": (_normal_equations("lr"), NORMAL_SQL),

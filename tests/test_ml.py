@@ -173,10 +173,11 @@ def test_no_row_of_a_partition_profile_goes_through_python(spark):
     assert "Python" not in plan and "MapInArrow" not in plan
 
 
-def test_too_many_labels_are_refused(spark):
-    df = spark.range(2000).select(F.col("id").cast("string").alias("c"))
+def test_too_many_labels_are_refused_where_mllib_lists_them(spark):
+    df = spark.range(2000).select(F.col("id").cast("string").alias("c"), F.lit(1.0).alias("x"))
     with pytest.raises(ValueError, match="labels"):
-        prep.index_categories(df, df, ["c"], max_labels=500)
+        prep.fit_features(df, ["c"], ["x"], max_labels=500)
+    assert prep.index_categories(df, df, ["c"]).agg(F.max("c_index")).first()[0] == 1999.0
 
 
 def test_hashed_tuning_does_not_depend_on_the_partitions(data):
