@@ -458,8 +458,8 @@ def layers_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
         reason = F.col("reject_reason") if "reject_reason" in rows.columns else F.lit(None).cast("string")
         return rows.groupBy(F.lit(layer).alias("layer"), reason.alias("reject_reason")).agg(F.count(F.lit(1)).alias("rows"))
 
-    bronze, silver = (spark.read.parquet(f"{root}/{name}") for name in ("bronze", "silver"))
-    tables = {"bronze": bronze, "silver": silver, "silver_rejects": built.silver_rejects, "gold": built.rows,
+    bronze = spark.read.parquet(f"{root}/bronze")
+    tables = {"bronze": bronze, "silver": built.silver, "silver_rejects": built.silver_rejects, "gold": built.rows,
               "gold_rejects": built.gold_rejects}
     return reduce(DataFrame.unionByName, [counted(rows, layer) for layer, rows in tables.items()])
 
@@ -479,6 +479,23 @@ UNION ALL SELECT 'gold', NULL, count(*) FROM judged WHERE reason IS NULL AND NOT
 UNION ALL SELECT 'gold_rejects', 'null_RatecodeID', count(*) FROM judged WHERE reason IS NULL AND no_rate HAVING count(*) > 0"""
 
 
+def layers_removals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The removal report of both cleaning steps of the same trips, from counts taken while they were written."""
+    built = layers_of(spark, trips(spark, sf_dir).withColumn("RatecodeID", F.expr(_NULL_RATES)))
+    listed = F.array_join(F.array_sort(F.transform(F.map_entries("reasons"), lambda e: F.concat(e.key, F.lit("="), e.value))), ",")
+    return built.removals.select("step", "records_before", "records_after", "records_removed", "removal_pct", listed.alias("reasons"))
+
+
+REMOVALS_SQL = f"""WITH j AS ({RECONCILED_SQL}), s AS (
+  SELECT 'silver' AS step, sum(rows) FILTER (layer = 'bronze') AS b, sum(rows) FILTER (layer = 'silver') AS a,
+    string_agg(reject_reason || '=' || rows, ',' ORDER BY reject_reason) FILTER (layer = 'silver_rejects') AS r FROM j
+  UNION ALL SELECT 'gold', sum(rows) FILTER (layer = 'silver'), sum(rows) FILTER (layer = 'gold'),
+    string_agg(reject_reason || '=' || rows, ',' ORDER BY reject_reason) FILTER (layer = 'gold_rejects') FROM j
+)
+SELECT step, b::BIGINT AS records_before, a::BIGINT AS records_after, (b - a)::BIGINT AS records_removed,
+  (b - a)::DOUBLE / b::DOUBLE * 100e0 AS removal_pct, coalesce(r, '') AS reasons FROM s"""
+
+
 def forest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested evaluation report of a forest: sound metrics and its ten most important inputs in order."""
     train, test = _split(spark, sf_dir)
@@ -545,5 +562,6 @@ QUERIES = {
     "model_roundtrip": (model_roundtrip, ROUNDTRIP_SQL),
     "layers_end_to_end": (layers_end_to_end, LAYERS_SQL),
     "layers_reconciled": (layers_reconciled, RECONCILED_SQL),
+    "layers_removals": (layers_removals, REMOVALS_SQL),
     "forest_report": (forest_report, FOREST_REPORT_SQL),
 }

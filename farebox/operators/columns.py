@@ -57,13 +57,13 @@ def add_bronze_lineage(
 
 
 def add_silver_lineage(
-    df: DataFrame, cleaned_at: datetime | Column | None = None, flag: str = "clean"
+    df: DataFrame, cleaned_at: datetime | Column | None = None, flag: str | Column = "clean"
 ) -> DataFrame:
     if cleaned_at is None:
         cleaned_at = F.current_timestamp()
     elif not isinstance(cleaned_at, Column):
         cleaned_at = F.lit(cleaned_at)
-    return df.withColumns({"silver_timestamp": cleaned_at, "data_quality_flag": F.lit(flag)})
+    return df.withColumns({"silver_timestamp": cleaned_at, "data_quality_flag": flag if isinstance(flag, Column) else F.lit(flag)})
 
 
 def gold_projection(df: DataFrame, with_pickup_time: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Default thresholds.
@@ -146,6 +146,34 @@ def tag_rejects(df: DataFrame, rules: RuleSet, out: str = "reject_reason") -> Da
     return df.withColumn(out, first_broken)
 
 
+def judged(df: DataFrame, rules: RuleSet, out: str = "reject_reason") -> DataFrame:
+    """All rows with the first rule they break, null for good ones, and the declared nulls of good ones filled."""
+    tagged, types = tag_rejects(df, rules, out), dict(df.dtypes)
+    good = F.col(out).isNull()
+    return tagged.withColumns({
+        c: F.when(good, F.coalesce(F.col(c), F.lit(v).cast(types[c]))).otherwise(F.col(c)) for c, v in rules.fill.items()
+    }) if rules.fill else tagged
+
+
+def reason_counts(rules: RuleSet, out: str = "reject_reason") -> list[Column]:
+    """Aggregates over judged rows: ``records``, and how many each rule was the first to reject."""
+    return [F.count(F.lit(1)).alias("records"), *[F.count_if(F.col(out) == r.name).alias(r.name) for r in rules.rules]]
+
+
+def removals(spark: SparkSession, counts: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """The removal report of each step from its observed ``reason_counts``, without reading a row:
+    step, records_before, records_after, records_removed, removal_pct, reasons (those that removed any)."""
+    rows = []
+    for step, seen in counts.items():
+        before = seen["records"]
+        reasons = {k: v for k, v in seen.items() if k != "records" and v}
+        removed = sum(reasons.values())
+        rows.append((step, before, before - removed, removed, removed / before * 100.0 if before else None, reasons))
+    return spark.createDataFrame(
+        rows, "step string, records_before long, records_after long, records_removed long, removal_pct double, reasons map<string,long>"
+    )
+
+
 def quarantine(df: DataFrame, rules: RuleSet) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows with ``reject_reason``); together they are the whole input."""
     rejects = tag_rejects(df, rules).filter(F.col("reject_reason").isNotNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from farebox.schema import PARTITION_COLS
 
@@ -16,17 +16,24 @@ def write_layer(
     mode: str = "overwrite",
     rebalance: bool = False,
     replace_months_only: bool = False,
-) -> None:
+    metrics: Sequence[Column] = (),
+) -> dict[str, object]:
     """Write Parquet partitioned by ``partition_cols``.
 
     Monthly inputs already arrive grouped by month, so nothing is shuffled by default. For
     mixed inputs ``rebalance`` asks adaptive execution to gather each month into files of the
     advisory size, splitting a month that holds too many rows for one task.
-    ``replace_months_only`` overwrites just the partitions present in ``df``.
+    ``replace_months_only`` overwrites just the partitions present in ``df``. ``metrics`` are aggregates
+    over the written rows, returned by name; they are taken in the writing tasks themselves,
+    behind the rebalancing shuffle, where each partition counts once however often it was tried.
     """
     overwrite = "dynamic" if replace_months_only else "static"
     gathered = df.hint("rebalance", *partition_cols) if rebalance else df
+    seen = Observation()
+    if metrics:
+        gathered = gathered.observe(seen, *metrics)
     gathered.write.option("partitionOverwriteMode", overwrite).parquet(path, mode, list(partition_cols) or None)
+    return dict(seen.get) if metrics else {}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -210,11 +210,11 @@ def test_layers_are_written_and_read_back(spark, sf, tmp_path):
             part = part.withColumn("passenger_count", F.col("passenger_count").cast("double"))
         part.write.parquet(str(tmp_path / f"raw{i}"))
         paths.append(str(tmp_path / f"raw{i}"))
-    gold, features, silver_rejects, gold_rejects = run_layers(spark, paths, str(tmp_path / "out"), "trip_id")
+    gold, features, silver, silver_rejects, gold_rejects, removals = run_layers(spark, paths, str(tmp_path / "out"), "trip_id")
     expected = featured_trips(spark, sf).count()
     assert gold.count() == expected
     assert set(gold.columns) == {"trip_id", *GOLD_COLS}
-    silver = read_trips(spark, str(tmp_path / "out" / "silver"))
+    assert [(r.step, r.records_after) for r in removals.collect()] == [("silver", expected), ("gold", expected)]
     assert silver.count() == expected and {"source_file", "data_quality_flag"} <= set(silver.columns)
     files = {r[0].rsplit("/", 2)[1] for r in silver.select("source_file").distinct().collect()}
     assert files == {"raw0", "raw1"}
@@ -223,6 +223,31 @@ def test_layers_are_written_and_read_back(spark, sf, tmp_path):
     assert len(features.stages) == 2
 
 
+def test_every_layer_is_scanned_once(spark, sf, tmp_path, monkeypatch):
+    """Each written plan reads one layer, and no layer but the scaler's input is read by two."""
+    from catalog.trips import trips
+    from farebox.plans import layers
+
+    trips(spark, sf).withColumn("RatecodeID", F.expr("nullif(RatecodeID, 3)")).write.parquet(str(tmp_path / "raw"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plans, write = [], layers.write_layer
+    monkeypatch.setattr(layers, "write_layer", lambda df, *a, **k: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a, **k))[1])
+    built = run_layers(spark, [str(tmp_path / "raw")], str(tmp_path / "out"), "trip_id")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    read = [[name for name in ("raw", "out/bronze", "out/silver", "out/gold_inputs") for _ in range(p.count(f"{tmp_path}/{name}]"))] for p in plans]
+    assert read == [["raw"], ["out/bronze"], ["out/silver"], ["out/gold_inputs"]]
+    assert all("PartitionFilters: [isnull(reject_reason" in p for p in plans[2:])
+    assert built.rows.count() + built.gold_rejects.count() == built.silver.count()
+    assert {r.reject_reason for r in built.gold_rejects.select("reject_reason").distinct().collect()} == {"null_RatecodeID"}
+
+
+def test_removals_of_nothing(spark):
+    from farebox.operators.quality import removals
+
+    (row,) = removals(spark, {"silver": {"records": 0, "fare": 0}}).collect()
+    assert tuple(row) == ("silver", 0, 0, 0, None, {})
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf, tmp_path):
     from catalog.trips import trips
     from farebox.operators.quality import apply_rules, bounds_rules
