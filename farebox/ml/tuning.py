@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,7 +57,8 @@ def tune(
 
     ``method`` is "tvs" (one train/validation split) or "cv" (cross-validation). With ``id_col``
     the split or the folds are hashed from the row id and so are the same on every cluster and
-    whatever the partitions. The rows stay persisted while the candidates are fitted,
+    whatever the partitions; then boosted trees are also fitted once for all values of ``maxIter``, and
+    measured after each (``prefix_metrics``). The rows stay persisted while the candidates are fitted,
     ``parallelism`` at a time. The table has one row per parameter combination, best first.
     """
     if method not in ("cv", "tvs"):
@@ -74,14 +76,14 @@ def tune(
     }
     needed = [estimator.getOrDefault("featuresCol"), estimator.getOrDefault("labelCol")]
     larger = evaluator.isLargerBetter()
-    if method == "tvs" and id_col is not None:
+    if id_col is not None and (method == "tvs" or isinstance(estimator, GBTRegressor)):
         ids = [id_col] if isinstance(id_col, str) else list(id_col)
-        narrow = train.select(*dict.fromkeys([*ids, *needed]))
-        # a draw of its own: the split that made ``train`` may use the same seed and ids
-        fits = drawn(ids, ratio, seed, split_method, "validation")
-        fitting, validation = narrow.filter(fits).select(*needed), narrow.filter(~fits).select(*needed)
-        with persisted(fitting) as rows, persisted(validation) as held, ThreadPoolExecutor(parallelism) as pool:
-            metrics = list(pool.map(lambda m: evaluator.evaluate(estimator.fit(rows, m).transform(held)), maps))
+        metrics = [0.0] * len(maps)
+        sides = _hashed_sides(train.select(*dict.fromkeys([*ids, *needed])), ids, needed, method, folds, ratio, seed, split_method)
+        for fitting, validation in sides:
+            with persisted(fitting) as rows, persisted(validation) as held:
+                for i, value in _measured(estimator, maps, rows, held, evaluator, parallelism).items():
+                    metrics[i] += value / len(sides)
         best = maps[metrics.index(max(metrics) if larger else min(metrics))]
         with persisted(train.select(*needed)) as rows:
             return estimator.fit(rows, best), _table(train, maps, metrics, metric, larger)
@@ -99,6 +101,61 @@ def tune(
     return found.bestModel, _table(train, maps, metrics, metric, larger)
 
 
+def _hashed_sides(
+    rows: DataFrame, ids: Sequence[str], needed: Sequence[str], method: str, folds: int, ratio: float, seed: int, split_method: str
+) -> list[tuple[DataFrame, DataFrame]]:
+    """(fitting, validation) rows of the split, or of every fold."""
+    if method == "tvs":
+        # a draw of its own: the split that made the rows may use the same seed and ids
+        fits = drawn(ids, ratio, seed, split_method, "validation")
+        return [(rows.filter(fits).select(*needed), rows.filter(~fits).select(*needed))]
+    folded = with_fold(rows, ids, folds, seed, out="_fold")
+    return [(folded.filter(F.col("_fold") != k).select(*needed), folded.filter(F.col("_fold") == k).select(*needed)) for k in range(folds)]
+
+
+def _measured(
+    estimator: Estimator, maps: Sequence[dict], rows: DataFrame, held: DataFrame, evaluator: RegressionEvaluator, parallelism: int
+) -> dict[int, float]:
+    """The metric of every combination, by its place. Combinations that differ in nothing but the rounds of
+    boosting share one fit of the most rounds (``prefix_metrics``)."""
+    rounds = estimator.maxIter if isinstance(estimator, GBTRegressor) and evaluator.getMetricName() in PREFIX_METRICS else None
+    shared: dict[tuple, list[int]] = {}
+    for i, m in enumerate(maps):
+        alone = (i,) if rounds not in m else ()
+        shared.setdefault((*alone, *sorted((p.name, str(v)) for p, v in m.items() if p != rounds)), []).append(i)
+
+    def measure(places: list[int]) -> dict[int, float]:
+        most = max((maps[i] for i in places), key=lambda m: m.get(rounds, 0))
+        model = estimator.fit(rows, most)
+        if len(places) == 1:
+            return {places[0]: evaluator.evaluate(model.transform(held))}
+        found = prefix_metrics(model, held, [maps[i][rounds] for i in places], evaluator.getMetricName())
+        return {i: found[maps[i][rounds]] for i in places}
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return {i: v for part in pool.map(measure, shared.values()) for i, v in part.items()}
+
+
+PREFIX_METRICS = ("rmse", "mse", "mae", "r2")
+
+
+def prefix_metrics(model: GBTRegressionModel, rows: DataFrame, rounds: Sequence[int], metric: str = "rmse") -> dict[int, float]:
+    """The metric that a boosted model had after each number of ``rounds``, in one pass over the rows.
+
+    Boosting adds trees one after the other and never changes one, so the first k trees are the
+    model that a fit of k rounds with the same seed gives.
+    """
+    if metric not in PREFIX_METRICS:
+        raise ValueError(f"metric must be one of {PREFIX_METRICS}, got {metric!r}")
+    # losses per round; the model's own weights make them those of its predictions
+    loss = model.evaluateEachIteration(rows, "absolute" if metric == "mae" else "squared")
+    if metric == "r2":
+        label = model.getOrDefault("labelCol")
+        spread = rows.agg(F.var_pop(F.col(label).cast("double"))).first()[0]
+        return {k: 1 - loss[k - 1] / spread if spread else float("nan") for k in rounds}
+    return {k: loss[k - 1] ** 0.5 if metric == "rmse" else loss[k - 1] for k in rounds}
+
+
 def _table(train: DataFrame, maps: Sequence[dict], metrics: Sequence[float], metric: str, larger: bool) -> DataFrame:
     """One row per parameter combination, best first."""
     table = train.sparkSession.createDataFrame(

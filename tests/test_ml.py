@@ -116,6 +116,31 @@ def test_tuning_finds_the_best_combination(data):
         tuning.tune(estimator, grid, data[0], method="grid")
 
 
+@pytest.mark.parametrize("method, metric", [("tvs", "rmse"), ("cv", "mae"), ("tvs", "r2"), ("tvs", "mse")])
+def test_boosted_grids_are_measured_on_prefixes_of_one_fit(data, monkeypatch, method, metric):
+    """The same table as separate fits give, from one fit for each combination of the other settings."""
+    estimator = models.make_regressor("gbt", maxBins=16)
+    grid, fits = {"maxIter": [1, 3, 5], "maxDepth": [2, 3]}, []
+    fit = type(estimator).fit
+    monkeypatch.setattr(type(estimator), "fit", lambda self, rows, params=None: (fits.append(params), fit(self, rows, params))[1])
+    how = {"method": method, "folds": 2, "id_col": "trip_id", "metric": metric}
+    best, table = tuning.tune(estimator, grid, data[0], **how)
+    shared = {r["params"]: r[metric] for r in table.collect()}
+    assert len(fits) == 2 * (2 if method == "cv" else 1) + 1
+    monkeypatch.setattr(tuning, "PREFIX_METRICS", ())
+    again, plain = tuning.tune(estimator, grid, data[0], **how)
+    assert shared == pytest.approx({r["params"]: r[metric] for r in plain.collect()}, rel=1e-9)
+    assert [r["params"] for r in table.collect()] == [r["params"] for r in plain.collect()]
+    assert (best.getMaxIter(), best.getMaxDepth()) == (again.getMaxIter(), again.getMaxDepth())
+
+
+def test_prefix_metrics_of_an_unknown_metric(data, fitted):
+    with pytest.raises(ValueError, match="metric"):
+        tuning.prefix_metrics(fitted["gbt"].model, data[1], [1], "var")
+    constant = data[1].withColumn("label", F.lit(3.0))
+    assert tuning.prefix_metrics(fitted["gbt"].model, constant, [2], "r2")[2] != tuning.prefix_metrics(fitted["gbt"].model, constant, [2], "r2")[2]
+
+
 def test_default_grid_sizes():
     sizes = {k: len(tuning.param_grid(models.make_regressor(k), g)) for k, g in tuning.DEFAULT_GRIDS.items()}
     assert sizes == {"lr": 9, "dt": 12, "rf": 18, "gbt": 27, "glr": 3}
