@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from catalog.trips import (
     uniform_sql,
 )
 from farebox.functions import trip
-from farebox.operators import features
+from farebox.operators import features, out_of_fold
 from farebox.operators.group_stats import (
     GroupTable,
     apply_group_stats,
@@ -216,6 +218,61 @@ test AS (SELECT * FROM base WHERE {uniform_sql('trip_id')} >= 0.8e0),
 {_with_stats('train')} """ + _JOINED.format(rows="test")
 
 
+_FOLDS = 5
+
+
+def _averages() -> dict:
+    return {
+        key: [replace(a, per_unit=_UNITS[a.col]) if isinstance(a, out_of_fold.Average) else a for a in listed]
+        for key, listed in out_of_fold.DEFAULT_AVERAGES.items()
+    }
+
+
+def out_of_fold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics for training rows from the other folds, and for test rows from all of them."""
+    train, test = hash_split(_base(spark, sf_dir), "trip_id", method="md5")
+    fitted = out_of_fold.fit_out_of_fold(train, _averages(), "trip_id", _FOLDS, method="md5")
+    trained = fitted.training_features(train).select(*_STATS_OUT, F.lit("train").alias("side"))
+    return trained.unionByName(fitted.features(test).select(*_STATS_OUT, F.lit("test").alias("side")))
+
+
+def out_of_fold_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same per pickup zone, joined by shuffle with hot cells spread."""
+    specs = {"PULocationID": [out_of_fold.Average("fare_amount", "zone_avg_fare", 100), out_of_fold.Rows("zone_trips")]}
+    df = _base(spark, sf_dir)
+    fitted = out_of_fold.fit_out_of_fold(df, specs, "trip_id", _FOLDS, method="md5")
+    joined = fitted.training_features(df, broadcast_bytes=0, hot_share=0.0008, salt_cols=["trip_id"])
+    return joined.select("trip_id", "zone_avg_fare", "zone_trips")
+
+
+def _rest_sql(key: str, table: str, columns: dict[str, tuple[str, int] | None]) -> str:
+    """The rows of ``table`` with statistics of their key over the other folds; ``columns``: out -> (column, unit) or None."""
+    parts = []
+    for out, spec in columns.items():
+        if spec is None:
+            parts.append(f"(count(*) OVER k - count(*) OVER f) AS {out}")
+            continue
+        whole = f"CAST(floor({spec[0]} * {spec[1]}e0 + 0.5e0) AS BIGINT)"
+        total, n = f"(sum({whole}) OVER k - coalesce(sum({whole}) OVER f, 0))", f"(count({spec[0]}) OVER k - count({spec[0]}) OVER f)"
+        parts.append(f"CASE WHEN {n} > 0 THEN CAST({total} AS DOUBLE) / CAST({n} AS DOUBLE) / {spec[1]}e0 END AS {out}")
+    return f"""SELECT trip_id, {', '.join(parts)} FROM {table} WHERE {key} IS NOT NULL
+  WINDOW k AS (PARTITION BY {key}), f AS (PARTITION BY {key}, fold)"""
+
+
+_VENDOR = {"vendor_avg_fare": ("fare_amount", 100), "vendor_avg_distance": ("trip_distance", 350), "vendor_avg_tip": ("tip_amount", 100)}
+_HOUR = {"hour_avg_fare": ("fare_amount", 100), "hour_avg_distance": ("trip_distance", 350), "hour_trip_count": None}
+_FOLDED_SQL = f"SELECT *, CAST(floor({uniform_sql('trip_id', 'fold')} * {_FOLDS}e0) AS INT) AS fold FROM base"
+OUT_OF_FOLD_SQL = f"""WITH {BASE_SQL}, train AS (SELECT * FROM ({_FOLDED_SQL}) WHERE {uniform_sql('trip_id')} < 0.8e0),
+test AS (SELECT * FROM base WHERE {uniform_sql('trip_id')} >= 0.8e0), {_with_stats('train')},
+tv AS ({_rest_sql('VendorID', 'train', _VENDOR)}), th AS ({_rest_sql('pickup_hour', 'train', _HOUR)}),
+tp AS ({_rest_sql('payment_type', 'train', {'payment_avg_tip_pct': ('tip_percentage', 10000)})})
+SELECT trip_id, tv.* EXCLUDE (trip_id), th.* EXCLUDE (trip_id), tp.* EXCLUDE (trip_id), 'train' AS side
+FROM train LEFT JOIN tv USING (trip_id) LEFT JOIN th USING (trip_id) LEFT JOIN tp USING (trip_id)
+UNION ALL SELECT *, 'test' FROM ({_JOINED.format(rows="test")})"""
+OUT_OF_FOLD_ZONES_SQL = f"""WITH {BASE_SQL}, every AS ({_FOLDED_SQL})
+{_rest_sql('PULocationID', 'every', {'zone_avg_fare': ('fare_amount', 100), 'zone_trips': None})}"""
+
+
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone statistics joined without broadcasting the table: the way taken by many-valued keys."""
     df = _base(spark, sf_dir)
@@ -252,5 +309,7 @@ QUERIES = {
     "payment_stats": (_stats("payment_type"), f"WITH {BASE_SQL} {_stats_sql('payment_type')}"),
     "aggregated_features": (aggregated_features, AGGREGATED_SQL),
     "train_only_features": (train_only_features, TRAIN_ONLY_SQL),
+    "out_of_fold_features": (out_of_fold_features, OUT_OF_FOLD_SQL),
+    "out_of_fold_zones": (out_of_fold_zones, OUT_OF_FOLD_ZONES_SQL),
     "zone_lookup": (zone_lookup, ZONE_SQL),
 }
