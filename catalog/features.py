@@ -20,7 +20,7 @@ from catalog.trips import (
     uniform_sql,
 )
 from farebox.functions import trip
-from farebox.operators import features, out_of_fold
+from farebox.operators import features, moments, out_of_fold
 from farebox.operators.group_stats import (
     GroupTable,
     apply_group_stats,
@@ -30,6 +30,7 @@ from farebox.operators.group_stats import (
     lookup_join,
 )
 from farebox.operators.sampling import hash_split
+from farebox.sources.scratch import scratch_path
 
 
 def time_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,6 +287,53 @@ ZONE_SQL = f"""WITH {BASE_SQL}, z AS (SELECT DOLocationID, count(*) AS zone_trip
   FROM base GROUP BY DOLocationID)
 SELECT trip_id, zone_trips, zone_top_fare FROM base JOIN z USING (DOLocationID)"""
 
+_STORED = {"fare_amount": 100, "trip_distance": 350, "tip_amount": 100, "trip_duration_minutes": None}
+
+
+def _month_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(months of moments, the trips): stored in two parts, one month first with half of its rows, then replaced."""
+    rows = features.with_duration(_base(spark, sf_dir)).withColumns(
+        {"data_year": F.year("tpep_pickup_datetime"), "data_month": F.month("tpep_pickup_datetime")}
+    )
+    path, keys = scratch_path(spark, "moments"), ["VendorID", "pickup_hour", "payment_type"]
+    odd = F.col("data_month") % 2 == 1
+    moments.update_store(rows.filter(odd & (F.col("trip_id") % 2 == 0)), path, _STORED, keys)
+    moments.update_store(rows.filter(~odd), path, _STORED, keys)
+    moments.update_store(rows.filter(odd), path, _STORED, keys)
+    return moments.read_store(spark, path), rows
+
+
+def month_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and deviation of each column, merged from the stored months."""
+    store, _ = _month_store(spark, sf_dir)
+    every = moments.merged(store.filter(F.col("key") == moments.EVERY), _STORED)
+    return every.select("column", "rows", "n", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
+
+
+MONTH_SCALER_SQL = f"WITH {TIMED_SQL} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS rows, count({c}) AS n, round(avg({c}), 9) AS mean, round(stddev_samp({c}), 9) AS std FROM timed"
+    for c in _STORED
+)
+
+
+def month_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages per vendor, hour and payment type from the stored months, joined onto all trips."""
+    store, rows = _month_store(spark, sf_dir)
+    wanted = {
+        "VendorID": ("int", {"fare_amount": "vendor_avg_fare", "trip_distance": "vendor_avg_distance", "tip_amount": "vendor_avg_tip"}),
+        "pickup_hour": ("int", {"fare_amount": "hour_avg_fare", "trip_distance": "hour_avg_distance"}),
+        "payment_type": ("int", {"tip_amount": "payment_avg_tip"}),
+    }
+    for key, (kind, out) in wanted.items():
+        rows = lookup_join(rows, moments.group_table(store, _STORED, key, kind, out))
+    return rows.select("trip_id", *[o for _, out in wanted.values() for o in out.values()])
+
+
+MONTH_GROUP_SQL = f"""WITH {BASE_SQL}, v AS ({_stats_sql('VendorID')}), h AS ({_stats_sql('pickup_hour')}),
+p AS (SELECT payment_type, {mean_sql('tip_amount', 100)} AS payment_avg_tip FROM base GROUP BY payment_type)
+SELECT trip_id, vendor_avg_fare, vendor_avg_distance, vendor_avg_tip, hour_avg_fare, hour_avg_distance, payment_avg_tip
+FROM base LEFT JOIN v USING (VendorID) LEFT JOIN h USING (pickup_hour) LEFT JOIN p USING (payment_type)"""
+
 QUERIES = {
     "time_features": (
         time_features,
@@ -311,5 +359,7 @@ QUERIES = {
     "train_only_features": (train_only_features, TRAIN_ONLY_SQL),
     "out_of_fold_features": (out_of_fold_features, OUT_OF_FOLD_SQL),
     "out_of_fold_zones": (out_of_fold_zones, OUT_OF_FOLD_ZONES_SQL),
+    "month_scaler": (month_scaler, MONTH_SCALER_SQL),
+    "month_group_stats": (month_group_stats, MONTH_GROUP_SQL),
     "zone_lookup": (zone_lookup, ZONE_SQL),
 }
