@@ -49,7 +49,7 @@ def spans(df):
 
 
 @pytest.mark.parametrize("alphabet", ["a", "ab", "abcdefghijklmnop", "aé\x00漢"])
-@pytest.mark.parametrize("hot", [2048, 0])
+@pytest.mark.parametrize("hot", [2048, 3, 0])
 def test_matches_brute_force(spark, monkeypatch, alphabet, hot):
     monkeypatch.setattr(substring_dedup, "HOT", hot)
     texts = corpus(len(alphabet) + hot, alphabet)
@@ -57,6 +57,22 @@ def test_matches_brute_force(spark, monkeypatch, alphabet, hot):
     assert spans(with_repeats(df, length=24)) == dict(enumerate(brute(texts, 24)))
 
 
+def test_a_passage_in_many_surroundings_is_divided(spark, monkeypatch):
+    """Parts shrink until they fit, and phrases are passed on, not the strings they hold."""
+    monkeypatch.setattr(substring_dedup, "HOT", 20)
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, tail = word(150), word(60)
+    texts = [word(rng.randint(30, 90)) + passage + (tail if i % 3 == 0 else word(60)) + word(rng.randint(0, 40)) for i in range(160)]
+    texts += [texts[5], texts[6][:170]]
+    sizes, halves = [], substring_dedup._halves
+    monkeypatch.setattr(substring_dedup, "_halves", lambda rows, length: (out := halves(rows, length), sizes.append((rows.count(), out.count())))[0])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert spans(with_repeats(df, length=100)) == dict(enumerate(brute(texts, 100)))
+    assert sizes and all(after <= 2 * before for before, after in sizes) and len(sizes) <= 7
+    assert max(after for _, after in sizes) < 160 * 10
+
+
 def test_every_string_start_has_one_phrase_whatever_the_chunks(monkeypatch):
     from farebox.llm import phrases as module
 
@@ -91,7 +107,7 @@ def test_cut_texts_keep_whole_characters_and_all_columns(spark):
     rows = [(1, "x", "A" + shared + "B", 1), (2, "y", "漢" + shared, 2), (3, "z", None, 3), (None, "u", "", 4)]
     df = spark.createDataFrame(rows, "doc_id long, uid string, text string, repeats int")
     got = without_repeats(df)
-    assert got.columns == ["doc_id", "uid", "text"]
+    assert got.columns == df.columns and {(r.uid, r.repeats) for r in got.collect()} == {(r[1], r[3]) for r in rows}
     left = {r.uid: r.text for r in got.collect()}
     assert left["x"] == "AB" and left["z"] is None and left["u"] == "" and shared not in left["y"]
 
