@@ -27,8 +27,11 @@ def part_by_ids(rows: DataFrame, key: str, ids: DataFrame, col: str) -> tuple[Da
     """
     words = max(64, min(MAX_WORDS, ids.count() // 4))
     word, mask = _bits(F.col(col), words)
-    filter_ = ids.select(word.alias("__word"), mask.alias("__mask")).groupBy("__word").agg(F.bit_or("__mask").alias("__set"))
+    filter_ = ids.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits"))
     word, mask = _bits(F.col(key), words)
-    probed = rows.withColumn("__word", word).join(F.broadcast(filter_), "__word", "left")
-    maybe = F.coalesce(mask.bitwiseAND(F.bitwise_not(F.col("__set"))) == 0, F.lit(False))
-    return probed.where(maybe).select(rows.columns), probed.where(~maybe).select(rows.columns)
+    # names of their own for all columns, whatever those of the rows are
+    held = rows.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rows.columns)], word.alias("word"), mask.alias("mask"))
+    probed = held.join(F.broadcast(filter_), "word", "left")
+    maybe = F.coalesce(F.col("mask").bitwiseAND(F.bitwise_not(F.col("bits"))) == 0, F.lit(False))
+    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(rows.columns)]
+    return probed.where(maybe).select(back), probed.where(~maybe).select(back)

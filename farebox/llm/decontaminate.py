@@ -301,4 +301,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` less the documents in which a benchmark item is found by either similarity; a null doc_id stays."""
     bad = cut_lineage(contaminated(docs, benchmark, unweighted=True).select("doc_id").distinct())
     maybe, clean = part_by_ids(docs, "doc_id", bad, "doc_id")
-    return clean.unionByName(maybe.join(bad, "doc_id", "left_anti").select(docs.columns))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    left = maybe.toDF(*names)
+    left = left.join(bad, left[names[docs.columns.index("doc_id")]] == bad["doc_id"], "left_anti")
+    return clean.unionByName(left.toDF(*docs.columns))

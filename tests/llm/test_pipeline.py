@@ -1,6 +1,7 @@
 """The corpus pipeline: each stage against its brute-force meaning, and the whole run."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -73,9 +74,31 @@ def test_rows_that_repeat_an_id_and_rows_without_one(spark):
     assert sorted((r.doc_id or 0, r.rows) for r in got.collect()) == [(0, "u"), (0, "u"), (1, "x"), (3, "z")]
 
 
+def test_columns_of_any_name_pass_through_all_stages(spark, tmp_path):
+    odd = ["repeats", "__kept", "__set", "__word", "__uid", "Text2", "kept", "word", "bits", "c0", "uid", "score", "a.b"]
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in odd])
+    plain = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs, plain = (_stored(spark, stage(spark, d, str(tmp_path)), tmp_path / f"{name}{i}") for i, d in enumerate((docs, plain)))
+        assert docs.columns == [*plain.columns, *odd]
+        rows = docs.collect()
+        assert sorted((r.doc_id, r.text, r.n_chars) for r in rows) == sorted((r.doc_id, r.text, r.n_chars) for r in plain.collect())
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in odd)
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs, str(tmp_path)).count() == last(spark, plain, str(tmp_path)).count()
+
+
+def _stored(spark, df, path):
+    df.write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
 def test_registered(spark):
     names = contract.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 def test_no_documents(spark, tmp_path):
