@@ -29,18 +29,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     judged = near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id")
     touched = judged.agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows")).where("NOT kept OR rows > 1")
-    touched = cut_lineage(touched.select("doc_id", F.col("kept").alias("__kept")))
+    touched = cut_lineage(touched.select("doc_id", "kept"))
     maybe, others = part_by_ids(docs, "doc_id", touched, "doc_id")
-    joined = maybe.join(touched, "doc_id", "left")
-    single = joined.where("__kept IS NULL").select(docs.columns)
-    repeated = joined.where("__kept").dropDuplicates(["doc_id"]).select(docs.columns)
-    return others.unionByName(single).unionByName(repeated)
+    # names of their own for all columns, whatever those of the rows are
+    key, names = "c" + str(docs.columns.index("doc_id")), [f"c{i}" for i in range(len(docs.columns))]
+    joined = maybe.toDF(*names).join(touched, F.col(key) == F.col("doc_id"), "left")
+    single = joined.where("kept IS NULL").select(names)
+    repeated = joined.where("kept").dropDuplicates([key]).select(names)
+    return others.unionByName(single.unionByName(repeated).toDF(*docs.columns))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that occur more than once are cut from the texts; n_chars follows. Rows stay."""
-    cut = without_repeats(docs)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return without_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
