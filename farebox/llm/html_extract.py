@@ -20,6 +20,7 @@ from farebox.llm.sample import first_by_hash
 from farebox.llm.session import bound_batches
 
 SAMPLE = 192  # pages that the labeller learns from
+SAMPLE_BYTES = 1 << 18  # a longer page is not learnt from, so the driver holds SAMPLE times this at most
 DRAWN = 5  # re-templated pages for each of them
 PATH_SLOTS, WORD_SLOTS = 256, 32
 DENSE, HIDDEN, EPOCHS = 32, 24, 10
@@ -58,11 +59,15 @@ OTHERS = {
               ("div", "sharing"), ("div", "social-media")),
 }
 _MAIN_TAGS = {"article", "main"}
-_OTHER_TAGS = {tag for kind in OTHERS.values() for tag, name in kind if not name and tag not in ("section", "div")}
+_OTHER_TAGS = {tag for kind in OTHERS.values() for tag, name in kind if not name and tag not in ("section", "div")} | {
+    "select", "template", "svg", "button", "label", "datalist"
+}
 _OTHER_NAMES = {name for kind in OTHERS.values() for _, names in kind for name in names.split("-") if name} - {
     "main", "body", "post", "posts", "article", "side", "site", "bottom", "top", "page", "reader", "user", "byline", "links",
     "buttons", "container", "area", "list", "media", "bar"
 }
+_CONTAINERS = frozenset("html body main article section div center table tbody tr td".split())
+_STOPS = (".", "!", "?", '"', "”", "»")
 _MARK = "\ue000"  # a private-use character
 
 
@@ -78,6 +83,42 @@ def weak_labels(page: list[Block]) -> list[int] | None:
     return [int(any(e.tag in _MAIN_TAGS for e in b.path) and not any(map(_is_other, b.path))) for b in page]
 
 
+def likely_labels(page: list[Block]) -> list[int]:
+    """Labels of a page whose markup names no article: the blocks of the container that holds most prose,
+    less those that are named in OTHERS.
+
+    Prose is the text outside links of blocks that are no such other part; a block that ends like a
+    sentence counts in full, any other a quarter. A container loses what prose is in it to the one inside
+    that has four fifths of it. Without any prose all blocks that are in no other part are taken.
+    """
+    other = [any(map(_is_other, b.path)) for b in page]
+    prose = [0 if o else (len(b.text) - b.linked) * (4 if b.text[-1:] in _STOPS else 1) for b, o in zip(page, other)]
+    within = [[e for e in b.path if e.tag in _CONTAINERS] for b in page]
+    low, high, depth, total = 0, len(page), 0, sum(prose)
+    while total:
+        best = None
+        at = low
+        while at < high:  # runs of blocks that share one more container
+            end = at + 1
+            while end < high and within[end][: depth + 1] == within[at][: depth + 1]:
+                end += 1
+            if len(within[at]) > depth and sum(prose[at:end]) >= 0.8 * total:
+                best = at, end
+            at = end
+        if best is None:
+            break
+        low, high, depth, total = *best, depth + 1, sum(prose[best[0] : best[1]])
+    return [int(low <= i < high and not o) for i, o in enumerate(other)]
+
+
+def _renamed(page: list[Block], rng: random.Random) -> list[Block]:
+    """The page with another tag and name, or none, in place of those that say it is the article."""
+    tag = rng.choice(("div", "div", "section"))
+    drawn = "".join(rng.choice("abcdefghijklmnoprstuvwxyz") for _ in range(rng.randint(2, 8)))
+    names = rng.choice(((), (drawn,)))
+    return [b._replace(path=tuple(Element(tag, names) if e.tag in _MAIN_TAGS else e for e in b.path)) for b in page]
+
+
 def _draw_page(content: list[Block], texts: list[str], rng: random.Random) -> str:
     """A page of another template around the same article; its content is marked."""
 
@@ -143,7 +184,8 @@ def _path_vector(path: tuple[Element, ...]) -> np.ndarray:
 
 
 def features(page: list[Block]) -> np.ndarray:
-    """(blocks, inputs): hashed tag path, hashed words, sizes and place of each block."""
+    """(blocks, inputs): hashed tag path, hashed words, sizes, place of each block, and whether it is in the
+    container that holds most of the page's prose."""
     column = pa.array([b.text.encode("utf-8", "replace") for b in page], pa.binary())
     words = np.zeros((len(page), WORD_SLOTS), dtype=np.float32)
     count = np.zeros(len(page), dtype=np.float32)
@@ -165,6 +207,7 @@ def features(page: list[Block]) -> np.ndarray:
             place / max(1, len(page)),
             1 / (1 + place),
             1 / (1 + place[::-1]),
+            np.array(likely_labels(page), dtype=np.float32),
         ],
         axis=1,
     )
@@ -173,18 +216,18 @@ def features(page: list[Block]) -> np.ndarray:
 
 
 def fit(pages: list[str], seed: int = 1) -> lstm.Weights | None:
-    """Learn from pages whose markup names the article, as they are and in other templates.
-
-    None if no page names it.
+    """Learn from pages whose markup names the article: as they are, with that name taken off, and in other
+    templates. If no page names it, from those where ``likely_labels`` finds prose; None if there are no blocks.
     """
     rng = random.Random(seed)
-    known = [(p, y) for p in map(blocks, pages) if p and (y := weak_labels(p)) is not None]
+    parsed = [p for p in map(blocks, pages) if p]
+    known = [(p, y) for p in parsed if (y := weak_labels(p)) is not None] or [(p, likely_labels(p)) for p in parsed]
     if not known:
         return None
     texts = [b.text for p, _ in known for b in p if b.text]
     sequences, labels = [], []
     for page, label in known:
-        sequences += [features(page)] * 2
+        sequences += [features(page), features(_renamed(page, rng))]
         labels += [np.array(label, dtype=np.float32)] * 2
         content = [b for b, y in zip(page, label) if y]
         for _ in range(DRAWN if content else 0):
@@ -220,10 +263,7 @@ def _extract(shared):
         for batch in batches:
             for part in row_slices(batch, 512):
                 pages = [blocks(h.as_py()) for h in part.column(2)]
-                if weights is None:
-                    found = [np.ones(len(p), dtype=bool) for p in pages]
-                else:
-                    found = label(weights, pages)
+                found = label(weights, pages) if weights else [np.array(likely_labels(p), dtype=bool) for p in pages]
                 texts = ["\n".join(b.text for b, y in zip(p, keep) if y) for p, keep in zip(pages, found)]
                 columns = [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
@@ -238,18 +278,25 @@ def main_text(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     hashed path and word vectors of all of a page's blocks in order, so that the whole document
     decides on each block; those labelled main text are joined by a line feed, whole and in order.
     It learns in numpy on the driver from the first ``sample`` pages by a hash of their id (of pages that
-    share one, the first by text): blocks that semantic markup puts in or out of the article, and
-    the same articles in drawn templates with other containers, menus, notices, adverts, forms,
-    sidebars and comments.
-
-    The article's own headings belong to its text. A null or empty page gives an empty text; without any
-    page to learn from, all visible text counts. Very long pages are labelled whole. Repeated rows
-    are separate rows, and no pages give none. Weights of fixed size are all that is broadcast.
+    share one, the first by text), chosen among those with an ``article`` or ``main`` element; only if
+    there is none, among all: blocks that this markup puts in or out of the article, the same with its name taken
+    off, and the same articles in drawn templates with other containers, menus, notices, adverts,
+    forms, sidebars and comments. Pages of more than ``SAMPLE_BYTES`` bytes are not learnt from.
+
+    The article's own headings belong to its text. A null or empty page gives an empty text. If no page names
+    its article, the labeller learns from the container that holds most prose (``likely_labels``), and if
+    there is no page to learn from at all, that is the text; menus never are. Very long pages are
+    labelled whole. Repeated rows are separate rows, and no pages give none. Weights of fixed size are all
+    that is broadcast.
     """
     bound_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    ids = first_by_hash(rows, "page_id", sample, rows.count(), seed=1)
-    chosen = rows.join(F.broadcast(ids), "page_id").where("html IS NOT NULL")  # at most ``sample`` ids
+    short = rows.where(F.octet_length("html").between(1, SAMPLE_BYTES))
+    named = short.where(F.col("html").rlike(r"(?i)<(article|main)[\s>/]"))
+    count = named.count()
+    source = named if count else short
+    ids = first_by_hash(source, "page_id", sample, count or source.count(), seed=1)
+    chosen = source.join(F.broadcast(ids), "page_id")  # at most ``sample`` ids
     first = chosen.groupBy("page_id").agg(F.min("html").alias("html")).orderBy("page_id")
     weights = fit([r.html for r in first.collect()])
     shared = pages.sparkSession.sparkContext.broadcast(weights)

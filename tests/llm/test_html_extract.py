@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from farebox.llm import lstm
 from farebox.llm.html_blocks import blocks
@@ -30,6 +31,84 @@ def test_odd_input(html):
         assert block.text == block.text.strip() != ""
 
 
+def test_text_after_open_or_nested_elements_is_kept():
+    texts = lambda html: [b.text for b in blocks(html)]
+    assert texts("<p>one</p><select><option>x<p>two</p><article><p>three</p></article>") == ["one", "x", "two", "three"]
+    assert texts("<article><p>a <math><mi>x</mi></math> b</p></article>") == ["a x b"]
+    assert texts("<object><object>in</object>between</object>after") == ["inbetweenafter"]
+    assert texts("<template><p>t</p><template>u</template></template><p>v") == ["t", "u", "v"]
+    assert blocks("<select><option>x<p>two</p>")[1].path == blocks("<p>two</p>")[0].path
+    assert texts("<script>if (a < b) '<p>no'</script><textarea><p>no</textarea><p>yes") == ["yes"]
+
+
+@pytest.mark.parametrize("html, found", [
+    ("<b>" * 150_000 + "</i>" * 150_000, 0), ("<div>x" * 100_000, 100_000), ("<div><i><div>" + "<b>" * 50_000 + "</i>" * 50_000 + "x", 1),
+    ("<ul>" + "<b>" * 20_000 + "<li>x" * 30_000, 30_000), ("<a '" * 20_000, 1), ("<p>" * 100_000 + "y", 1), ("</p>" * 200_000 + "z", 1),
+])
+def test_hostile_markup_takes_time_and_memory_by_its_length(html, found):
+    import time
+    import tracemalloc
+
+    start = time.process_time()
+    got = blocks(html)
+    assert len(got) == found and time.process_time() - start < 10
+    assert all(len(b.path) <= 64 for b in got)
+    if len(html) < 700_000:
+        tracemalloc.start()
+        blocks(html)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 150e6
+
+
+EXPECTED = {
+    """<html><body><div class=top><a href=/>Home</a> | <a href=/n>News</a></div><div id=page><div class="zq7"><h1>The   river &amp; the mill</h1>
+<p>It rained for a week.<br>The water rose.</p><div class="advertisement"><p>Buy our boots now, they are cheap!</p></div>
+<p>Nobody slept.</p></div><div class="comments"><p>Great story, thank you very much for it.</p></div></div>
+<div class="footer"><p>Copyright 2020 by us.</p></div></body></html>""":
+        "The river & the mill\nIt rained for a week. The water rose.\nNobody slept.",
+    """<body><nav><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></nav><main><h2>Salt</h2><p>Salt is a mineral of the sea and of old lakes.
+<p>It keeps fish &lt;fresh&gt; for many months.</main><aside><p>Related: pepper, and where it grows today.</p></aside></body>""":
+        "Salt\nSalt is a mineral of the sea and of old lakes.\nIt keeps fish <fresh> for many months.",
+    """<body><form><label>Search</label><input><button>Go</button></form><article><p>The old bridge was closed in May.</p>
+<p>It will be mended &#8211; slowly.</p><div class="share"><a href=x>Share</a></div></article><div class="cookie-notice"><p>We use cookies on this site.</p></div>""":
+        "The old bridge was closed in May.\nIt will be mended – slowly.",
+}
+
+
+def test_texts_written_by_hand(spark, pages):
+    """Pages and their main text as a reader would copy it, among the given ones."""
+    odd = spark.createDataFrame([(-1 - i, "u", html) for i, html in enumerate(EXPECTED)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(pages.select("page_id", "url", "html").unionByName(odd)).collect() if r.page_id < 0}
+    assert [got[-1 - i] for i in range(len(EXPECTED))] == list(EXPECTED.values())
+
+
+def test_renamed_containers(spark, pages):
+    """With the name of the article taken off all pages that are not learnt from, and off all of them."""
+    source = pages.orderBy("page_id").collect()
+    want = {r.page_id: "\n".join(b.text for b, y in zip(p, weak_labels(p)) if y) for r in source for p in [blocks(r.html)]}
+    gone = r"(?i)<(/?)(?:article|main)\b"
+    for kept in (80, 0):
+        named = F.col("page_id") < kept
+        renamed = F.regexp_replace(F.regexp_replace("html", r"(?i)<(article|main)\b", '<div class="xq"'), gone, "</div")
+        got = main_text(pages.withColumn("html", F.when(named, F.col("html")).otherwise(renamed))).collect()
+        assert sum(r.text == want[r.page_id] for r in got) >= 0.99 * len(got)
+
+
+def test_pages_learnt_from_are_bounded_in_bytes(spark, monkeypatch):
+    from farebox.llm import html_extract
+
+    learnt = []
+    monkeypatch.setattr(html_extract, "fit", lambda pages: learnt.append(pages))
+    prose = "<p>This is a sentence of the text.</p>"
+    rows = [(i, "u", f"<nav>menu {i}</nav><article>{prose * (9000 if i % 5 == 0 else 3)}</article>") for i in range(40)]
+    rows += [(100 + i, "u", f"<nav>menu</nav><div>{prose}</div>") for i in range(900)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(df, sample=30).collect()}
+    assert len(learnt[0]) == 30 and all("<article" in p and len(p) < 1000 for p in learnt[0])
+    assert got[5] == "\n".join(["This is a sentence of the text."] * 9000) and got[100] == "This is a sentence of the text."
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     weights = {k: v.astype(np.float64) for k, v in lstm.initial(5, 4, 3, 1).items()}
