@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,18 +19,21 @@ from farebox.sources.scratch import cut_lineage, scratch_path
 
 CAPACITY = 2048
 SEPARATOR = 0
+SPECIAL = {"<|endoftext|>": 50256}  # fixed value of the vocabulary
 SHARD = 4096  # pieces that are packed together, on average
-ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2, 2, 4, 3
+ISLANDS, EPOCHS = 2, 2
+POPULATION, GROWN = 3, 12  # packings on an island at first, and where the least of them misses the bound
+EFFORT = 1 << 17  # documents that the children of an epoch place, where the bound is not met before
 FULL = 0.985  # emptier sequences of a round are packed again with those of other shards
-ROUNDS = 3
+SHRINK = 0.75  # a further round follows while it has to deal with at most this share of the last one's pieces
 
 
 @lru_cache(maxsize=2)
 def _encoding(vocabulary: str):
-    """The byte-level BPE of ``vocabulary`` (a file of public_tokenizers), without special tokens.
+    """The byte-level BPE of ``vocabulary`` (a file of public_tokenizers), with its special token.
 
     The rank file of the same vocabulary gives the ids that the tokenizers library gives, four
-    times as fast; tests compare the two.
+    times as fast; tests compare the two. As there, the special token's string in a text is one id.
     """
     import base64
 
@@ -37,7 +42,7 @@ def _encoding(vocabulary: str):
 
     with open(public_tokenizers.path(vocabulary), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -49,7 +54,7 @@ def _pieces(vocabulary: str, capacity: int):
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoding.encode_to_numpy(text.as_py() or "", disallowed_special=())
+                ids = encoding.encode_to_numpy(text.as_py() or "", allowed_special="all")
                 ids = np.append(ids, SEPARATOR).astype("<u4")
                 first = len(ids) % capacity or capacity
                 cuts = [0, *range(first, len(ids) + 1, capacity)]
@@ -103,11 +108,67 @@ class Packing:
             else:
                 self.add_bin([item])
 
+    def replace(self, displaced: list[int], rng: random.Random) -> list[int]:
+        """Swap one or two items of a bin for one or two larger displaced ones, where that fills the bin
+        best; what is displaced in the end is smaller and finds a place more easily."""
+        held = sorted(displaced, key=self.lengths.__getitem__)
+        sizes = [self.lengths[i] for i in held]
+        for at in rng.sample(range(len(self.bins)), len(self.bins)):
+            space = self.free[at]
+            if not space or not held:
+                continue
+            gain, out, into = 0, (), ()
+            items = self.bins[at]
+            for leaving in chain(((i,) for i in items), combinations(items[:PAIRED], 2)):
+                room = sum(self.lengths[i] for i in leaving)
+                for entering in _fitting(sizes, room + space):
+                    more = sum(sizes[k] for k in entering) - room
+                    if more > gain:
+                        gain, out, into = more, leaving, entering
+                if gain == space:
+                    break
+            if gain:
+                entering = [held[k] for k in into]
+                self.bins[at] = [i for i in items if i not in out] + entering
+                self._close(at)
+                self.free[at] -= gain
+                self._open(at)
+                held = sorted([i for k, i in enumerate(held) if k not in into] + list(out), key=self.lengths.__getitem__)
+                sizes = [self.lengths[i] for i in held]
+        return held
+
+    def _close(self, at: int) -> None:
+        space = self.free[at]
+        if space:
+            stack = self.by_space[space]
+            stack.remove(at)
+            if not stack:
+                self.mask &= ~(1 << space)
+
     def fitness(self) -> tuple[int, float]:
         """Fewer bins first, then uneven filling, which leaves room to save a bin."""
         return -len(self.bins), sum((1 - f / self.capacity) ** 2 for f in self.free)
 
 
+PAIRED = 8  # items of a bin that are tried in pairs
+
+
+def _fitting(sizes: list[int], room: int) -> list[tuple[int, ...]]:
+    """The largest of the ascending ``sizes`` that fits into ``room``, and the two that fill it best."""
+    one = bisect_right(sizes, room) - 1
+    found: list[tuple[int, ...]] = [(one,)] if one >= 0 else []
+    low, high, best, pair = 0, one, 0, ()
+    while low < high:
+        total = sizes[low] + sizes[high]
+        if total <= room:
+            if total > best:
+                best, pair = total, (low, high)
+            low += 1
+        else:
+            high -= 1
+    return [*found, pair] if pair else found
+
+
 def _descending(items, lengths, rng: random.Random, noise: float = 0.0) -> list[int]:
     """By length; ``noise`` blurs the order."""
     return sorted(items, key=lambda i: -lengths[i] * (1 + noise * rng.random()))
@@ -128,6 +189,7 @@ def crossover(a: Packing, b: Packing, rng: random.Random) -> Packing:
             displaced += [i for i in items if i not in taken]
         else:
             child.add_bin(list(items))
+    displaced = child.replace(displaced, rng)  # in bins of ``a``; those of ``b`` stay whole
     for items in injected:
         child.add_bin(list(items))
     child.best_fit(_descending(displaced, a.lengths, rng, rng.choice((0.0, 0.05))))
@@ -148,18 +210,27 @@ def evolve(lengths: list[int], elites: list[list[int]], seed: int, capacity: int
     """One epoch of an island: the bin number of each item in its fittest packing, and the fitness."""
     rng = random.Random(seed)
     population = [_from_bins(e, lengths, capacity) for e in elites]
-    for noise in (0.0, 0.02, 0.1, 0.3)[: POPULATION - len(population)]:
-        fresh = Packing(lengths, capacity)
-        fresh.best_fit(_descending(range(len(lengths)), lengths, rng, noise))
-        population.append(fresh)
     bound = -(-sum(lengths) // capacity)
-    for _ in range(GENERATIONS):
+
+    def fill_up(size: int) -> None:
+        while len(population) < size:
+            fresh = Packing(lengths, capacity)
+            fresh.best_fit(_descending(range(len(lengths)), lengths, rng, (0.0, 0.02, 0.1, 0.3)[len(population) % 4]))
+            population.append(fresh)
+
+    fill_up(POPULATION)
+    fewest, spent = min(len(p.bins) for p in population), 0
+    while fewest > bound and spent < EFFORT:
+        fill_up(GROWN)
         population.sort(key=Packing.fitness, reverse=True)
-        if len(population[0].bins) == bound:
-            break
-        partner = rng.randrange(1, len(population)) if len(population) > 1 else 0
-        children = [crossover(population[0], population[partner], rng), crossover(population[partner], population[0], rng)]
-        population = sorted([*population, *children], key=Packing.fitness, reverse=True)[:POPULATION]
+        children = []
+        for _ in range(GROWN // 3):
+            a, b = sorted(rng.sample(range(len(population)), 2))
+            children += [crossover(population[a], population[b], rng), crossover(population[b], population[a], rng)]
+        # children take the place of the least fit, and packings of one fitness stand for each other
+        kinds = {p.fitness(): p for p in [*children, *population]}
+        population = [kinds[f] for f in sorted(kinds, reverse=True)][:GROWN]
+        fewest, spent = len(population[0].bins), spent + len(children) * len(lengths)
     best = max(population, key=Packing.fitness)
     numbers = [0] * len(lengths)
     for number, items in enumerate(best.bins):
@@ -243,9 +314,11 @@ def pack(
     Pieces of full length are sequences of their own. The others are dealt by hash to shards of
     about ``SHARD`` pieces. Each shard evolves on ``ISLANDS`` islands, tasks of their own, which
     start from blurred best-fit-decreasing packings; a crossover injects whole well-filled bins of
-    one parent, removes the bins that hold a document twice and best-fits the displaced ones.
-    After an epoch each island's elite migrates to the next. Sequences that stay emptier than
-    ``FULL`` are opened and packed again together with those of other shards, up to ``ROUNDS`` times.
+    one parent, removes the bins that hold a document twice, lets displaced documents replace smaller
+    ones and best-fits the rest. An island that reaches the least possible number of sequences is done; others
+    grow their population and go on for ``EFFORT`` placements. After an epoch each island's elite
+    migrates to the next. Sequences that stay emptier than ``FULL`` are opened and
+    packed again together with those of other shards, as long as that makes them ever fewer.
 
     Rows that repeat a doc_id are separate documents. Empty input gives no rows. Only one shard's
     lengths are in a task at a time, and nothing but counts reaches the driver. Seeds follow from
@@ -259,18 +332,15 @@ def pack(
     pieces = spark.read.parquet(path)
     whole = pieces.where(F.col("length") == capacity)
     done = whole.select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    rest, shards = pieces.where(F.col("length") < capacity), 0
-    for number in range(ROUNDS):
-        count = rest.count()
-        if not count:
-            break
-        before = shards
+    rest, shards, number, left = pieces.where(F.col("length") < capacity), 0, 0, None
+    while count := rest.count():
+        last = left is not None and count > SHRINK * left
         placed, shards = _pack_shards(rest, count, capacity)
-        last = number + 1 == ROUNDS or shards == 1 or shards == before
+        last = last or shards == 1
         ready = placed if last else placed.where(F.col("fill") >= FULL * capacity)
-        sequence = F.lit(number) * F.lit(1 << 58) + F.col("shard") * F.lit(1 << 20) + F.col("bin")
+        sequence = F.lit(number) * F.lit(1 << 56) + F.col("shard") * F.lit(1 << 20) + F.col("bin")
         done = done.unionByName(ready.select(*pieces.columns, sequence.alias("sequence_id"), "offset"))
         if last:
             break
-        rest = placed.where(F.col("fill") < FULL * capacity).select(pieces.columns)
+        rest, left, number = placed.where(F.col("fill") < FULL * capacity).select(pieces.columns), count, number + 1
     return done

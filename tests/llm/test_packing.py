@@ -12,14 +12,13 @@ from farebox.llm import packing
 from farebox.llm.packing import CAPACITY, Packing, _encoding, crossover, evolve, pack
 
 TEXTS = ["", None, "Hello world, it's 2024!", "  many   spaces\n\n\t tabs ", "é漢字 👩‍👩‍👧 ñ", "<|endoftext|> x", "a" * 3000,
+         "a<|endoftext|><|endoftext|>b <|endoftext| > <|endoftext|>\n", " <|endoftext|> ", "x" * 50 + "<|endoftext|>",
          " \x85\x1c mixed \xa0 space", "I'LL we'Ll don’t ſ Ⅷ ½"]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def ids(tokenizer, text):
@@ -30,9 +29,12 @@ def test_ids_are_those_of_the_tokenizers_library(tokenizer):
     rng = random.Random(1)
     odd = ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 0x2FFF), 10, 32, 9])) for _ in range(80))
            for _ in range(300)]
+    parts = ["<|endoftext|>", "<|", "endoftext", "|>", " ", "word", "é", "\n", "'s"]
+    odd += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
     encoding = _encoding("byte_bpe_50k.tiktoken")
     for text in [t or "" for t in TEXTS] + odd:
-        assert encoding.encode_to_numpy(text, disallowed_special=()).tolist() == ids(tokenizer, text)[:-1]
+        assert encoding.encode_to_numpy(text, allowed_special="all").tolist() == ids(tokenizer, text)[:-1]
+    assert ids(tokenizer, "<|endoftext|>") == [50256, 0]
 
 
 def test_pieces_and_sequences(spark, sf, tokenizer):
@@ -100,6 +102,45 @@ def test_crossover_keeps_every_document_once_and_injects_whole_bins():
     assert sum(set(items) <= set(c) for items in b.bins for c in child.bins) >= len(b.bins) // 4 - 1
 
 
+def triplets(seed, bins):
+    """Lengths that fill ``bins`` sequences exactly, three to each, none of them a simple part of it."""
+    rng, out = random.Random(seed), []
+    for _ in range(bins):
+        a = rng.randint(CAPACITY * 38 // 100, CAPACITY * 49 // 100)
+        b = rng.randint(CAPACITY // 4 + 1, (CAPACITY - a) // 2)
+        out += [a, b, CAPACITY - a - b]
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_triplets_are_packed_below_best_fit_decreasing(seed):
+    lengths = triplets(seed, 200)
+    plain = Packing(lengths, CAPACITY)
+    plain.best_fit(sorted(range(len(lengths)), key=lambda i: -lengths[i]))
+    bins, _ = evolve(lengths, [], seed, CAPACITY)
+    again, fitness = evolve(lengths, [bins], seed + 50, CAPACITY)
+    assert -fitness[0] <= min(202, len(plain.bins) - 1) and len(set(again)) == -fitness[0]
+    sizes = {}
+    for item, number in enumerate(again):
+        sizes[number] = sizes.get(number, 0) + lengths[item]
+    assert max(sizes.values()) <= CAPACITY and sum(sizes.values()) == 200 * CAPACITY
+
+
+def test_replacement_keeps_items_and_fills_bins():
+    lengths, (a, _), rng = solutions(6)
+    loose = [i for items in a.bins[-40:] for i in items]
+    less = Packing(lengths, CAPACITY)
+    for items in a.bins[:-40]:
+        less.add_bin(list(items))
+    before = sum(less.free)
+    left = less.replace(loose, rng)
+    assert sorted([*left, *(i for items in less.bins for i in items)]) == list(range(300))
+    assert all(f == CAPACITY - sum(lengths[i] for i in items) >= 0 for f, items in zip(less.free, less.bins))
+    assert sum(less.free) < before and len(left) > 0
+    assert sorted(at for stack in less.by_space.values() for at in stack) == [at for at, f in enumerate(less.free) if f]
+
+
 def test_evolution_never_loses_to_best_fit_decreasing_and_repeats_itself():
     lengths, (a, _), _ = solutions(4)
     plain = Packing(lengths, CAPACITY)
