@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from farebox.llm.code_compression import integers
 from farebox.sources.scratch import cut_lineage
 
 SHARD = 4096  # vectors per shard, on average
 QUERY_BLOCK = 1024
-LIMIT = 1 << 24  # scaled components stay below this, so that scores are exact in 64 bits
+EXACT = 1 << 62  # larger sums of products are taken in Python integers
 STEP = 8  # terms probed between two looks at the bounds
 
 
@@ -20,11 +22,12 @@ class Postings:
 
     A term is a component with a sign; its postings are the rows whose component has that sign, and
     their impact is its absolute value. For a query's term, rows of the same sign gain and those of
-    the other sign lose; its bound is the query's weight times the largest impact.
+    the other sign lose; its bound is the query's weight times the largest impact. Scores are exact: a
+    query whose products could leave 64 bits is scored in Python integers.
     """
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray, lead: int = 16) -> None:
-        self.ids, self.matrix = ids, matrix
+        self.ids, self.matrix, self.wide = ids, matrix, None
         self.columns = np.ascontiguousarray(matrix.T)
         self.largest = np.maximum(self.columns.max(axis=1, initial=0), 0)
         self.smallest = np.minimum(self.columns.min(axis=1, initial=0), 0)
@@ -33,6 +36,11 @@ class Postings:
 
     def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best rows, ties to the smaller id; rows of id ``own`` are passed over."""
+        if self.matrix.dtype != object:
+            most = sum(abs(q) * max(up, -down) for q, up, down in zip(query.tolist(), self.largest.tolist(), self.smallest.tolist()))
+            if query.dtype == object or most >= EXACT:
+                self.wide = self.wide or Postings(self.ids, self.matrix.astype(object))
+                return self.wide.top(query.astype(object), own, k)
         bound = np.where(query > 0, query * self.largest, query * self.smallest)
         terms = np.argsort(bound, kind="stable")
         allowed = self.ids != own
@@ -43,16 +51,19 @@ class Postings:
         for d in essential[::-1]:
             if found.all():
                 break
-            found |= self.columns[d] > 0 if query[d] > 0 else self.columns[d] < 0
+            found |= (self.columns[d] > 0 if query[d] > 0 else self.columns[d] < 0).astype(bool)
         rows = np.flatnonzero(found & allowed)
-        score, left = np.zeros(len(rows), dtype=np.int64), int(bound.sum())
+        score, left = np.zeros(len(rows), dtype=self.matrix.dtype), int(bound.sum())
         for at in range(0, len(terms), STEP):  # from the largest term on, while a row can still compete
             part = terms[::-1][at : at + STEP]
             score += query[part] @ self.columns[part][:, rows]
             left -= int(bound[part].sum())
-            able = score + left >= least
+            able = (score + left >= least).astype(bool)
             rows, score = rows[able], score[able]
-        order = np.lexsort((self.ids[rows], -score))[:k]
+        if score.dtype == object:
+            order = np.array(sorted(range(len(rows)), key=lambda i: (-score[i], self.ids[rows[i]]))[:k], dtype=np.int64)
+        else:
+            order = np.lexsort((self.ids[rows], -score))[:k]
         return self.ids[rows[order]], score[order]
 
     def _kth_of_leaders(self, query: np.ndarray, terms: np.ndarray, allowed: np.ndarray, k: int) -> int:
@@ -61,16 +72,12 @@ class Postings:
         rows = np.unique(np.concatenate(heads)) if heads else np.zeros(0, dtype=np.int64)
         rows = rows[allowed[rows]]
         if len(rows) < k:
-            return -(1 << 62)
-        score = self.matrix[rows] @ query
-        return int(np.partition(score, len(score) - k)[-k])
+            return -sum(abs(q) * max(up, -down) for q, up, down in zip(query.tolist(), self.largest.tolist(), self.smallest.tolist())) - 1
+        return int(np.sort(self.matrix[rows] @ query)[-k])
 
 
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width), dtype=np.int64)
-    for row, values in zip(out, vectors):
-        row[: len(values)] = values
-    return out
+    return integers(pa.array(vectors, pa.list_(pa.float64())), width, 1)
 
 
 def _cell(k: int):
@@ -81,8 +88,8 @@ def _cell(k: int):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "query_key", "vec_id", "score")})
         width = max(shard.vector.map(len).max(), queries.vector.map(len).max())
         postings = Postings(shard.vec_id.to_numpy(), _matrix(shard.vector, width))
-        parts = []
-        for query_id, key, vector in zip(queries.vec_id, queries.query_key, _matrix(queries.vector, width)):
+        asked, parts = _matrix(queries.vector, width), []
+        for query_id, key, vector in zip(queries.vec_id, queries.query_key, asked):
             ids, scores = postings.top(vector, query_id, k)
             parts.append(pd.DataFrame({"query_id": query_id, "query_key": key, "vec_id": ids, "score": scores}))
         return pd.concat(parts)
@@ -91,12 +98,17 @@ def _cell(k: int):
 
 
 def scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(vec_id, vector) with floor(scale * x) of each component. Null vectors and ids, vectors with null or
-    non-finite components, and scaled components of ``LIMIT`` or more have no row."""
-    exact = F.transform(F.col(vector_col), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    finite = F.forall(F.col(vector_col), lambda x: F.coalesce(F.abs(x.cast("double") * scale) < LIMIT, F.lit(False)))
+    """(vec_id, vector) with floor(scale * x) of each component, as whole doubles. Null vectors and ids, and
+    vectors with null or non-finite components have no row."""
+
+    def whole(x: Column) -> Column:
+        value = F.lit(float(scale)) * x.cast("double")
+        near = F.abs(value) < 2.0**52  # beyond, a double is whole
+        return F.when(near, F.floor(F.when(near, value)).cast("double")).otherwise(value) + F.lit(0.0)
+
+    finite = F.forall(F.col(vector_col), lambda x: F.coalesce(F.abs(x.cast("double") * scale) < float("inf"), F.lit(False)))
     usable = vectors.where(F.col(id_col).isNotNull()).where(F.coalesce(finite, F.lit(False)))
-    return usable.select(F.col(id_col).cast("long").alias("vec_id"), exact.cast("array<long>").alias("vector"))
+    return usable.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(F.col(vector_col), whole).alias("vector"))
 
 
 def top_k(
@@ -111,8 +123,10 @@ def top_k(
     each shard are merged. A shard and a block of queries are all that a task holds, and the query
     set is neither collected nor broadcast.
 
-    Components become floor(scale * x). Rows with a null id or vector, or with a null, non-finite or huge
-    component (``scaled``), take no part. Shorter vectors count as padded with zeros. Candidates that
+    Components become floor(scale * x). Rows with a null id or vector, or with a null or non-finite
+    component (or one that scaling makes so), take no part. Components of any other size are exact; a
+    score among the k best that a 64-bit integer does not hold is refused by an exception. Shorter vectors count as
+    padded with zeros. Candidates that
     repeat an id are rows of their own; a query row that is repeated in full is asked once.
     """
     rows = cut_lineage(scaled(vectors, id_col, vector_col, scale))

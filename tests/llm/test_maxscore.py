@@ -11,7 +11,7 @@ from farebox.llm.maxscore import Postings, top_k
 
 def brute(rows, k, every=100, scale=1024):
     usable = [(i, [math.floor(scale * x) for x in v]) for i, v in rows
-              if i is not None and v is not None and all(x is not None and math.isfinite(x) and abs(x) < 1e4 for x in v)]
+              if i is not None and v is not None and all(x is not None and math.isfinite(x * scale) for x in v)]
     out = []
     for query, v in {(i, tuple(v)) for i, v in usable if i % every == 0}:
         scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != query)
@@ -27,12 +27,34 @@ def test_matches_brute_force(spark, monkeypatch, shard, block):
     rows = [(i, rng.standard_normal(12).round(2).tolist()) for i in range(420)]
     rows += [(1000 + i, rows[100][1]) for i in range(20)]  # ties
     rows += [(2000, None), (2001, [1.0, None]), (2100, [math.inf] * 12), (2101, [math.nan] * 12), (None, [1.0] * 12),
-             (2200, []), (2201, [3.0, -2.0]), (2300, [0.0] * 12), (2400, [1e300] + [0.0] * 11), (7, rows[7][1])]
+             (2200, []), (2201, [3.0, -2.0]), (2300, [0.0] * 12), (2401, [20000.0] + [0.5] * 11), (2402, [-3e9] + [0.0] * 11),
+             (7, rows[7][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "0 AS rank", "1 AS score")
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in top_k(df).collect())
     assert got == brute(rows, 10)
 
 
+def test_large_components_are_exact(spark):
+    near = [(0, [1.0, 0.0]), (1, [20000.0, 1.0]), (2, [1.0, 1.0]), (3, [0.5, 0.0])]
+    far = [(100, [2e6, 1.0, 0.5]), (200, [1.0, -1e12, 0.0]), (4, [2e6, -1.0, 0.25]), (5, [-1e5, 7.0, 1.0]), (6, [3e4, 3e4, 2.0**43])]
+    far += [(10 + i, [float(i), 0.001 * i, 1.0]) for i in range(30)]
+    for rows in (near, far):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in top_k(df).collect())
+        assert got == brute(rows, 10)
+    assert brute(near, 10)[0][2] == 1
+
+
+def test_a_score_beyond_a_long_is_refused_where_it_is_among_the_best(spark):
+    rows = [(0, [1e12, 1.0]), (1, [1e12, 0.0]), (2, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="(?i)int|overflow"):
+        top_k(df).collect()
+    low = [(0, [-1e12, 1.0]), *[(i, [1.0, i / 2]) for i in range(1, 12)], (50, [1e12, 0.0])]  # the worst by far
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in top_k(spark.createDataFrame(low, df.schema)).collect())
+    assert got == brute(low, 10)
+
+
 def test_fewer_candidates_than_k_and_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (100, [-1.0])], "vec_id long, embedding array<float>")
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in top_k(df).collect())
