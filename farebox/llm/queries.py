@@ -32,7 +32,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.derivatives(warc.responses(_table(spark, sf_dir, "pages"))).drop("record")
+    made = warc.derivatives(warc.responses(_table(spark, sf_dir, "pages")))
+    return made.select(
+        *[c for c in made.columns if c != "record"],
+        F.octet_length("record").cast("long").alias("record_length"), F.sha1("record").alias("record_sha1"),
+    )
 
 
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

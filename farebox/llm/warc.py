@@ -74,7 +74,8 @@ def parse_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
 
 
 def decoded_body(fields: list[tuple[str, str]], body: bytes) -> str:
-    """The body as text: chunks joined, gzip or deflate undone, decoded by the charset given or as UTF-8."""
+    """The body as text: chunks joined, gzip (all members) or deflate undone, decoded by the charset given or as
+    UTF-8. What is left of a compressed body that breaks off, or that another coding follows, is what could be read."""
     by_name = {k.lower(): v.lower() for k, v in fields}
     if "chunked" in by_name.get("transfer-encoding", ""):
         parts, at = [], 0
@@ -87,10 +88,17 @@ def decoded_body(fields: list[tuple[str, str]], body: bytes) -> str:
         body = b"".join(parts)
     coding = by_name.get("content-encoding", "")
     if coding in ("gzip", "x-gzip", "deflate"):
-        try:
-            body = zlib.decompressobj(47 if "gzip" in coding or body[:1] == b"\x78" else -15).decompress(body)
-        except zlib.error:
-            pass  # some servers announce a coding they do not use
+        window = 47 if "gzip" in coding or body[:1] == b"\x78" else -15
+        parts, rest = [], body
+        while rest:
+            member = zlib.decompressobj(window)
+            try:
+                parts.append(member.decompress(rest))
+            except zlib.error:
+                break
+            rest = member.unused_data.lstrip(b"\0") if window == 47 else b""
+        if parts:
+            body = b"".join(parts)  # some servers announce a coding they do not use: then the body is as sent
     charset = re.search(r"charset=[\"']?([-\w]+)", by_name.get("content-type", ""))
     try:
         return body.decode(charset[1] if charset else "utf-8", "replace")

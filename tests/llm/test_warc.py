@@ -1,11 +1,17 @@
 """WARC derivatives: records read back, links, digests and odd responses."""
 
+import base64
 import gzip
+import hashlib
 import json
+import uuid
 import zlib
+from html.parser import HTMLParser
 
 import pytest
 
+import __spark_entry__ as contract
+from farebox.llm.html_blocks import BLOCK
 from farebox.llm.warc import build_record, decoded_body, derivatives, derive, digest, parse_http, parse_record, responses
 
 PAGE = "<html><title>A &amp; B</title><body><p>Hi&nbsp;there<p>Ünï <a href='/x?a=1&amp;b=2'>link</a></body></html>"
@@ -66,7 +72,9 @@ def test_unreadable_records_and_other_types(spark):
 
 
 @pytest.mark.parametrize("coding, pack", [("gzip", gzip.compress), ("deflate", zlib.compress), ("deflate", lambda b: zlib.compress(b)[2:-4]),
-                                          ("gzip", lambda b: b)])
+                                          ("gzip", lambda b: b), ("gzip", lambda b: gzip.compress(b[:3]) + gzip.compress(b[3:])),
+                                          ("gzip", lambda b: gzip.compress(b[:2]) + gzip.compress(b"") + gzip.compress(b[2:]) + bytes(9)),
+                                          ("x-gzip", lambda b: gzip.compress(b) + b"junk")])
 def test_encoded_and_chunked_bodies(coding, pack):
     body = pack("é text".encode("latin-1"))
     chunked = b"%x;e=1\r\n%b\r\n0\r\n\r\n" % (len(body), body)
@@ -75,6 +83,80 @@ def test_encoded_and_chunked_bodies(coding, pack):
     assert decoded_body([("Content-Type", "text/html; charset=nonsense")], "é".encode()) == "é"
 
 
+class Plain(HTMLParser):
+    """Visible text by the standard library's parser: a line for what stands between two block-level tags."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.lines, self.now, self.hidden, self.title, self.links = [], "", "", None, []
+        self.feed(html)
+        self.close()
+        self.cut()
+
+    def cut(self):
+        line = " ".join(self.now.split())
+        self.lines += [line] if line else []
+        self.now = ""
+
+    def handle_starttag(self, tag, attrs):
+        self.links += [v or "" for k, v in attrs if tag == "a" and k == "href"]
+        if tag in ("script", "style", "title", "textarea", "noscript", "iframe"):
+            self.hidden, self.now = tag, self.now + " "
+        elif tag in BLOCK:
+            self.cut()
+        elif tag == "br":
+            self.now += " "
+
+    def handle_endtag(self, tag):
+        if tag == self.hidden:
+            self.hidden = ""
+        elif tag in BLOCK:
+            self.cut()
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.now += data
+        elif self.hidden == "title" and self.title is None:
+            self.title = " ".join(data.split())
+
+
+def sha1(data):
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def test_the_query_against_records_built_apart(spark, sf):
+    """Every record of the given pages, byte for byte, from the standard library's parser and plain formatting."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    got = {(r.page_id, r.record_type): r for r in contract.queries()["op3_warc_derivatives"](spark, sf).collect()}
+    assert len(got) == 2 * len(pages)
+    date = "2024-01-01T00:00:00Z"
+    name = lambda *parts: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(0).join(map(str, parts)))}>"
+
+    def record(headers, block):
+        headers = [*headers, ("WARC-Block-Digest", sha1(block)), ("Content-Length", len(block))]
+        return "WARC/1.1\r\n".encode() + "".join(f"{k}: {v}\r\n" for k, v in headers).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+    for page in pages:
+        payload = (page.html or "").encode()
+        http_fields = [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(payload)))]
+        block = "".join(["HTTP/1.1 200 OK\r\n", *(f"{k}: {v}\r\n" for k, v in http_fields), "\r\n"]).encode() + payload
+        source = name("response", page.page_id, page.url, sha1(payload))
+        fields = [("WARC-Type", "response"), ("WARC-Record-ID", source), ("WARC-Target-URI", page.url), ("WARC-Date", date),
+                  ("WARC-Payload-Digest", sha1(payload)), ("Content-Type", "application/http; msgtype=response"),
+                  ("WARC-Block-Digest", sha1(block)), ("Content-Length", str(len(block)))]
+        plain = Plain(page.html or "")
+        meta = {"source": [list(f) for f in fields], "http": {"status": "HTTP/1.1 200 OK", "headers": [list(f) for f in http_fields]},
+                "html": {"title": plain.title, "links": plain.links}}
+        for kind, mime, content in (("metadata", "application/json", json.dumps(meta, ensure_ascii=False)),
+                                    ("conversion", "text/plain; charset=utf-8", "\n".join(plain.lines))):
+            r, data = got[page.page_id, kind], content.encode()
+            assert r.block == content
+            want = record([("WARC-Type", kind), ("WARC-Record-ID", name(kind, source, sha1(payload))), ("WARC-Refers-To", source),
+                           ("WARC-Target-URI", page.url), ("WARC-Date", date), ("WARC-Source-Payload-Digest", sha1(payload)),
+                           ("WARC-Source-Block-Digest", sha1(block)), ("Content-Type", mime)], data)
+            assert (r.record_length, r.record_sha1) == (len(want), hashlib.sha1(want).hexdigest())
+
+
 def test_folded_headers_and_a_response_without_digest():
     record = build_record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>\tcontinued")], b"HTTP/1.0 404 No\r\nA: b\r\n c\r\n\r\n<p>x</p>")
     (kind, _, refers, _, payload, *_), _ = derive(record)
