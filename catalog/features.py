@@ -29,6 +29,7 @@ from farebox.operators.group_stats import (
     group_stats,
     lookup_join,
 )
+from farebox.operators.membership import with_membership
 from farebox.operators.sampling import hash_split
 from farebox.sources.scratch import scratch_path
 
@@ -334,7 +335,31 @@ p AS (SELECT payment_type, {mean_sql('tip_amount', 100)} AS payment_avg_tip FROM
 SELECT trip_id, vendor_avg_fare, vendor_avg_distance, vendor_avg_tip, hour_avg_fare, hour_avg_distance, payment_avg_tip
 FROM base LEFT JOIN v USING (VendorID) LEFT JOIN h USING (pickup_hour) LEFT JOIN p USING (payment_type)"""
 
+def part_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items whose part, supplier and order are in lists of some, many and very many values; one list holds a null."""
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "part", "supplier", "orders")}
+    key = F.when(F.col("l_linenumber") != 3, F.col("l_orderkey")).alias("order_key")
+    items = tables["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", key)
+    large = tables["orders"].filter(F.col("o_orderkey") % 3 == 0)
+    rich = tables["supplier"].filter(F.col("s_suppkey") % 2 == 0)
+    with_null = large.select(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey")).alias("o_orderkey"))
+    rows = with_membership(items, "l_suppkey", rich, "s_suppkey", "of_supplier")
+    rows = with_membership(rows, "l_partkey", tables["part"].filter(F.col("p_partkey") % 4 != 0), "p_partkey", "of_part", literals=10)
+    how = {"literals": 10, "broadcast_bytes": 0, "salt_cols": ["l_orderkey", "l_linenumber"]}
+    rows = with_membership(rows, "order_key", large, "o_orderkey", "of_order", **how)
+    rows = with_membership(rows, "order_key", with_null, "o_orderkey", "of_order_or_null", **how)
+    return rows.select("l_orderkey", "l_linenumber", "of_supplier", "of_part", "of_order", "of_order_or_null")
+
+
+MEMBERSHIP_SQL = """WITH i AS (SELECT *, CASE WHEN l_linenumber <> 3 THEN l_orderkey END AS order_key FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0) AS of_supplier,
+  l_partkey IN (SELECT p_partkey FROM part WHERE p_partkey % 4 <> 0) AS of_part,
+  order_key IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0) AS of_order,
+  order_key IN (SELECT CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END FROM orders WHERE o_orderkey % 3 = 0) AS of_order_or_null
+FROM i"""
+
 QUERIES = {
+    "part_membership": (part_membership, MEMBERSHIP_SQL),
     "time_features": (
         time_features,
         _time_sql("pickup_hour BETWEEN 7 AND 9 OR pickup_hour BETWEEN 16 AND 18"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.trips import PER_UNIT, SILVER_SQL, TRIPS_SQL, mean_sql, silver_trips, trips
-from farebox.operators import profile
+from farebox.operators import comoments, profile
 
 
 def passenger_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +144,30 @@ def month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 MONTH_SQL = """SELECT CAST(year(l_shipdate) AS INT) AS data_year, CAST(month(l_shipdate) AS INT) AS data_month,
   count(*) AS count FROM lineitem GROUP BY 1, 2"""
 
+_WIDE = 40
+
+
+def _wide_column(i: int) -> str:
+    """The i-th of many derived columns, null for a seventeenth of the rows, others in each column."""
+    value = f"(CAST(l_quantity AS BIGINT) * {i + 1} + l_partkey * {7 * i % 11} + l_linenumber * {i * i % 13}) % {10 + i}"
+    return f"CAST(CASE WHEN (l_suppkey + {i}) % 17 <> 0 THEN {value} END AS DOUBLE) AS w{i}"
+
+
+def correlation_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlations of forty columns with nulls, from blocked co-moments."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*map(_wide_column, range(_WIDE)))
+    return _with_rounded(comoments.wide_correlations(items, items.columns), "r")
+
+
+_HALF = [(i, j) for i in range(_WIDE) for j in range(i, _WIDE)]
+WIDE_SQL = f"""WITH w AS (SELECT {', '.join(map(_wide_column, range(_WIDE)))} FROM lineitem),
+m AS (SELECT {', '.join(f"round(corr(w{i}, w{j}), 6) AS r{k}, regr_count(w{i}, w{j}) AS n{k}" for k, (i, j) in enumerate(_HALF))} FROM w),
+h AS (SELECT unnest([{', '.join(f"{{'i': {i}, 'j': {j}, 'n': n{k}, 'r': r{k}}}" for k, (i, j) in enumerate(_HALF))}]) AS s FROM m)
+SELECT 'w' || s.i AS a, 'w' || s.j AS b, s.n::BIGINT AS n, s.r AS r FROM h
+UNION ALL SELECT 'w' || s.j, 'w' || s.i, s.n::BIGINT, s.r FROM h WHERE s.i <> s.j"""
+
 QUERIES = {
+    "correlation_wide": (correlation_wide, WIDE_SQL),
     "passenger_counts": (
         passenger_counts,
         f"WITH {TRIPS_SQL} SELECT passenger_count, count(*) AS count FROM trips GROUP BY passenger_count",

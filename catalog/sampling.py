@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.trips import SCORED_SQL, TRIPS_SQL, scored_trips, trips, uniform_sql
+from catalog.trips import FEATURED_SQL, SCORED_SQL, TRIPS_SQL, scored_trips, trips, uniform_sql
 from farebox.functions.hashing import poisson_cuts
 from farebox.operators import bootstrap, sampling
 from farebox.operators.evaluate import with_residuals
+from farebox.operators.reports import top_k
 from farebox.operators.scaling import spread
 
 
@@ -132,7 +133,53 @@ def bootstrap_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
 FAST_SQL = f"SELECT {REPLICATES}::BIGINT AS replicates, true AS mean_inside, true AS wide"
 
 
+def bootstrap_little(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bag of little bootstraps: its blocks, and whether its interval is near that of all rows."""
+    rows = _residuals(spark, sf_dir)
+    every = bootstrap.bootstrap_rmse(rows, "residual", "trip_id", REPLICATES, method="md5").first()
+    little = bootstrap.little_bootstrap_rmse(rows, "residual", "trip_id", method="md5")
+    width = every["ci_upper"] - every["ci_lower"]
+    near = (F.abs(F.col("ci_lower") - every["ci_lower"]) < width / 2) & (F.abs(F.col("ci_upper") - every["ci_upper"]) < width / 2)
+    return little.select("blocks", "block_rows", "replicates", near.alias("near"))
+
+
+LITTLE_SQL = f"""WITH {FEATURED_SQL}, n AS (SELECT count(*) AS n, least(count(*) / 20e0, ceil(pow(count(*), 0.7e0))) AS b FROM featured)
+SELECT 20::BIGINT AS blocks, count(*) AS block_rows, 2000::BIGINT AS replicates, true AS near
+FROM featured, n WHERE floor({uniform_sql('trip_id', 'block')} * (n / b)) < 20"""
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    keys = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    return items.select(F.concat_ws("-", *keys).alias("item"), "l_extendedprice")
+
+
+_ITEMS_SQL = """items AS (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS item, l_extendedprice FROM lineitem)"""
+
+
+def sample_third(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly a third of all line items, too many for one sorting task."""
+    items = _items(spark, sf_dir)
+    return sampling.sample_n(items, "item", items.count() // 3, method="md5")
+
+
+SAMPLE_THIRD_SQL = f"""WITH {_ITEMS_SQL}, r AS (SELECT *, row_number() OVER (ORDER BY {uniform_sql('item', 'sample')}, item) AS place FROM items)
+SELECT item, l_extendedprice FROM r WHERE place <= (SELECT count(*) // 3 FROM items)"""
+
+
+def top_third(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third of all line items with the highest prices."""
+    items = _items(spark, sf_dir)
+    return top_k(items, "l_extendedprice", items.count() // 3, tie="item")
+
+
+TOP_THIRD_SQL = f"""WITH {_ITEMS_SQL}, r AS (SELECT *, row_number() OVER (ORDER BY l_extendedprice DESC, item) AS place FROM items)
+SELECT item, l_extendedprice FROM r WHERE place <= (SELECT count(*) // 3 FROM items)"""
+
 QUERIES = {
+    "bootstrap_little": (bootstrap_little, LITTLE_SQL),
+    "sample_third": (sample_third, SAMPLE_THIRD_SQL),
+    "top_third": (top_third, TOP_THIRD_SQL),
     "hash_split": (hash_split, SPLIT_SQL),
     "split_labels": (split_labels, LABELS_SQL),
     "hash_sample": (hash_sample, SAMPLE_SQL),

@@ -124,6 +124,36 @@ def poisson_weight(word: Column, lane: int, method: str) -> Column:
     return count.otherwise(len(cuts))
 
 
+EXACT_MEAN = 40.0
+
+
+def poisson_count(id_cols: str | Sequence[str], slot: Column, mean: float, seed: int = 42, method: str = "xxhash64") -> Column:
+    """A Poisson(``mean``) count per row id and slot.
+
+    Up to a mean of ``EXACT_MEAN`` a uniform draw is compared with the cumulative probabilities. Beyond, it is
+    a normal draw with the next term of the Cornish-Fisher expansion, rounded: mean, variance and
+    skewness are those of the Poisson distribution.
+    """
+    if mean <= EXACT_MEAN:
+        draw, mass, total, k = uniform(id_cols, seed, method, "copies", (slot,)), math.exp(-mean), 0.0, 0
+        cuts: list[float] = []
+        while total < 1.0 - 1e-12 and k < 400:
+            total += mass
+            cuts.append(total)
+            k += 1
+            mass *= mean / k
+        # the number of cuts at or below the draw, halving the list at each comparison
+        def count(low: int, high: int) -> Column:
+            if low == high:
+                return F.lit(low)
+            middle = (low + high) // 2
+            return F.when(draw < F.lit(cuts[middle]), count(low, middle)).otherwise(count(middle + 1, high))
+
+        return count(0, len(cuts))
+    z = gaussian(id_cols, slot, seed)
+    return F.greatest(F.lit(0), F.round(F.lit(mean) + F.lit(math.sqrt(mean)) * z + (z * z - 1) / 6)).cast("int")
+
+
 def gaussian(id_cols: str | Sequence[str], slot: Column, seed: int = 42) -> Column:
     """A standard normal draw per row id and slot (Box-Muller on two hashed uniforms)."""
     u1 = uniform(id_cols, seed, purpose="radius", extra=(slot,))

@@ -12,6 +12,7 @@ from farebox.operators.columns import rename
 from farebox.operators.reports import top_k
 from farebox.operators.sampling import hash_sample, sample_n
 from farebox.schema import EXPORT_COLS
+from farebox.sources.scratch import cut_lineage
 
 METRICS = ("rmse", "mae", "r2", "mse")
 
@@ -119,10 +120,12 @@ def error_by_range(
     """Error per equal-width label range, ordered.
 
     The largest label falls into a bin of its own, number ``bins``; ``clamp`` counts it in the
-    last regular bin. When all labels are equal there is one bin, 0. The table is read twice,
-    for the label extent and for the bins, so score into a written table first.
+    last regular bin. When all labels are equal there is one bin, 0. The extent of the labels must be
+    known before the bins, so labels and predictions are written once, two numbers a row, and read
+    from there; what makes the predictions runs once.
     """
-    y, p = F.col(label), F.col(prediction)
+    df = cut_lineage(df.select(F.col(label).alias("_y"), F.col(prediction).alias("_p")))
+    y, p = F.col("_y"), F.col("_p")
     low, high = F.min(y).cast("double"), F.max(y).cast("double")
     extent = df.agg(F.struct(low.alias("lo"), ((high - low) / F.lit(float(bins))).alias("width")).alias("e")).scalar()
     number = F.when(
@@ -131,7 +134,7 @@ def error_by_range(
     if clamp:
         number = F.when(number.isNotNull(), F.least(number, F.lit(bins - 1).cast("bigint")))
     return (
-        df.select(number.alias("fare_bin"), y.alias("_y"), p.alias("_p"))
+        df.select(number.alias("fare_bin"), y, p)
         .groupBy("fare_bin")
         .agg(
             F.count(F.lit(1)).alias("count"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions.numeric import mean
+from farebox.operators.selection import SORT_ROWS, first_n
 
 
 def segment_report(
@@ -31,11 +32,14 @@ def segment_report(
 
 
 def top_k(df: DataFrame, by: str, k: int, desc: bool = True, tie: str | None = None) -> DataFrame:
-    """The k first rows of a result table; ``tie`` makes equal values come out the same way."""
-    order = [F.col(by).desc() if desc else F.col(by).asc()]
-    if tie is not None:
-        order.append(F.col(tie).asc())
-    return df.orderBy(*order).limit(k)
+    """The k first rows of a result table; ``tie`` makes equal values come out the same way.
+
+    Up to ``selection.SORT_ROWS`` rows come in order. More are those of ``first_n``, by a number, without one.
+    """
+    ties = [tie] if tie is not None else []
+    if k > SORT_ROWS:
+        return first_n(df, by, k, desc, ties)
+    return df.orderBy(F.col(by).desc() if desc else F.col(by).asc(), *ties).limit(k)
 
 
 def best_row(df: DataFrame, metric: str, tie: str, largest: bool = False) -> DataFrame:

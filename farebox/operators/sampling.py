@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions.hashing import drawn, uniform
+from farebox.operators.ranking import with_rank
+from farebox.operators.selection import SORT_ROWS
 
 STEPS_PER_HALVING = 16
 
@@ -74,7 +76,9 @@ def sample_n(
 
     A plain ``orderBy(draw).limit(n)`` sends n rows of every task to one place. Counting the
     rows per level of the draw first (under 900 groups, reading only the ids) tells which
-    levels can hold the n smallest draws, so the final ordering sees little more than n rows.
+    levels can hold the n smallest draws. Up to ``SORT_ROWS`` rows, the final ordering sees little more
+    than n rows. A larger sample takes whole levels as they are, without an order, and only rows of the
+    level at the cut, a twenty-fourth of what comes before it, are ranked, by ranges.
     """
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
     draw = uniform(ids, seed, method, "sample")
@@ -87,5 +91,11 @@ def sample_n(
         cut, kept = row["level"], kept + row["rows"]
         if kept >= n:
             break
-    near = df.filter(_level(draw) >= F.lit(cut))
-    return near.withColumn("_draw", draw).orderBy("_draw", *ids).limit(n).drop("_draw")
+    if n <= SORT_ROWS:
+        near = df.filter(_level(draw) >= F.lit(cut))
+        return near.withColumn("_draw", draw).orderBy("_draw", *ids).limit(n).drop("_draw")
+    above = sum(row["rows"] for row in counts if row["level"] > cut)
+    edge = df.filter(_level(draw) == F.lit(cut)).withColumn("_draw", draw)
+    ranked = with_rank(edge, ["_draw", *ids], "_rank")
+    last = ranked.filter(F.col("_rank") < n - above).drop("_draw", "_rank")
+    return df.filter(_level(draw) > F.lit(cut)).unionByName(last)

@@ -9,6 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farebox.sources.scratch import cut_lineage
+
 
 def spread(df: DataFrame, partitions: int, *cols: str) -> DataFrame:
     """Deal rows to ``partitions``, hashed by ``cols`` or evenly without them: a full shuffle.
@@ -23,11 +25,13 @@ def spread(df: DataFrame, partitions: int, *cols: str) -> DataFrame:
 def partition_sizes(df: DataFrame) -> DataFrame:
     """One row per partition, empty ones included: pid, rows.
 
-    Rows are counted by ``spark_partition_id``, combined map-side; the partitions without any come
-    from a range of as many numbers as the plan of ``df`` has partitions.
+    ``df`` runs once: a partition id a row is written, in the partitions of ``df``, empty ones included.
+    They are counted from there, combined map-side.
     """
-    counts = df.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("rows"))
-    numbers = df.sparkSession.range(df.rdd.getNumPartitions()).select(F.col("id").cast("int").alias("pid"))
+    placed = cut_lineage(df.select(F.spark_partition_id().alias("pid")))
+    counts = placed.groupBy("pid").agg(F.count(F.lit(1)).alias("rows"))
+    # a checkpoint knows its partitions, so this runs nothing
+    numbers = df.sparkSession.range(placed.rdd.getNumPartitions()).select(F.col("id").cast("int").alias("pid"))
     return numbers.join(counts, "pid", "left").select("pid", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 

@@ -110,3 +110,17 @@ def test_rows_without_a_label_do_not_count_as_errors(spark):
     assert evaluate.mape(df).first()["mape"] == 25.0
     errors = [r["percent_error"] for r in evaluate.with_residuals(df).collect()]
     assert errors == [None, 50.0, 0.0, None]
+
+
+def test_ranges_score_each_row_once(spark):
+    scored = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def model(x):
+        scored.add(1)
+        return x + 1.0
+
+    df = spark.range(500).select(F.col("id").cast("double").alias("label"), model(F.col("id").cast("double")).alias("prediction"))
+    table = evaluate.error_by_range(df, bins=4)
+    assert sum(r["count"] for r in table.collect()) == 500 and scored.value == 500
+    assert [r["avg_abs_error"] for r in table.collect()] == [1.0] * 5

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from farebox.functions import hashing
 from farebox.functions.hashing import poisson_cuts, uniform
 from farebox.operators import bootstrap, sampling
 
@@ -108,3 +109,35 @@ def test_bootstrap_sizes_and_odd_replicate_count(spark):
     sizes = [r["resample_size"] for r in rows]
     assert np.mean(sizes) == pytest.approx(5_000, rel=0.01)
     assert np.std(sizes) == pytest.approx(np.sqrt(5_000), rel=0.3)
+
+
+def test_poisson_counts_have_their_mean_variance_and_skewness(spark):
+    for mean in (1.0, 12.5, 40.0, 41.0, 700.0):
+        draws = spark.range(40_000).select(hashing.poisson_count("id", F.lit(3), mean).alias("k"))
+        row = draws.agg(F.avg("k").alias("m"), F.var_samp("k").alias("v"), F.skewness("k").alias("s"), F.min("k").alias("low")).first()
+        assert abs(row.m - mean) < 5 * (mean / 40_000) ** 0.5 and abs(row.v / mean - 1) < 0.05
+        assert abs(row.s - mean**-0.5) < 0.06 and row.low >= 0
+
+
+def test_little_bootstraps_agree_with_the_whole_one(spark):
+    rows = spark.range(30_000).select("id", hashing.gaussian("id", F.lit(1), 5).alias("residual"))
+    whole = bootstrap.bootstrap_rmse(rows, "residual", "id", 400).first()
+    little = bootstrap.little_bootstrap_rmse(rows, "residual", "id").first()
+    width = whole.ci_upper - whole.ci_lower
+    assert abs(little.ci_lower - whole.ci_lower) < width / 3 and abs(little.ci_upper - whole.ci_upper) < width / 3
+    assert little.blocks == 20 and little.replicates == 2000
+    assert 0.8 * 20 * 30_000**0.7 < little.block_rows < 1.2 * 20 * 30_000**0.7
+
+
+def test_little_bootstraps_draw_ever_fewer_rows_and_the_same_ones(spark):
+    shares = []
+    for n in (2_000, 50_000):
+        rows = spark.range(n).select("id", F.lit(1.0).alias("residual"))
+        found = bootstrap.little_replicates(rows, "residual", "id", replicates=3)
+        sizes = {r.block: r.block_rows for r in found.collect()}
+        assert sizes == {r.block: r.block_rows for r in bootstrap.little_replicates(rows.repartition(7), "residual", "id", replicates=3).collect()}
+        resample = found.agg(F.avg("resample_size")).first()[0]
+        assert abs(resample / n - 1) < 0.15 and found.filter("rmse <> 1").count() == 0
+        shares.append(sum(sizes.values()) / n)
+    assert shares[1] < shares[0]
+    assert bootstrap.little_bootstrap_rmse(rows.limit(0), "residual", "id").first().blocks == 0
