@@ -24,7 +24,9 @@ SHARD = 4096  # pieces that are packed together, on average
 ISLANDS, EPOCHS = 2, 2
 POPULATION, GROWN = 3, 12  # packings on an island at first, and where the least of them misses the bound
 EFFORT = 1 << 17  # documents that the children of an epoch place, where the bound is not met before
+SPARE = 500  # one sequence in so many may be too much in a shard: its emptiest are packed again with others'
 FULL = 0.985  # emptier sequences of a round are packed again with those of other shards
+MOST_TASKS = 1 << 14
 SHRINK = 0.75  # a further round follows while it has to deal with at most this share of the last one's pieces
 
 
@@ -220,7 +222,7 @@ def evolve(lengths: list[int], elites: list[list[int]], seed: int, capacity: int
 
     fill_up(POPULATION)
     fewest, spent = min(len(p.bins) for p in population), 0
-    while fewest > bound and spent < EFFORT:
+    while fewest > bound + bound // SPARE and spent < EFFORT:
         fill_up(GROWN)
         population.sort(key=Packing.fitness, reverse=True)
         children = []
@@ -273,7 +275,8 @@ def _pack_shards(pieces: DataFrame, count: int, capacity: int) -> tuple[DataFram
     start = start.withColumn("elites", F.array().cast("array<array<int>>")).select("shard", "island", "lengths", "elites")
     state = start
     for number in range(EPOCHS):
-        spread = state.repartition("shard", "island")
+        # a number of its own, as rows of few bytes and much work would be put into one task
+        spread = state.repartition(min(shards * ISLANDS, MOST_TASKS), "shard", "island")
         state = cut_lineage(spread.mapInArrow(_epoch(number, capacity), ISLAND))
         if number + 1 < EPOCHS:  # the elite of each island also goes to the next one of its ring
             ring = state.select("shard", ((F.col("island") + 1) % ISLANDS).alias("island"), F.col("bins").alias("guest"))
@@ -315,7 +318,8 @@ def pack(
     about ``SHARD`` pieces. Each shard evolves on ``ISLANDS`` islands, tasks of their own, which
     start from blurred best-fit-decreasing packings; a crossover injects whole well-filled bins of
     one parent, removes the bins that hold a document twice, lets displaced documents replace smaller
-    ones and best-fits the rest. An island that reaches the least possible number of sequences is done; others
+    ones and best-fits the rest. An island is done with the least possible number of sequences, or one in
+    ``SPARE`` more; others
     grow their population and go on for ``EFFORT`` placements. After an epoch each island's elite
     migrates to the next. Sequences that stay emptier than ``FULL`` are opened and
     packed again together with those of other shards, as long as that makes them ever fewer.
