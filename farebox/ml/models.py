@@ -131,13 +131,14 @@ def sample_vs_full(
     kind: str = "rf",
     label: str = "label",
     seed: int = 42,
+    method: str = "xxhash64",
     **params: object,
 ) -> DataFrame:
-    """Test metrics of the same regressor fitted on a hash sample and on all training rows."""
+    """Test metrics of the same regressor fitted on a hash sample and on all training rows, with how many
+    rows each was fitted on (``trained_rows``)."""
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
     with persisted(train.select(*dict.fromkeys([*ids, "features", label]))) as rows:
-        models = {
-            "sample": fit(kind, hash_sample(rows, ids, fraction, seed), label=label, **params).model,
-            "full": fit(kind, rows, label=label, **params).model,
-        }
-    return compare_models(models, test, label)
+        sides = {"sample": hash_sample(rows, ids, fraction, seed, method), "full": rows}
+        fitted = {name: fit(kind, side, label=label, **params).model for name, side in sides.items()}
+        sizes = F.create_map(*[F.lit(x) for name, side in sides.items() for x in (name, side.count())])
+    return compare_models(fitted, test, label).withColumn("trained_rows", sizes[F.col("model_name")].cast("long"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions.numeric import mean
-from farebox.operators.quantiles import exact_quantiles
+from farebox.operators.quantiles import exact_quantiles, quantiles_and
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -68,8 +68,8 @@ def column_summary(
     """One row per column with typed statistics.
 
     ``quartiles="exact"`` finds q25, q50 and q75 by the range-narrowing passes of
-    ``operators.quantiles``; ``"approx"`` sketches them in the same single pass as the other
-    statistics; ``None`` leaves them out.
+    ``operators.quantiles``, the first of which also takes the other statistics; ``"approx"`` sketches
+    them in one single pass; ``None`` leaves them out.
     """
     unit = dict(per_unit or {})
     makers = {
@@ -88,7 +88,14 @@ def column_summary(
             F.percentile_approx(F.col(c).cast("double"), list(QUARTILES)).alias(f"_q_{i}")
             for i, c in enumerate(cols)
         ]
-    exact = exact_quantiles(df, cols, QUARTILES) if quartiles == "exact" else {}
+    exact: dict[str, list[float | None]] = {}
+    if quartiles == "exact":
+        names = [f"_{s}_{i}" for i in range(len(cols)) for s in stats]
+        types = df.limit(0).agg(*aggregates).schema if aggregates else None
+        exact, row = quantiles_and(df, cols, QUARTILES, aggregates)
+        # what is left is one row of numbers
+        df = df.sparkSession.createDataFrame([tuple(row[n] for n in names)], types) if names else df.sparkSession.range(1)
+        aggregates = [F.first(n).alias(n) for n in names]
 
     def quartile(i: int, c: str, j: int) -> Column:
         return F.get(f"_q_{i}", F.lit(j)) if quartiles == "approx" else F.lit(exact[c][j]).cast("double")
@@ -99,7 +106,7 @@ def column_summary(
         if quartiles is not None:
             fields += [quartile(i, c, j).alias(f"q{int(100 * p)}") for j, p in enumerate(QUARTILES)]
         structs.append(F.struct(*fields))
-    return df.agg(*aggregates).select(_rows(structs))
+    return (df.agg(*aggregates) if aggregates else df.limit(1)).select(_rows(structs))
 
 
 def median_of(df: DataFrame, col: str) -> float | None:

@@ -15,7 +15,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000  # a sketched rank is off by 1 / ACCURACY of the rows at most
@@ -45,22 +45,25 @@ def _near(probability: float) -> list[float]:
 
 
 def _extent(
-    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float] = ()
-) -> dict[_Range, list[float]]:
-    """Each column's range, with the sketched values around the given probabilities, in one pass."""
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float] = (), also: Sequence[Column] = ()
+) -> tuple[dict[_Range, list[float]], Row]:
+    """Each column's range, with the sketched values around the given probabilities, in one pass; and the row
+    of that pass, which holds the aggregates ``also``."""
     near = sorted({q for p in probabilities for q in _near(p)})
     found = df.agg(
         *[f(F.col(c)).alias(f"{name}_{i}") for i, c in enumerate(cols)
           for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))],
         *[F.percentile_approx(c, near, ACCURACY).alias(f"q_{i}") for i, c in enumerate(cols) if near],
+        *also,
     ).first()
     if any(math.isinf(found[f"{end}_{i}"] or 0.0) for i in range(len(cols)) for end in ("lo", "hi")):
         raise ValueError("quantiles need finite values")
-    return {
+    ranges = {
         _Range(c, found[f"lo_{i}"], found[f"hi_{i}"], found[f"n_{i}"], 0): found[f"q_{i}"] if near else []
         for i, c in enumerate(cols)
         if found[f"n_{i}"]
     }
+    return ranges, found
 
 
 def _tagged(df: DataFrame, ranges: Sequence[_Range]) -> DataFrame:
@@ -126,7 +129,7 @@ def order_statistics(
     """The value at each 0-based rank of the sorted non-null column, by (column, rank)."""
     found: dict[tuple[str, int], float] = {}
     open_ranks = {(c, k) for c, ranks in wanted.items() for k in ranks}
-    ranges = list(_extent(df, list(wanted)) if ranges is None else ranges)
+    ranges = list(_extent(df, list(wanted))[0] if ranges is None else ranges)
     while open_ranks:
         holding: dict[_Range, list[tuple[str, int]]] = {}
         for c, k in open_ranks:
@@ -155,8 +158,23 @@ def exact_quantiles(
 
     Runs Spark jobs at once and returns plain numbers; columns are read as double.
     """
-    narrow = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-    sketched = _extent(narrow, cols, probabilities)
+    return quantiles_and(df, cols, probabilities)[0]
+
+
+def quantiles_and(
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], also: Sequence[Column] = ()
+) -> tuple[dict[str, list[float | None]], Row]:
+    """``exact_quantiles``, and a row with other aggregates of ``df``, taken in the first of the same passes."""
+    values = {c: f"_quantile_{i}" for i, c in enumerate(cols)}
+    inner = df.withColumns({v: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c, v in values.items()})
+    found, row = _quantiles(inner, list(values.values()), probabilities, also)
+    return {c: found[v] for c, v in values.items()}, row
+
+
+def _quantiles(
+    narrow: DataFrame, cols: Sequence[str], probabilities: Sequence[float], also: Sequence[Column]
+) -> tuple[dict[str, list[float | None]], Row]:
+    sketched, row = _extent(narrow, cols, probabilities, also)
     extent = list(sketched)
     places: dict[str, list[tuple[int, int, float]]] = {}
     for r in extent:
@@ -173,7 +191,8 @@ def exact_quantiles(
         a, b = values[(c, lo)], values[(c, hi)]
         return a if part == 0.0 else a + (b - a) * part
 
-    return {
+    found = {
         c: [interpolate(c, *spot) for spot in places[c]] if c in places else [None] * len(probabilities)
         for c in cols
     }
+    return found, row

@@ -40,6 +40,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def is_scratch(path: str) -> bool:
+    """Whether ``path`` was given by ``scratch_path`` and not dropped since."""
+    return path in _given
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what was written to all paths given so far; results that still read them end with it."""
     while _given:

@@ -110,3 +110,18 @@ def test_exact_means_do_not_depend_on_the_partitioning(spark):
     assert first == second
     plain = {r["k"]: r["avg_fare"] for r in reports.segment_report(df, "k", "fare", None).collect()}
     assert all(r["avg_fare"] == pytest.approx(plain[r["k"]]) for r in first)
+
+
+def test_a_summary_takes_its_statistics_in_the_quantiles_own_passes(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def read(x):
+        seen.add(1)
+        return float(x % 7)
+
+    df = spark.range(300).select(read("id").alias("x"))
+    row = profile.column_summary(df, ["x"]).first()
+    assert (row["count"], row["min"], row["max"], row["q50"]) == (300, 0.0, 6.0, 3.0)
+    assert seen.value == 2 * 300  # sketch and list; more rows than a list holds take one pass more
+    assert profile.column_summary(df, ["x"], stats=()).columns == ["column", "q25", "q50", "q75"]
