@@ -19,7 +19,9 @@ from farebox.sources.scratch import cut_lineage
 SHINGLE = 5
 THRESHOLD = 0.75
 PERCENT = 75  # of the plain similarity, compared in integers
-BLOCKS = 8  # of 8 bits: every fingerprint within a Hamming distance of 7 agrees in one of them
+BLOCKS = 8  # of 8 bits
+RADIUS = 15  # a fingerprint within this Hamming distance differs by one bit at most in one of the blocks
+PAIRS = 1 << 16  # fingerprints that are compared at a time
 BLOCK_WORDS = 2_000_000  # benchmark words that are broadcast at once; a larger benchmark takes more passes
 
 
@@ -93,15 +95,29 @@ def build_index(items: list[tuple[int, bytes]], total: int, seen: dict[int, int]
     return Index(sizes, known, weight, math.log(1 + total), [np.array(holders[s]) for s in known.tolist()], gate)
 
 
+_NEAR = np.array([0, *(1 << bit for bit in range(8))], dtype=np.uint8)  # what makes a block differ by at most one bit
+_ONES = np.array([bin(v).count("1") for v in range(256)], dtype=np.uint8)
+
+
 def _candidates(sized: Sized, prints: np.ndarray) -> np.ndarray:
-    """(window, item) rows that agree in at least one block."""
-    found = []
+    """All (window, item) rows whose fingerprints are within ``RADIUS`` bits of each other.
+
+    If no block differed by less than two bits, both would be 16 bits apart. So each block's index is asked for
+    the window's value and the eight values one bit away, and what it gives is kept by its distance.
+    """
+    found = [np.zeros((0, 2), dtype=np.int64)]
     for b in range(BLOCKS):
-        low = np.searchsorted(sized.values[b], prints[:, b], side="left")
-        count = np.searchsorted(sized.values[b], prints[:, b], side="right") - low
-        window = np.repeat(np.arange(len(prints)), count)
-        place = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count) + low[window]
-        found.append(np.stack([window, sized.orders[b][place]], axis=1))
+        asked = (prints[:, b, None] ^ _NEAR[None, :]).ravel()
+        low = np.searchsorted(sized.values[b], asked, side="left")
+        count = np.searchsorted(sized.values[b], asked, side="right") - low
+        window = np.repeat(np.arange(len(asked)) // len(_NEAR), count)
+        place = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+        item = sized.orders[b][place]
+        for at in range(0, len(window), PAIRS):
+            some = slice(at, at + PAIRS)
+            far = _ONES[prints[window[some]] ^ sized.prints[item[some]]].sum(axis=1)
+            near = far <= RADIUS
+            found.append(np.stack([window[some][near], item[some][near]], axis=1))
     return np.unique(np.concatenate(found), axis=0)
 
 
@@ -257,10 +273,10 @@ def contaminated(
 
     Every window of a text that has as many words as an item is a candidate for it (a shorter text
     is one window). Windows and items get 64-bit SimHash fingerprints of their words; items of a
-    size are indexed by each of 8 blocks of their fingerprint, so every window within a Hamming
-    distance of 7 is found, and those beyond it that agree in a block are not sent away either. Other
-    windows are candidates if they share enough of an item's shingles to be that similar, so nothing
-    hangs on the fingerprints. A candidate counts if the weighted Jaccard similarity of its 5-word shingles with the item's
+    size are indexed by each of 8 blocks of their fingerprint and asked for blocks that differ by one bit at most, so
+    every window within a Hamming distance of ``RADIUS`` = 15 is found. That is nearly every window of
+    a similarity of 0.75; for the rare one beyond, windows that share enough of an item's
+    shingles to be that similar are candidates too. A candidate counts if the weighted Jaccard similarity of its 5-word shingles with the item's
     (``similarity``) is 0.75 or more, weights falling with the number of distinct item texts that hold a
     shingle; with ``unweighted``, it counts as well if the similarity without weights (``plain``) is:
     changed words weigh most, so edited copies of items that share text with others reach 0.75 only
@@ -270,8 +286,8 @@ def contaminated(
     Null and empty texts and items match nothing. A text or an item of fewer than five words is one
     shingle, so such an item matches only texts that consist of it: inside a longer one so few
     words are no evidence. Items given twice count once. The item index is broadcast in blocks of at most
-    about ``BLOCK_WORDS`` words (or one item), one pass over the documents for each; the documents
-    are neither shuffled nor collected.
+    about ``BLOCK_WORDS`` words (or one item), one pass over the documents for each, whose matches are written
+    before the next block is built; the documents are neither shuffled nor collected.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -293,7 +309,11 @@ def contaminated(
         own = part.select(F.explode("distinct").alias("s")).distinct().join(seen, "s")
         counts = {r.s & (2**64 - 1): r.n for r in own.collect()}
         shared = spark.sparkContext.broadcast(build_index(rows, total, counts))
-        found = found.unionByName(texts.mapInArrow(_matches(shared, unweighted), MATCH))
+        matches = texts.mapInArrow(_matches(shared, unweighted), MATCH)
+        if passes > 1:  # one block is held at a time
+            matches = cut_lineage(matches)
+            shared.destroy()
+        found = found.unionByName(matches)
     return found
 
 

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from farebox.llm import decontaminate
@@ -117,10 +118,12 @@ def test_blocks_find_every_fingerprint_within_the_radius():
     sized = index.sizes[20]
     near = np.repeat(sized.prints, 30, axis=0)
     for row in near:
-        for bit in rng.choice(64, rng.integers(0, 8), replace=False):
+        for bit in rng.choice(64, rng.integers(0, decontaminate.RADIUS + 1), replace=False):
             row[bit // 8] ^= np.uint8(1 << (bit % 8))
     found = set(map(tuple, _candidates(sized, near).tolist()))
     assert all((w, w // 30) in found for w in range(len(near)))
+    far = lambda w, i: int(np.unpackbits(near[w] ^ sized.prints[i]).sum())
+    assert found == {(w, i) for w in range(len(near)) for i in range(20) if far(w, i) <= decontaminate.RADIUS}
 
 
 def test_fingerprint_is_the_majority_of_each_bit():
@@ -190,3 +193,49 @@ def test_leaks_near_the_threshold_are_found_whatever_their_fingerprints(spark):
     docs, items = barely_similar(2, 400)
     got = {(r.doc_id, r.item_id) for r in contaminated(*frames(spark, docs, items), unweighted=True).collect()}
     assert {(i, i) for i, _ in items} <= got
+
+
+def found_in_driver(docs, items, monkeypatch, *without):
+    """(doc, item) that ``document_matches`` finds with some of its candidate searches turned off."""
+    column = lambda rows: pa.RecordBatch.from_arrays(
+        [pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.string())], ["id", "text"])
+    listed = [r for b in decontaminate._item_hashes([column(items)]) for r in b.to_pylist()]
+    seen = Counter(s & (2**64 - 1) for r in listed for s in r["distinct"])
+    index = build_index([(r["item_id"], r["words"], r["shingles"]) for r in listed], len(items), seen)
+    for name in without:
+        monkeypatch.setattr(decontaminate, name, lambda *a: np.zeros((0, 2), dtype=np.int64))
+
+    class Shared:
+        value = index
+
+    return {(r["doc_id"], r["item_id"]) for b in decontaminate._matches(Shared, True)([column(docs)]) for r in b.to_pylist()}
+
+
+def test_the_multi_index_finds_nearly_all_by_itself(monkeypatch):
+    """Of 600 copies as far from their items as counts at all, shared shingles add less than one in a hundred."""
+    docs, items = barely_similar(7, 600)
+    own = {(i, i) for i, _ in items}
+    with monkeypatch.context() as m:
+        by_prints = found_in_driver(docs, items, m, "_sharing")
+    with monkeypatch.context() as m:
+        by_shingles = found_in_driver(docs, items, m, "_candidates")
+    assert len(own & by_prints) >= 0.99 * len(own) and own <= by_prints | by_shingles
+    print("only by shared shingles:", len(own - by_prints), "of", len(own))
+
+
+def test_blocks_of_the_benchmark_are_freed_one_after_the_other(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 60)
+    held, most, broadcast = [], [], type(spark.sparkContext).broadcast
+
+    def counted(self, value):
+        made = broadcast(self, value)
+        held.append(made)
+        most.append(len(held))
+        destroy = made.destroy
+        made.destroy = lambda *a: (held.remove(made), destroy(*a))
+        return made
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
+    docs, items = corpus(5)
+    assert contaminated(*frames(spark, docs, items)).count() > 10
+    assert len(most) > 3 and max(most) == 1 and not held
