@@ -21,7 +21,8 @@ PERCENT = 75  # link at 100 * intersection >= 75 * union
 BANDS, WIDTH = 40, 5  # a pair at exactly 0.75 shares no bucket with probability 2e-5
 MARGIN = 0.15  # 4.9 standard deviations of the sketch estimate at 0.75
 BLOCK_BYTES = 8 << 20  # of sets and signatures; two blocks are compared in a task
-SPLIT = 8192  # ids of a bucket
+SPLIT = 8192  # ids of a bucket that are compared as they are
+FINE_BANDS, FINE_WIDTH = 50, 4  # a pair at exactly 0.75 shares no key of these with probability 6e-9
 
 
 def _shingle_sets(column: pa.Array) -> Iterator[tuple]:
@@ -169,18 +170,35 @@ def _cells(rows: DataFrame, key: str, sets: DataFrame) -> DataFrame:
     )
 
 
-def _missed_links(multi: DataFrame, classes: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+def _fine_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, shingles) -> (id, keys): bands of fewer slots than those of the buckets."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            sets = part.column(1).to_pylist()
+            bounds = np.concatenate([[0], np.cumsum([len(s) // 8 for s in sets])])
+            sig = signatures(np.frombuffer(b"".join(sets), dtype=np.uint64), bounds, FINE_BANDS * FINE_WIDTH)
+            keys = _fixed(band_keys(sig, FINE_BANDS, FINE_WIDTH).view(np.uint8))
+            yield pa.RecordBatch.from_arrays([part.column(0), keys], ["id", "keys"])
+
+
+def _missed_links(multi: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     """Links inside buckets between ids that ``roots`` leaves apart.
 
-    A bucket of more than ``SPLIT`` ids is first split by the other buckets its members share: a
-    pair over the threshold that shares this bucket shares another one but for a chance of 3e-5.
+    Members of a bucket of more than ``SPLIT`` ids are compared where they also share a key of fewer
+    slots: a pair over the threshold shares one of ``FINE_BANDS`` but for a chance of 6e-9, which is
+    nothing beside that of sharing no bucket.
     """
     mixed = cut_lineage(_mixed_buckets(multi.select("bucket", "band", "id", "n"), roots, "bucket"))
     sets = sets.select("id", "shingles")
     small = _cells(mixed.where(F.col("size") <= SPLIT), "bucket", sets)
-    members = mixed.where(F.col("size") > SPLIT).select(F.col("bucket").alias("one"), "id")
-    split = members.join(_buckets(classes), "id").where("one != bucket")
-    split = split.select(F.xxhash64("one", "bucket").alias("part"), F.lit(-1).alias("band"), "id", "n")
+    members = cut_lineage(mixed.where(F.col("size") > SPLIT).select(F.col("bucket").alias("one"), "id", "n"))
+    holders = sets.join(members.select("id").distinct(), "id", "left_semi")
+    fine = holders.mapInArrow(_fine_keys, "id long, keys binary")
+    spots = F.sequence(F.lit(0), F.lit(FINE_BANDS - 1))
+    key = F.explode(F.transform(spots, lambda i: F.xxhash64(F.substring(F.col("keys"), i * 8 + 1, F.lit(8)), i)))
+    split = members.join(cut_lineage(fine.select("id", key.alias("fine"))), "id")
+    split = split.select(F.xxhash64("one", "fine").alias("part"), F.lit(-1).alias("band"), "id", "n")
     large = _cells(_mixed_buckets(split, roots, "part"), "part", sets)
     cells = small.unionByName(large).repartition("cell").sortWithinPartitions("cell")
     return cells.mapInArrow(_cell_links, "a long, b long")
@@ -209,7 +227,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     3. ``components`` groups the verified links. In buckets that still hold more than one group,
        the members of different groups are compared by signature and the likely pairs verified, in
        cells of bounded bytes that give back nothing but links; then the groups are built again. No
-       pair is dropped: large buckets are split by second buckets and into blocks.
+       pair is dropped: large buckets are split by keys of fewer slots and into blocks.
 
     Null or empty texts and texts without words have 0 shingles and link with nothing. Rows that
     share an id count as one document and so as linked. Rows with a null id take no part: their
@@ -242,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = multi.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     links = cut_lineage(_verify(stars, sets).distinct())
     roots = components(links).withColumnsRenamed({"node": "id"})
-    rest = cut_lineage(_missed_links(multi, classes, roots, sets))
+    rest = cut_lineage(_missed_links(multi, roots, sets))
     if not rest.isEmpty():
         roots = components(links.unionByName(rest)).withColumnsRenamed({"node": "id"})
 
