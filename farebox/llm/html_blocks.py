@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import defaultdict
+from functools import lru_cache
 from html import unescape
 from typing import NamedTuple
 
@@ -13,7 +14,6 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z][-\w:]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _NAME = re.compile(r"[a-z]+|\d+")
-_SPACE = re.compile(r"\s+")
 
 #: Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,6 +44,7 @@ class Block(NamedTuple):
     linked: int  # characters of the text inside links
 
 
+@lru_cache(maxsize=1 << 12)
 def _element(tag: str, attributes: str) -> Element:
     names: list[str] = []
     for name, *values in _ATTRIBUTE.findall(attributes):
@@ -71,15 +72,17 @@ class _Open:
             self.scopes.append(at)
 
     def close_to(self, at: int) -> None:
-        for element in self.elements[at:]:
-            self.places[element.tag].pop()
-        del self.elements[at:]
-        for places in (self.blocks, self.scopes):
-            while places and places[-1] >= at:
-                places.pop()
+        elements, places, blocks, scopes = self.elements, self.places, self.blocks, self.scopes
+        while len(elements) > at:
+            places[elements.pop().tag].pop()
+        while blocks and blocks[-1] >= at:
+            blocks.pop()
+        while scopes and scopes[-1] >= at:
+            scopes.pop()
 
     def last(self, tag: str) -> int:
-        return self.places[tag][-1] if self.places.get(tag) else -1
+        places = self.places.get(tag)
+        return places[-1] if places else -1
 
     def end(self, tag: str) -> None:
         """An end tag closes the last element of its name, but an inline one closes no block."""
@@ -93,9 +96,11 @@ class _Open:
             self.close_to(self.places["select"][0])
         if tag in _NOT_IN_P and self.blocks and self.elements[self.blocks[-1]].tag == "p":
             self.close_to(self.blocks[-1])
+        if tag not in _SAME:
+            return
         scope = self.scopes[-1] if self.scopes else -1
         lowest = len(self.elements)
-        for other in _SAME.get(tag, ()):
+        for other in _SAME[tag]:
             places = self.places.get(other, [])
             above = bisect_right(places, scope)
             if above < len(places):
@@ -109,6 +114,11 @@ class _Open:
         return (*self.elements[:OUTER], *self.elements[-INNER:])
 
 
+def _plain(text: str) -> str:
+    """Character references decoded, white space inside made one space, none at the ends."""
+    return " ".join((unescape(text) if "&" in text else text).split())
+
+
 def blocks(html: str | None) -> list[Block]:
     """The text blocks in page order.
 
@@ -126,13 +136,14 @@ def blocks(html: str | None) -> list[Block]:
 
     def flush() -> None:
         if parts:
-            text = _SPACE.sub(" ", unescape("".join(parts))).strip()
+            text = _plain("".join(parts))
             if text:
-                link = _SPACE.sub(" ", unescape("".join(linked))).strip()
+                link = _plain("".join(linked)) if linked else ""
                 out.append(Block(stack.path(), text, min(len(link), len(text))))
             parts.clear()
             linked.clear()
 
+    links = stack.places["a"]
     text = html or ""
     at, last = 0, text.rfind(">")
     while at < len(text):
@@ -140,7 +151,7 @@ def blocks(html: str | None) -> list[Block]:
             end = text.find("<!--", at)
             token_text = text[at : end if end >= 0 else len(text)]
             parts.append(token_text)
-            if stack.last("a") >= 0:
+            if links:
                 linked.append(token_text)
             at += len(token_text)
             continue
@@ -150,7 +161,7 @@ def blocks(html: str | None) -> list[Block]:
         if tag is None:
             if token[0][:2] not in ("<!", "<?"):
                 parts.append(token[0])
-                if stack.last("a") >= 0:
+                if links:
                     linked.append(token[0])
             continue
         tag = tag.lower()
@@ -187,4 +198,4 @@ def title_and_links(html: str) -> tuple[str | None, list[str]]:
         for name, *values in _ATTRIBUTE.findall(attributes):
             if name.lower() == "href":
                 links.append(unescape("".join(values)))
-    return (_SPACE.sub(" ", unescape(title[1])).strip() if title else None), links
+    return (_plain(title[1]) if title else None), links
