@@ -387,12 +387,45 @@ def partition_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROFILE_SQL = "SELECT 12::BIGINT AS partitions, count(*) AS records, count(*) / 12e0 AS avg_size, 0::BIGINT AS min_size FROM lineitem"
 
 
+_swept: dict[tuple[str, str], list[tuple]] = {}
+
+
+def _sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep of all partition counts: three rows, measured once for both queries on it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _swept:
+        df = _featured(spark, sf_dir)
+        ready = prep.feature_pipeline().fit(df).transform(df)
+        swept = experiments.partition_sweep(ready, "trip_id", method="md5", **models.LIGHT["rf"])
+        _swept[key] = [tuple(r) for r in swept.collect()]
+    return spark.createDataFrame(_swept[key], "partitions int, records bigint, training_time double")
+
+
 def partition_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows trained on per partition count; the times are left to the bench."""
-    df = _featured(spark, sf_dir)
-    ready = prep.feature_pipeline().fit(df).transform(df)
-    swept = experiments.partition_sweep(ready, "trip_id", method="md5", **models.LIGHT["rf"])
-    return swept.select("partitions", "records", (F.col("training_time") > 0).alias("timed"))
+    return _sweep(spark, sf_dir).select("partitions", "records", (F.col("training_time") > 0).alias("timed"))
+
+
+def scaling_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best partition count of the sweep and how fits grow: that it is the fastest one tried, its gain, and
+    the rows of the curve behind the growth."""
+    sweep = _sweep(spark, sf_dir)
+    train, test = _split(spark, sf_dir)
+    curve = experiments.learning_curve(train, test, "trip_id", kind="dt", method="md5", timed=True, **models.LIGHT["dt"])
+    curve = spark.createDataFrame(curve.collect(), curve.schema)  # measured once
+    times = {r["partitions"]: r["training_time"] for r in sweep.collect()}
+    gain = (max(times.values()) - min(times.values())) / max(times.values()) * 100
+    fastest = F.create_map(*[F.lit(x) for n, t in times.items() for x in (n, t == min(times.values()))])
+    return experiments.scaling_outcome(sweep, curve).select(
+        F.lit(len(times)).alias("tried"), fastest[F.col("best_partitions")].alias("fastest"),
+        (F.abs(F.col("gain_pct") - gain) < 1e-9).alias("gain_agrees"), F.col("time_per_records_r2").between(0, 1).alias("r2_in_range"),
+        (F.col("throughput") > 0).alias("scored"), curve.agg(F.sum("records")).scalar().alias("curve_rows"),
+    )
+
+
+OUTCOME_SQL = f"WITH {TRAIN_SQL} SELECT 3 AS tried, true AS fastest, true AS gain_agrees, true AS r2_in_range, true AS scored, " + " + ".join(
+    f"count(*) FILTER (WHERE {uniform_sql('trip_id', 'sample')} < {f}e0)" for f in experiments.FRACTIONS
+) + " AS curve_rows FROM train"
 
 
 SWEEP_SQL = f"""WITH {FEATURED_SQL}
@@ -577,6 +610,7 @@ QUERIES = {
     "learning_curve": (learning_curve, CURVE_SQL),
     "partition_profile": (partition_profile, PROFILE_SQL),
     "partition_sweep": (partition_sweep, SWEEP_SQL),
+    "scaling_outcome": (scaling_outcome, OUTCOME_SQL),
     "storage_report": (storage_report, STORAGE_SQL),
     "model_roundtrip": (model_roundtrip, ROUNDTRIP_SQL),
     "layers_end_to_end": (layers_end_to_end, LAYERS_SQL),

@@ -6,8 +6,10 @@ import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from farebox.ml.models import evaluate_model, fit
+from farebox.operators.reports import best_row
 from farebox.operators.sampling import hash_sample, hash_split
 from farebox.operators.scaling import persisted
 
@@ -78,3 +80,25 @@ def partition_sweep(
     return df.sparkSession.createDataFrame(
         results, "partitions int, records bigint, training_time double"
     )
+
+
+def scaling_outcome(sweep: DataFrame, curve: DataFrame) -> DataFrame:
+    """What a sweep and a learning curve say, as one row.
+
+    From the sweep: best_partitions (the fewest of those that took the least time), its time, and gain_pct, the time
+    it saves against the slowest. From the curve: time_per_records_r2 (how near the fit's time is to a
+    straight line over the rows), growth (the time of the largest fit as a multiple of the smallest's, per
+    multiple of their rows) and the mean throughput of scoring.
+    """
+    best = best_row(sweep, "training_time", "partitions")
+    slowest = sweep.agg(F.max("training_time")).scalar()
+    y, x = F.col("training_time"), F.col("records").cast("double")
+    line = curve.agg(
+        F.regr_r2(y, x).alias("time_per_records_r2"),
+        (F.max_by(y, x) / F.min_by(y, x) / (F.max(x) / F.min(x))).alias("growth"), F.avg("throughput").alias("throughput"),
+    )
+    return best.select(
+        F.col("partitions").alias("best_partitions"), F.col("training_time").alias("best_time"),
+        ((slowest - F.col("training_time")) / slowest * F.lit(100.0)).alias("gain_pct"),
+        *[line.select(c).scalar().alias(c) for c in line.columns],
+    )

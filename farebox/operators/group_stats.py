@@ -145,9 +145,12 @@ def lookup_join(
     trained_hot = table.stats.filter(F.col(ROWS) > F.lit(hot_share * table.trained_rows)).select(key)
     own_hot = counts.filter(F.col(ROWS) > F.lit(hot_share * rows)).select(key)
     hot_keys = F.broadcast(trained_hot.union(own_hot).filter(F.col(key).isNotNull()).distinct())
-    hot = hot_keys.join(table.stats.drop(ROWS), key, "left").select(
-        key, *[F.col(n).alias(f"_hot_{n}") for n in names], F.lit(True).alias("_hot")
-    )
+    held = hot_keys.join(table.stats.drop(ROWS), key, "left")
+    width = reduce(Column.__add__, [_value_bytes(f) for f in table.stats.schema.fields if f.name in names], F.lit(0))
+    if (held.agg(F.sum(width)).first()[0] or 0) > max(broadcast_bytes, BROADCAST_BYTES):
+        # few keys, but of long texts or arrays: a plain join, whose large keys adaptive execution splits
+        return df.join(table.stats.drop(ROWS), key, "left").select(key, *[c for c in df.columns if c != key], *names)
+    hot = held.select(key, *[F.col(n).alias(f"_hot_{n}") for n in names], F.lit(True).alias("_hot"))
     cold = table.stats.filter(F.col(key).isNotNull()).join(hot_keys, key, "left_anti").select(
         F.col(key).alias("_key"),
         _salt(key).alias("_key_salt"),

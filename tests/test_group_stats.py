@@ -87,3 +87,16 @@ def test_a_key_that_is_hot_in_the_joined_table_alone_is_spread(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(sizes) == 40_000 and max(sizes) < 1.5 * 40_000 / len(sizes)
+
+
+def test_long_statistics_of_hot_keys_are_not_broadcast(spark, monkeypatch):
+    from farebox.operators import group_stats
+
+    df = spark.range(400).selectExpr("id", "if(id % 3 = 0, 0, id) AS k")
+    table = fit_group_stats(df, {"k": [F.max(F.repeat(F.lit("x"), 500)).alias("text")]})["k"]
+    want = sorted(tuple(r) for r in lookup_join(df, table).collect())
+    assert sorted(tuple(r) for r in lookup_join(df, table, broadcast_bytes=0).collect()) == want
+    monkeypatch.setattr(group_stats, "BROADCAST_BYTES", 100)
+    joined = lookup_join(df, table, broadcast_bytes=0)
+    assert joined.columns == ["k", "id", "text"] and sorted(tuple(r) for r in joined.collect()) == want
+    assert "_hot" not in joined._jdf.queryExecution().toString()
