@@ -92,12 +92,14 @@ def _latent(raw: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(np.sqrt((vectors**2).sum(axis=1, keepdims=True)), 1e-12)
 
 
-def fit(raw: np.ndarray, label: np.ndarray, totals: dict[int, int]) -> Model:
-    """Latent-semantic vectors of the sampled rows. ``totals``: labelled documents of each label."""
+def fit(raw: np.ndarray, label: np.ndarray, totals: dict[int, int], held: tuple[int, np.ndarray] | None = None) -> Model:
+    """Latent-semantic vectors of the sampled rows. ``totals``: labelled documents of each label; ``held``: the
+    number of documents and how many of them hold each slot (without it, of the sampled rows)."""
     slots = WORD_SLOTS + SHAPE_SLOTS
     all_rows = sum(totals.values())
     prior = totals.get(1, 0) / all_rows if all_rows else 0.5
-    idf = np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
+    documents, holders = held or (len(raw), (raw > 0).sum(axis=0))
+    idf = np.log((1 + documents) / (1 + holders)).astype(np.float32) + np.float32(1)
     full = _weighted(raw, idf) if len(raw) else np.zeros((0, slots), dtype=np.float32)
     values, vectors = np.linalg.eigh((full.T @ full).astype(np.float64))
     basis = vectors[:, np.argsort(values)[::-1][:LATENT]].astype(np.float32)
@@ -139,12 +141,34 @@ def _raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["doc_id", "label", "counts"])
 
 
+def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> one row of a task: its documents, and how many of them hold each slot."""
+    total, rows = np.zeros(WORD_SLOTS + SHAPE_SLOTS, dtype=np.int64), 0
+    for batch in batches:
+        for chunk in text_chunks(batch.column(0)):
+            total += (counts(chunk) > 0).sum(axis=0)
+            rows += chunk.hi - chunk.lo
+    yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([total.tolist()], pa.list_(pa.int64()))], ["documents", "holders"])
+
+
+def holders(texts: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of documents, and for each slot how many hold it: counted over all rows, summed in Spark."""
+    tasks = texts.select("text").mapInArrow(_holders, "documents long, holders array<long>")
+    each = tasks.select("documents", F.posexplode("holders").alias("slot", "n"))
+    sums = each.groupBy("slot").agg(F.sum("documents").alias("documents"), F.sum("n").alias("n")).collect()  # a row a slot
+    out = np.zeros(WORD_SLOTS + SHAPE_SLOTS, dtype=np.int64)
+    for r in sums:
+        out[r.slot] = r.n
+    return (sums[0].documents if sums else 0), out
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` labelled documents, half of each label, the first by a hash of the id.
 
     Only labels 0 and 1 of rows that are not held out count; an id with several labels takes the
-    more frequent one (a tie: 1), and one with several texts counts once. The sample's counts are
-    the only rows that reach the driver.
+    more frequent one (a tie: 1), and one with several texts counts once. Document frequencies are those
+    of all rows of ``docs`` (``holders``). The sample's counts and one sum for each slot are all
+    that reaches the driver.
     """
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
@@ -168,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     rows.sort(key=lambda r: r.doc_id)
     raw = np.frombuffer(b"".join(r.counts for r in rows), dtype=np.uint32).reshape(len(rows), WORD_SLOTS + SHAPE_SLOTS)
-    return fit(raw.astype(np.float32), np.array([r.label for r in rows], dtype=np.int64), totals)
+    return fit(raw.astype(np.float32), np.array([r.label for r in rows], dtype=np.int64), totals, holders(docs))
 
 
 def _scored(shared):
@@ -187,8 +211,8 @@ def _scored(shared):
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted.
 
-    Whole texts become hashed counts of words and of word shapes, weighted by idf and projected on
-    the leading singular vectors of a bounded labelled sample. The sample's unit vectors are
+    Whole texts become hashed counts of words and of word shapes, weighted by the idf of all documents and
+    projected on the leading singular vectors of a bounded labelled sample. The sample's unit vectors are
     broadcast; each document's exact cosines with all of them are computed block by block and the
     nearest vote for their label, weighted by similarity. Nothing but the text enters the score.
 

@@ -3,9 +3,11 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from farebox.llm.quality import NEIGHBOURS, Model, _latent, fit, held_out, quality_scores, vote, without_low_quality
+from farebox.llm.bytes import text_chunks
+from farebox.llm.quality import NEIGHBOURS, Model, _latent, counts, fit, held_out, holders, quality_scores, train, vote, without_low_quality
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +66,17 @@ def test_model_size_follows_from_the_parameters():
     model = fit(np.zeros((0, 1024), dtype=np.float32), np.zeros(0, dtype=np.int64), {})
     assert isinstance(model, Model) and model.prior == 0.5
     assert vote(model, np.zeros((2, 1024), dtype=np.float32)).tolist() == [0.5, 0.5]
+
+
+def test_document_frequencies_cover_all_documents(spark, tables):
+    docs, labels = tables
+    texts = [r.text for r in docs.select("text").collect()]
+    (chunk,) = text_chunks(pa.array(texts), 1 << 30)
+    want = (counts(chunk) > 0).sum(axis=0)
+    for parts in (1, 6):
+        rows, held = holders(docs.repartition(parts))
+        assert rows == len(texts) and (held == want).all()
+    few = train(docs, labels, sample=40).idf
+    assert np.allclose(few, np.log((1 + len(texts)) / (1 + want)) + 1)
+    rows, held = holders(spark.createDataFrame([(None,), ("",)], "text string"))
+    assert rows == 2 and not held.any() and holders(docs.limit(0))[0] == 0
