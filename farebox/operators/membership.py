@@ -32,7 +32,7 @@ def with_membership(
     Up to ``literals`` distinct values become a list in the plan. A set of at most ``broadcast_bytes`` is broadcast.
     A larger one is joined by shuffle, hot values and nulls spread (``lookup_join``), but only with the
     rows that pass a broadcast filter of two bits a value and ``WORDS`` words; the others surely are
-    not in the table and stay where they are.
+    not in the table and stay where they are. ``df`` is read twice then: pass a written table.
     """
     values = table.select(F.col(table_col).cast(df.schema[col].dataType).alias(col))
     known = fit_group_stats(values, {col: [F.count(F.lit(1)).alias(_FOUND)]})[col]

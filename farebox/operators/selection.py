@@ -19,7 +19,8 @@ def first_n(df: DataFrame, by: str | Column, n: int, desc: bool = False, ties: S
     ``by`` is a number; nulls come first, in descending order last, and NaN is the largest number, as in a
     sort. A sketch of ``by`` brackets the n-th value in one pass. Rows before the bracket are taken
     without being moved; only those inside it, a few ten-thousandths of the table and what ties there, are
-    ranked by ranges (``with_rank``). ``ties`` should tell rows apart. The result has no order.
+    ranked by ranges (``with_rank``). ``ties`` should tell rows apart. The result has no order. ``df`` is read
+    five times, so pass a written table.
     """
     value = (F.col(by) if isinstance(by, str) else by).cast("double")
     order = value.desc() if desc else value.asc()
