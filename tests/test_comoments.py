@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from farebox.operators import comoments
 from farebox.operators.comoments import wide_correlations
+from farebox.sources.scratch import cut_lineage
 
 
 @pytest.mark.parametrize("columns, block", [(7, 3), (10, 64), (1, 2)])
@@ -53,3 +54,18 @@ def test_constants_nulls_and_no_rows(spark):
     assert got["b", "b"] == (3, 1.0) and got["a", "b"] == (3, None) and got["b", "c"] == (1, None) and got["a", "c"] == (1, None)
     empty = wide_correlations(df.limit(0), ["a", "b"]).collect()
     assert {(r.n, r.r) for r in empty} <= {(0, None)}
+
+
+def test_many_computed_columns_run_as_compiled_methods(spark, monkeypatch):
+    """Whole-stage code over HotSpot's limit of a compiled method is off while the sums are made, and only then."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(limit), []
+
+    def written(df):
+        seen.append(int(spark.conf.get(limit)))
+        return cut_lineage(df)
+
+    monkeypatch.setattr(comoments, "cut_lineage", written, raising=False)
+    wide = spark.range(50).selectExpr(*[f"CAST((id * {i + 3}) % 7 AS DOUBLE) AS c{i}" for i in range(30)])
+    assert comoments.wide_correlations(wide, wide.columns).count() == 900
+    assert seen == [8000] and spark.conf.get(limit) == before
