@@ -12,12 +12,26 @@ from farebox.ml import models, stability, tuning
 from farebox.operators import bootstrap, evaluate
 from farebox.operators.reports import segment_report
 from farebox.operators.sampling import hash_split
-from farebox.operators.scaling import persisted
+from farebox.operators.scaling import persisted, spread
 from farebox.schema import EXPORT_COLS
 from farebox.sources.model_store import save_model
 from farebox.sources.writers import write_csv
 
 
+#: Partitions that a plan deals its rows to, for each core.
+TASKS_PER_CORE = 3
+
+
+def _dealt(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """The rows spread evenly over all cores, by id and in its order, which repeats on every run.
+
+    A month of a layer is few files of one row group each, and so few tasks, however long fits and
+    resamples work on its rows.
+    """
+    partitions = TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism
+    return spread(rows, partitions, *ids).sortWithinPartitions(*ids)
+
+
 class Trained(NamedTuple):
     models: dict[str, Model]
     comparison: DataFrame
@@ -73,11 +87,12 @@ def tune_check_export(
     test predictions in ``predictions`` (those of ``export_cols`` that the table has), and a segment
     report of the whole table per column of ``reports`` that it has, in ``report_<column>``.
     """
-    train, test = hash_split(gold, id_col, method=method)
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    train, test = hash_split(gold, ids, method=method)
+    train, test = _dealt(train.select(*ids, "features", "label"), ids), _dealt(test, ids)
     estimator = models.make_regressor(kind)
     best, table = tuning.tune(estimator, grid or tuning.SMALL_GRIDS[kind], train, id_col=id_col, split_method=method)
     save_model(best, f"{out}/models/{kind}-tuned")
-    ids = [id_col] if isinstance(id_col, str) else list(id_col)
     with persisted(evaluate.with_residuals(best.transform(test))) as scored:
         moved = stability.stability(best, test, id_col)
         interval = bootstrap.bootstrap_rmse(scored.select(*ids, "residual"), "residual", ids, replicates, method=method)

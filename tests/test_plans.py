@@ -22,3 +22,17 @@ def test_the_export_plan_exports_a_quarter_of_the_test_rows(spark, sf, monkeypat
     assert "< 0.25e0" in plans.EXPORT_PLAN_SQL
 
 
+@pytest.mark.parametrize("plan, step", [(training.tune_check_export, "tuning.tune")])
+def test_rows_of_one_file_are_dealt_to_all_cores_in_order(spark, tmp_path, monkeypatch, plan, step):
+    def asked(kind, rows, *more, **settings):
+        raise Asked(next(x for x in (rows, *more) if hasattr(x, "rdd")))
+
+    owner, name = step.split(".")
+    monkeypatch.setattr(getattr(training, owner), name, asked)
+    one_file = spark.range(6000).coalesce(1).select("id", F.array("id").alias("features"), F.col("id").cast("double").alias("label"))
+    with pytest.raises(Asked) as seen:
+        plan(one_file, str(tmp_path), "id")
+    parts = [p for p in seen.value.args[0].select("label").rdd.glom().collect()]
+    sizes = [len(p) for p in parts]
+    assert len(parts) == 3 * spark.sparkContext.defaultParallelism and max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert all([r.label for r in p] == sorted(r.label for r in p) for p in parts)
