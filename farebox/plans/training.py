@@ -50,7 +50,8 @@ def train_compare_save(
     ``settings`` maps kinds to their parameters (default: all five, ``models.LIGHT``). Models go to
     ``out``/models/<kind>, the comparison as CSV to ``out``/model_comparison.
     """
-    train, test = hash_split(gold, id_col, method=method)
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    train, test = (_dealt(side.select(*ids, "features", "label"), ids) for side in hash_split(gold, ids, method=method))
     with persisted(train.select("features", "label")) as rows:
         fitted = {k: models.fit(k, rows, **p).model for k, p in (settings or models.LIGHT).items()}
     for kind, model in fitted.items():

@@ -22,7 +22,7 @@ def test_the_export_plan_exports_a_quarter_of_the_test_rows(spark, sf, monkeypat
     assert "< 0.25e0" in plans.EXPORT_PLAN_SQL
 
 
-@pytest.mark.parametrize("plan, step", [(training.tune_check_export, "tuning.tune")])
+@pytest.mark.parametrize("plan, step", [(training.train_compare_save, "models.fit"), (training.tune_check_export, "tuning.tune")])
 def test_rows_of_one_file_are_dealt_to_all_cores_in_order(spark, tmp_path, monkeypatch, plan, step):
     def asked(kind, rows, *more, **settings):
         raise Asked(next(x for x in (rows, *more) if hasattr(x, "rdd")))
